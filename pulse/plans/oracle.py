@@ -236,4 +236,9 @@ LEFT JOIN ({_UPSERT_PLACES}) p ON s.place_id = p.id""",
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: STATUSES + v for k, v in _Q.items()}
+    from pulse.streaming.replay_queries import STREAM_ORACLE
+
+    out = {k: STATUSES + v for k, v in _Q.items()}
+    for stream_key, batch_key in STREAM_ORACLE.items():
+        out[stream_key] = out[batch_key]
+    return out

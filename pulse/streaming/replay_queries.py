@@ -1 +1,73 @@
-STREAM_QUERIES = {}
+"""Registered ``stream_*`` queries: replay the tables as files, run the stream.
+
+Each replays the derived statuses with ``availableNow`` and returns the
+output it wrote, so it shares the oracle of its batch counterpart.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from pulse.plans import batch
+from pulse.streaming import jobs
+from pulse.streaming.replay import stage_replay, status_stream
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return status_stream(spark, stage_replay(spark, sf_dir))
+
+
+def stream_hashtag_counts_by_interval(spark, sf_dir):
+    return jobs.hashtag_counts_by_interval(spark, _stream(spark, sf_dir), batch.TEST_INTERVAL)
+
+
+def stream_user_counts(spark, sf_dir):
+    return jobs.user_counts(spark, _stream(spark, sf_dir))
+
+
+def stream_geo_points(spark, sf_dir):
+    return jobs.geo_points(spark, _stream(spark, sf_dir))
+
+
+def stream_sentiment(spark, sf_dir):
+    return jobs.sentiment_scores(spark, _stream(spark, sf_dir), batch.lexicon(spark), batch.TEST_TRACK_A)
+
+
+def stream_upsert_users(spark, sf_dir):
+    return jobs.upsert_users(spark, _stream(spark, sf_dir))
+
+
+def stream_fanout(spark, sf_dir):
+    """K5: three tables from one stream, then J2 over them in SQL."""
+    tables = jobs.fanout(spark, _stream(spark, sf_dir))
+    for name, df in tables.items():
+        df.createOrReplaceTempView(f"stream_{name}")
+    return spark.sql(
+        """
+        SELECT s.id, s.user_id, u.screen_name, u.followers_count,
+               s.place_id, p.full_name AS place_full_name
+        FROM stream_status_hifi s
+        LEFT JOIN stream_user_hifi u ON s.user_id = u.id
+        LEFT JOIN stream_place_hifi p ON s.place_id = p.id
+        """
+    )
+
+
+STREAM_QUERIES = {
+    "stream_hashtag_counts_by_interval": stream_hashtag_counts_by_interval,
+    "stream_user_counts": stream_user_counts,
+    "stream_geo_points": stream_geo_points,
+    "stream_sentiment": stream_sentiment,
+    "stream_upsert_users": stream_upsert_users,
+    "stream_fanout": stream_fanout,
+}
+
+# Each stream key is checked against the oracle of its batch counterpart.
+STREAM_ORACLE = {
+    "stream_hashtag_counts_by_interval": "hashtag_counts_by_interval",
+    "stream_user_counts": "user_counts",
+    "stream_geo_points": "geo_points",
+    "stream_sentiment": "sentiment_a",
+    "stream_upsert_users": "upsert_users",
+    "stream_fanout": "status_user_place",
+}
