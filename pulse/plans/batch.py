@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulse.operators import counts, filters, keyed, sentiment, shape
-from pulse.sources.lexicon import TEST_LEXICON, first_wins, test_lexicon
+from pulse.sources.lexicon import FIXTURE_LEXICON, first_wins, fixture_lexicon
 from pulse.sources.statuses import deliveries, flat_statuses, status_records
 
 # --- fixed values: parameters of the registered test queries (FIXTURES.md) --
@@ -32,9 +32,9 @@ def english(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
-    # Size proven by the literal: len(TEST_LEXICON) rows, so broadcast is safe.
-    assert len(TEST_LEXICON) < 1_000
-    return F.broadcast(first_wins(test_lexicon(spark)))
+    # Size proven by the literal: len(FIXTURE_LEXICON) rows, so broadcast is safe.
+    assert len(FIXTURE_LEXICON) < 1_000
+    return F.broadcast(first_wins(fixture_lexicon(spark)))
 
 
 # ---- sources ---------------------------------------------------------------

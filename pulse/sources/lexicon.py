@@ -12,7 +12,7 @@ LEXICON_BROADCAST_MAX_ROWS = 1_000_000
 
 # --- fixed values: the test lexicon of FIXTURES.md §4 (ord, word, score) -----
 # "that" appears twice on purpose: the first entry (+2) must win.
-TEST_LEXICON = [
+FIXTURE_LEXICON = [
     (1, "that", 2),
     (2, "with", 1),
     (3, "this", 3),
@@ -44,9 +44,9 @@ def read_lexicon(spark: SparkSession, path: str, mode: str = "DROPMALFORMED") ->
     )
 
 
-def test_lexicon(spark: SparkSession) -> DataFrame:
+def fixture_lexicon(spark: SparkSession) -> DataFrame:
     """The small test lexicon as (ord, word, score)."""
-    return spark.createDataFrame(TEST_LEXICON, "ord long, word string, score int")
+    return spark.createDataFrame(FIXTURE_LEXICON, "ord long, word string, score int")
 
 
 def first_wins(lexicon: DataFrame) -> DataFrame:
