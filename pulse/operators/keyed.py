@@ -5,11 +5,12 @@ The reference appends to a key-value store where a repeated key overwrites
 table here is an append-only row log; the current value of a key is decided
 on read:
 
-* upsert (K1): the latest row per key, ``max_by(row, order)``;
+* upsert (K1): the latest row per key, ``row_number() == 1`` in key order;
 * counter (K2): the sum of all increments per key.
 
-Both are ``groupBy`` aggregates, so they run partial aggregation before the
-shuffle: a key holding a third of all rows is collapsed inside each task.
+Both reduce inside each task before the shuffle (a partial per-key limit,
+resp. partial aggregation): a key holding a third of all rows crosses the
+network as one row per task.
 Writes are idempotent per batch id, which makes replays exactly-once (the
 reference's counters double-count a replayed batch, D8).
 """
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 BATCH_COL = "batch_id"
 
@@ -27,14 +28,16 @@ def latest_by_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str |
     """K1 merge-on-read: per key, the row with the greatest ``order``.
 
     ``order`` should end with a column unique within a key so ties cannot
-    occur.  The payload travels as one struct through ``max_by``.
+    occur.  Written as ``row_number() == 1`` so that Spark (a) inserts a
+    partial per-key limit before the shuffle (``WindowGroupLimit``): each
+    task ships at most one row per key, however hot the key; and (b) prunes
+    every column the reader does not use below the window, so a query that
+    needs three columns of a wide table never shuffles the others.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    payload = [c for c in df.columns if c not in keys]
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    rank = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order_cols)])
-    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*payload), rank).alias("_row"))
-    return latest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload])
+    order_cols = [(F.col(o) if isinstance(o, str) else o).desc() for o in order]
+    w = Window.partitionBy(*keys).orderBy(*order_cols)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def counter_totals(increments: DataFrame, key: str | Sequence[str], amount: str, total_name: str | None = None) -> DataFrame:

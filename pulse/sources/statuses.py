@@ -37,8 +37,24 @@ def _empty_strings() -> Column:
     return F.array().cast("array<string>")
 
 
+_plans: dict[tuple[str, str], DataFrame] = {}
+
+
 def status_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested status records, one per ``events`` row."""
+    """Nested status records, one per ``events`` row.
+
+    The lazy plan (not its data) is memoised per session and folder: building
+    the wide nested projection costs driver time, and the plan is the same for
+    every query over the same immutable tables.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    plan = _plans.get(key)
+    if plan is None:
+        plan = _plans[key] = _build_status_records(spark, sf_dir)
+    return plan
+
+
+def _build_status_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value"
     )

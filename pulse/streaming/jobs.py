@@ -15,59 +15,65 @@ interval) and runs until ``run_seconds`` elapse.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from pulse.operators import counts, filters, keyed, sentiment, shape
 from pulse.operators.keyed import RowLog
 from pulse.session import fresh_path
 from pulse.settings import DEFAULT_LANG
-from pulse.streaming.replay import with_event_time
+from pulse.streaming.replay import status_stream, with_event_time
 
 AVAILABLE_NOW = {"availableNow": True}
 
+Source = str | Sequence[str]
+
 
 def _run(query: StreamingQuery, run_seconds: float | None) -> StreamingQuery:
     """Wait for the query: to completion for ``availableNow``, else ``run_seconds``."""
     if run_seconds is None:
         query.awaitTermination()
-    else:
-        if not query.awaitTermination(run_seconds):
-            query.stop()
+    elif not query.awaitTermination(run_seconds):
+        query.stop()
     if query.exception() is not None:
         raise query.exception()
     return query
 
 
-def _start_batches(
-    stream: DataFrame,
-    name: str,
-    handler: Callable[[DataFrame, int], None],
+def _drive(
     spark: SparkSession,
+    name: str,
+    source: Source,
+    build: Callable[[DataFrame], DataStreamWriter],
     trigger: dict,
-    output_mode: str = "append",
-) -> StreamingQuery:
-    return (
-        stream.writeStream.queryName(f"{name}_{uuid.uuid4().hex[:8]}")
-        .outputMode(output_mode)
-        .option("checkpointLocation", fresh_path(spark, f"ckpt-{name}"))
-        .trigger(**trigger)
-        .foreachBatch(handler)
-        .start()
-    )
+    run_seconds: float | None,
+    files_per_trigger: int,
+) -> None:
+    """Run the query once per source path, all runs on one checkpoint.
 
+    A later run resumes from the committed offsets and state of the earlier
+    ones, exactly as a restart after a failure does.
+    """
+    ckpt = fresh_path(spark, f"ckpt-{name}")
+    for path in [source] if isinstance(source, str) else list(source):
+        writer = build(status_stream(spark, path, files_per_trigger))
+        q = (
+            writer.queryName(f"{name}_{uuid.uuid4().hex[:8]}")
+            .option("checkpointLocation", ckpt)
+            .trigger(**trigger)
+            .start()
+        )
+        _run(q, run_seconds)
 
-def _start_parquet(stream: DataFrame, name: str, spark: SparkSession, out: str, trigger: dict) -> StreamingQuery:
-    return (
-        stream.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", fresh_path(spark, f"ckpt-{name}"))
-        .outputMode("append")
-        .trigger(**trigger)
-        .start()
-    )
+
+def _batches(handler: Callable[[DataFrame, int], None], output_mode: str = "append"):
+    return lambda stream: stream.writeStream.outputMode(output_mode).foreachBatch(handler)
+
+
+def _parquet(out: str):
+    return lambda stream: stream.writeStream.format("parquet").option("path", out).outputMode("append")
 
 
 def _ntz_window(df: DataFrame) -> DataFrame:
@@ -78,11 +84,12 @@ def _ntz_window(df: DataFrame) -> DataFrame:
 
 def hashtag_counts_by_interval(
     spark: SparkSession,
-    statuses: DataFrame,
+    source: Source,
     interval: str,
     delay: str = "10 minutes",
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
+    files_per_trigger: int = 8,
 ) -> DataFrame:
     """W3 + A1: tag counts per event-time interval, stateful with a watermark.
 
@@ -91,21 +98,25 @@ def hashtag_counts_by_interval(
     watermark lets the state store drop intervals once they can no longer
     change, so state stays bounded on an endless stream.
     """
-    us = filters.us_english(with_event_time(statuses, delay))
-    tags = shape.hashtags(us, keep=("created_at",))
-    agg = counts.count_by_interval(tags, "tag", "tags", interval, "freq")
     log = RowLog(spark, fresh_path(spark, "log-hashtag-interval"))
-    q = _start_batches(agg, "hashtag_iv", lambda df, bid: log.write_batch(df, bid), spark, trigger, "update")
-    _run(q, run_seconds)
+
+    def build(stream: DataFrame) -> DataStreamWriter:
+        us = filters.us_english(with_event_time(stream, delay))
+        tags = shape.hashtags(us, keep=("created_at",))
+        agg = counts.count_by_interval(tags, "tag", "tags", interval, "freq")
+        return _batches(lambda df, bid: log.write_batch(df, bid), "update")(agg)
+
+    _drive(spark, "hashtag_iv", source, build, trigger, run_seconds, files_per_trigger)
     return _ntz_window(log.current(["window_start", "window_end", "tags"]))
 
 
 def user_counts(
     spark: SparkSession,
-    statuses: DataFrame,
+    source: Source,
     lang: str = DEFAULT_LANG,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
+    files_per_trigger: int = 8,
 ) -> DataFrame:
     """W7 + K2: running count per author across batches.
 
@@ -119,31 +130,33 @@ def user_counts(
         inc = counts.count_by(filters.by_lang(batch, lang), F.col("user.screen_name"), "user", "count")
         log.write_batch(inc, bid)
 
-    _run(_start_batches(statuses, "user_counts", handle, spark, trigger), run_seconds)
+    _drive(spark, "user_counts", source, _batches(handle), trigger, run_seconds, files_per_trigger)
     return log.totals("user", "count")
 
 
 def geo_points(
     spark: SparkSession,
-    statuses: DataFrame,
+    source: Source,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
+    files_per_trigger: int = 8,
 ) -> DataFrame:
     """F4 + P3 through the native parquet sink."""
     out = fresh_path(spark, "out-geo-points")
-    pts = shape.geo_points(filters.with_geo(statuses))
-    _run(_start_parquet(pts, "geo_points", spark, out, trigger), run_seconds)
+    build = lambda stream: _parquet(out)(shape.geo_points(filters.with_geo(stream)))
+    _drive(spark, "geo_points", source, build, trigger, run_seconds, files_per_trigger)
     return spark.read.parquet(out)
 
 
 def sentiment_scores(
     spark: SparkSession,
-    statuses: DataFrame,
+    source: Source,
     lexicon: DataFrame,
     keywords: Iterable[str],
     lang: str = DEFAULT_LANG,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
+    files_per_trigger: int = 8,
 ) -> DataFrame:
     """F7 + J1 + A4 per micro-batch.
 
@@ -157,7 +170,7 @@ def sentiment_scores(
         tracked = filters.on_track(filters.by_lang(batch, lang), keywords)
         log.write_batch(sentiment.sentiment(tracked, lexicon), bid)
 
-    _run(_start_batches(statuses, "sentiment", handle, spark, trigger), run_seconds)
+    _drive(spark, "sentiment", source, _batches(handle), trigger, run_seconds, files_per_trigger)
     return log.read().drop(keyed.BATCH_COL)
 
 
@@ -169,24 +182,26 @@ def _user_log_rows(statuses: DataFrame) -> DataFrame:
 
 def upsert_users(
     spark: SparkSession,
-    statuses: DataFrame,
+    source: Source,
     lang: str = DEFAULT_LANG,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
+    files_per_trigger: int = 8,
 ) -> DataFrame:
     """W8 + K1: user rows appended to a parquet row log, latest per id on read."""
     out = fresh_path(spark, "log-users")
-    rows = _user_log_rows(filters.by_lang(statuses, lang))
-    _run(_start_parquet(rows, "upsert_users", spark, out, trigger), run_seconds)
+    build = lambda stream: _parquet(out)(_user_log_rows(filters.by_lang(stream, lang)))
+    _drive(spark, "upsert_users", source, build, trigger, run_seconds, files_per_trigger)
     return keyed.latest_by_key(spark.read.parquet(out), "id", ["_ts", "_sid"]).drop("_ts", "_sid")
 
 
 def fanout(
     spark: SparkSession,
-    statuses: DataFrame,
+    source: Source,
     lang: str = DEFAULT_LANG,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
+    files_per_trigger: int = 8,
 ) -> dict[str, DataFrame]:
     """K5: place, user and status rows from one read of each batch.
 
@@ -206,7 +221,7 @@ def fanout(
         finally:
             en.unpersist()
 
-    _run(_start_batches(statuses, "fanout", handle, spark, trigger), run_seconds)
+    _drive(spark, "fanout", source, _batches(handle), trigger, run_seconds, files_per_trigger)
     return {
         "place_hifi": logs["place"].current("id", ["_ts", "_sid"]).drop("_ts", "_sid"),
         "user_hifi": logs["user"].current("id", ["_ts", "_sid"]).drop("_ts", "_sid"),

@@ -1,11 +1,14 @@
-"""File replay: the status records as a time-ordered stream of parquet files.
+"""File replay: the status records as a stream of parquet files.
 
 The reference reads a live network stream; here a stream is a folder of
 parquet files read with ``readStream`` (SRC1).  To replay the driver's tables
-as a stream, the derived statuses are written once to a staging table in the
-shared work folder (which also cuts the lineage), then copied into the replay
-folder one event-time slice at a time.  The file source picks files oldest
-first, so slices arrive in event-time order and a watermark drops nothing.
+as a stream, the derived statuses are written once, in one parallel job, into
+the shared work folder, split by event time into ``slices`` sub-folders.
+
+Streams whose result does not depend on arrival order read every slice in
+one run.  A watermarked stream runs once per slice on one checkpoint, each
+run reading slices ``0..i`` (already-seen files are skipped by the source's
+file log), so event time only moves forward between runs and no row is late.
 """
 
 from __future__ import annotations
@@ -19,12 +22,13 @@ from pulse.session import fresh_path
 from pulse.sources.statuses import status_records
 
 DEFAULT_SLICES = 4
+SLICE_COL = "_slice"
 
 _staged: dict[tuple[str, str, int], str] = {}
 
 
 def stage_replay(spark: SparkSession, sf_dir: str, slices: int = DEFAULT_SLICES) -> str:
-    """Write the statuses of ``sf_dir`` as ``slices`` time-ordered files; return the folder.
+    """Write the statuses of ``sf_dir`` split into ``slices`` event-time folders.
 
     Staged once per session and input; later calls reuse the folder.
     """
@@ -32,29 +36,37 @@ def stage_replay(spark: SparkSession, sf_dir: str, slices: int = DEFAULT_SLICES)
     if key in _staged:
         return _staged[key]
     tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:8]
-    staging = fresh_path(spark, f"replay-staging-{tag}")
     target = fresh_path(spark, f"replay-{tag}")
 
     statuses = status_records(spark, sf_dir)
-    # Slice index from the event-time range; the bounds are scalar subqueries,
-    # so nothing but two numbers is computed outside the plan.
+    # Slice index from the event-time range; the bounds are scalar subqueries
+    # over the events' time column only.
     t = F.unix_micros(F.col("created_at").cast("timestamp"))
     times = statuses.select(t.alias("t"))
     lo, hi = times.select(F.min("t")).scalar(), times.select(F.max("t")).scalar()
-    idx = F.least(
-        F.floor((t - lo) * slices / (hi - lo + 1)).cast("int"), F.lit(slices - 1)
-    )
-    statuses.withColumn("_slice", idx).write.partitionBy("_slice").parquet(staging)
-    staged = spark.read.parquet(staging)
-    for i in range(slices):
-        part = staged.where(F.col("_slice") == i).drop("_slice")
-        # One file per slice, written in order: the source reads oldest first.
-        part.coalesce(1).write.mode("append").parquet(target)
+    idx = F.least(F.floor((t - lo) * slices / (hi - lo + 1)), F.lit(slices - 1)).cast("int")
+    statuses.withColumn(SLICE_COL, idx).write.partitionBy(SLICE_COL).parquet(target)
     _staged[key] = target
     return target
 
 
-def status_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
+def all_slices(base: str) -> str:
+    """Glob over every replay file."""
+    return f"{base}/{SLICE_COL}=*/*.parquet"
+
+
+def slices_upto(base: str, last: int) -> str:
+    """Glob over the files of slices ``0..last``."""
+    ids = ",".join(str(i) for i in range(last + 1))
+    return f"{base}/{SLICE_COL}={{{ids}}}/*.parquet"
+
+
+def slice_runs(base: str, slices: int = DEFAULT_SLICES) -> list[str]:
+    """One source glob per run, each adding the next slice."""
+    return [slices_upto(base, i) for i in range(slices)]
+
+
+def status_stream(spark: SparkSession, path: str, files_per_trigger: int = 8) -> DataFrame:
     """SRC1: a streaming DataFrame of status records from a folder of parquet files."""
     return (
         spark.readStream.schema(STATUS)
