@@ -107,7 +107,8 @@ def top_k_per_group(df: DataFrame, group: str, k: int, order: list[Column], rank
     rows per task.
     """
     w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn(rank_name, F.row_number().over(w)).where(F.col(rank_name) <= k)
+    ranked = df.withColumn(rank_name, F.row_number().over(w)).where(F.col(rank_name) <= k)
+    return ranked.withColumn(rank_name, F.col(rank_name).cast("long"))
 
 
 __all__ = [

@@ -54,7 +54,7 @@ WITH statuses AS (
 en AS (SELECT * FROM statuses WHERE lang = 'en'),
 us AS (SELECT * FROM en WHERE place_id IS NOT NULL AND place_country_code = 'US'),
 tags AS (
- SELECT id, created_at, lower(t.tag) AS tag, t.pos - 1 AS pos
+ SELECT id, created_at, lower(t.tag) AS tag, CAST(t.pos - 1 AS INTEGER) AS pos
  FROM us, unnest(hashtags) WITH ORDINALITY AS t(tag, pos)),
 rts AS (SELECT * FROM statuses WHERE rt_text IS NOT NULL AND lower(rt_screen_name) = 'bts_twt'),
 lexicon(ord, word, score) AS (VALUES (1,'that',2),(2,'with',1),(3,'this',3),(4,'from',-2),
@@ -64,7 +64,7 @@ track_a AS (SELECT * FROM en WHERE contains(lower(text), 'attion') OR contains(l
  OR contains(lower(text), 'eriner')),
 track_b AS (SELECT * FROM en WHERE contains(lower(text), 'eriner') OR contains(lower(text), 'rely')),
 words_a AS (
- SELECT id, w.word, w.pos - 1 AS pos
+ SELECT id, w.word, CAST(w.pos - 1 AS INTEGER) AS pos
  FROM track_a, unnest(string_split(lower(text), ' ')) WITH ORDINALITY AS w(word, pos)),
 words_b AS (
  SELECT id, w.word FROM track_b, unnest(string_split(lower(text), ' ')) AS w(word)),
@@ -175,12 +175,12 @@ FROM statuses""",
     "user_counts": _USER_COUNTS,
     "user_counts_by_interval": "SELECT * FROM user_iv",
     "running_user_counts": """
-SELECT *, sum("count") OVER (PARTITION BY "user" ORDER BY window_start
-  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_count
+SELECT *, CAST(sum("count") OVER (PARTITION BY "user" ORDER BY window_start
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_count
 FROM user_iv""",
     "distinct_user_total": "SELECT count(DISTINCT user_screen_name) AS n_users FROM en",
     "top_100_users": _USER_COUNTS + ' ORDER BY "count" DESC, "user" ASC LIMIT 100',
-    "counter_user": 'SELECT "user", sum("count") AS "count" FROM user_iv GROUP BY 1',
+    "counter_user": 'SELECT "user", CAST(sum("count") AS BIGINT) AS "count" FROM user_iv GROUP BY 1',
     "us_statuses": "SELECT id, place_id, place_country_code AS country_code FROM us",
     "hashtag_explode": "SELECT id, pos, tag FROM tags",
     "hashtag_counts": _HASHTAG_COUNTS,
@@ -191,15 +191,15 @@ FROM user_iv""",
 SELECT * FROM (
  SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY freq DESC, tags ASC) AS rank
  FROM tag_iv) WHERE rank <= 3""",
-    "counter_hashtag": "SELECT tags, sum(freq) AS freq FROM tag_iv GROUP BY 1",
+    "counter_hashtag": "SELECT tags, CAST(sum(freq) AS BIGINT) AS freq FROM tag_iv GROUP BY 1",
     "counter_bump": """
-SELECT tags, sum(freq) AS freq FROM (
+SELECT tags, CAST(sum(freq) AS BIGINT) AS freq FROM (
  SELECT tags, freq FROM tag_iv UNION ALL SELECT 'ncaa' AS tags, 2 AS freq) GROUP BY 1""",
     "retweets": "SELECT id, rt_screen_name FROM statuses WHERE rt_text IS NOT NULL",
     "retweeter_counts": _RETWEETER_COUNTS,
     "retweeter_counts_by_interval": "SELECT * FROM rt_iv",
     "ranked_retweeters": f"SELECT top_user, retweeted, rank() OVER (ORDER BY retweeted DESC) AS rank FROM ({_RETWEETER_COUNTS})",
-    "counter_retweeter": "SELECT top_user, sum(retweeted) AS retweeted FROM rt_iv GROUP BY 1",
+    "counter_retweeter": "SELECT top_user, CAST(sum(retweeted) AS BIGINT) AS retweeted FROM rt_iv GROUP BY 1",
     "geo_points": """
 SELECT id, CAST(longitude AS FLOAT) AS longitude, CAST(latitude AS FLOAT) AS latitude
 FROM statuses WHERE latitude IS NOT NULL""",

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
@@ -35,6 +35,20 @@ def work_dir(spark: SparkSession) -> str:
     return d
 
 
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Compute ``df`` once into a parquet table in the shared work folder.
+
+    For an expensive input that a plan reads twice (e.g. a rank needs the
+    input for its histogram and again to join the ranks back).  The written
+    table cuts the lineage and survives lost executors; it is never a
+    machine-local copy.  One job writes it; readers scan the files.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, f"mat-{name}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the work folder (never reused, never cleared)."""
     base = work_dir(spark).rstrip("/")
