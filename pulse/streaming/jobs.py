@@ -23,7 +23,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pulse.operators import counts, filters, keyed, sentiment, shape
 from pulse.operators.keyed import RowLog
 from pulse.session import fresh_path
-from pulse.settings import DEFAULT_LANG
+from pulse.settings import DEFAULT_ACCOUNT, DEFAULT_LANG
 from pulse.streaming.replay import status_stream, with_event_time
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -50,13 +50,16 @@ def _drive(
     trigger: dict,
     run_seconds: float | None,
     files_per_trigger: int,
+    checkpoint: str,
 ) -> None:
     """Run the query once per source path, all runs on one checkpoint.
 
     A later run resumes from the committed offsets and state of the earlier
-    ones, exactly as a restart after a failure does.
+    ones, exactly as a restart after a failure does.  The checkpoint sits in
+    the output folder (``_checkpoint``, skipped by readers), so re-running a
+    job on the same output resumes where it stopped.
     """
-    ckpt = fresh_path(spark, f"ckpt-{name}")
+    ckpt = checkpoint
     for path in [source] if isinstance(source, str) else list(source):
         writer = build(status_stream(spark, path, files_per_trigger))
         q = (
@@ -68,6 +71,10 @@ def _drive(
         _run(q, run_seconds)
 
 
+def _ckpt(output_root: str) -> str:
+    return f"{output_root.rstrip('/')}/_checkpoint"
+
+
 def _batches(handler: Callable[[DataFrame, int], None], output_mode: str = "append"):
     return lambda stream: stream.writeStream.outputMode(output_mode).foreachBatch(handler)
 
@@ -87,6 +94,7 @@ def hashtag_counts_by_interval(
     source: Source,
     interval: str,
     delay: str = "10 minutes",
+    out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
     files_per_trigger: int = 8,
@@ -98,7 +106,7 @@ def hashtag_counts_by_interval(
     watermark lets the state store drop intervals once they can no longer
     change, so state stays bounded on an endless stream.
     """
-    log = RowLog(spark, fresh_path(spark, "log-hashtag-interval"))
+    log = RowLog(spark, out or fresh_path(spark, "log-hashtag-interval"))
 
     def build(stream: DataFrame) -> DataStreamWriter:
         us = filters.us_english(with_event_time(stream, delay))
@@ -106,45 +114,98 @@ def hashtag_counts_by_interval(
         agg = counts.count_by_interval(tags, "tag", "tags", interval, "freq")
         return _batches(lambda df, bid: log.write_batch(df, bid), "update")(agg)
 
-    _drive(spark, "hashtag_iv", source, build, trigger, run_seconds, files_per_trigger)
+    _drive(spark, "hashtag_iv", source, build, trigger, run_seconds, files_per_trigger, _ckpt(log.path))
     return _ntz_window(log.current(["window_start", "window_end", "tags"]))
 
 
+def increments(
+    spark: SparkSession,
+    source: Source,
+    name: str,
+    per_batch: Callable[[DataFrame], DataFrame],
+    key: str,
+    amount: str,
+    out: str | None = None,
+    trigger: dict = AVAILABLE_NOW,
+    run_seconds: float | None = None,
+    files_per_trigger: int = 8,
+) -> DataFrame:
+    """K2 on a stream: each batch appends its own counts; totals are sums on read.
+
+    Stateless: no state grows with the number of keys, and a replayed batch
+    overwrites its own increments instead of adding them again (D8).
+    """
+    log = RowLog(spark, out or fresh_path(spark, f"log-{name}"))
+    handle = lambda batch, bid: log.write_batch(per_batch(batch), bid)
+    _drive(spark, name, source, _batches(handle), trigger, run_seconds, files_per_trigger, _ckpt(log.path))
+    return log.totals(key, amount)
+
+
 def user_counts(
     spark: SparkSession,
     source: Source,
     lang: str = DEFAULT_LANG,
+    out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
     files_per_trigger: int = 8,
 ) -> DataFrame:
-    """W7 + K2: running count per author across batches.
+    """W7 + A2 + K2: running count per author across batches (DistinctUsers)."""
 
-    Each batch appends its own counts (stateless) to an increments log; the
-    running total is the sum on read.  No state grows with the number of
-    authors, and a replayed batch overwrites its own increments (D8).
-    """
-    log = RowLog(spark, fresh_path(spark, "log-user-counts"))
+    def per_batch(batch: DataFrame) -> DataFrame:
+        return counts.count_by(filters.by_lang(batch, lang), F.col("user.screen_name"), "user", "count")
 
-    def handle(batch: DataFrame, bid: int) -> None:
-        inc = counts.count_by(filters.by_lang(batch, lang), F.col("user.screen_name"), "user", "count")
-        log.write_batch(inc, bid)
+    return increments(spark, source, "user_counts", per_batch, "user", "count", out, trigger, run_seconds, files_per_trigger)
+
+
+def retweeter_counts(
+    spark: SparkSession,
+    source: Source,
+    account: str = DEFAULT_ACCOUNT,
+    out: str | None = None,
+    trigger: dict = AVAILABLE_NOW,
+    run_seconds: float | None = None,
+    files_per_trigger: int = 8,
+) -> DataFrame:
+    """F5 + F6 + A3 + K2: who retweets ``account``, running counts (TopRetweeter)."""
+
+    def per_batch(batch: DataFrame) -> DataFrame:
+        rts = filters.retweets_of(batch, account)
+        return counts.count_by(rts, F.col("user.screen_name"), "top_user", "retweeted")
+
+    return increments(
+        spark, source, "retweeter_counts", per_batch, "top_user", "retweeted", out, trigger, run_seconds, files_per_trigger
+    )
 
-    _drive(spark, "user_counts", source, _batches(handle), trigger, run_seconds, files_per_trigger)
-    return log.totals("user", "count")
+
+def status_ids(
+    spark: SparkSession,
+    source: Source,
+    lang: str = DEFAULT_LANG,
+    out: str | None = None,
+    trigger: dict = AVAILABLE_NOW,
+    run_seconds: float | None = None,
+    files_per_trigger: int = 8,
+) -> DataFrame:
+    """F1 + P1 through the parquet sink (TweetCount); ids are the table keys."""
+    out = out or fresh_path(spark, "out-status-ids")
+    build = lambda stream: _parquet(out)(shape.status_ids(filters.by_lang(stream, lang)))
+    _drive(spark, "status_ids", source, build, trigger, run_seconds, files_per_trigger, _ckpt(out))
+    return spark.read.parquet(out).distinct()
 
 
 def geo_points(
     spark: SparkSession,
     source: Source,
+    out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
     files_per_trigger: int = 8,
 ) -> DataFrame:
-    """F4 + P3 through the native parquet sink."""
-    out = fresh_path(spark, "out-geo-points")
+    """F4 + P3 through the native parquet sink (TweetLocation)."""
+    out = out or fresh_path(spark, "out-geo-points")
     build = lambda stream: _parquet(out)(shape.geo_points(filters.with_geo(stream)))
-    _drive(spark, "geo_points", source, build, trigger, run_seconds, files_per_trigger)
+    _drive(spark, "geo_points", source, build, trigger, run_seconds, files_per_trigger, _ckpt(out))
     return spark.read.parquet(out)
 
 
@@ -154,23 +215,24 @@ def sentiment_scores(
     lexicon: DataFrame,
     keywords: Iterable[str],
     lang: str = DEFAULT_LANG,
+    out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
     files_per_trigger: int = 8,
 ) -> DataFrame:
-    """F7 + J1 + A4 per micro-batch.
+    """F7 + J1 + A4 per micro-batch (Sentiment, one track).
 
     A status's words all sit in its own batch, so the batch sentiment plan is
     exact per batch and needs no streaming state.
     """
-    log = RowLog(spark, fresh_path(spark, "log-sentiment"))
+    log = RowLog(spark, out or fresh_path(spark, "log-sentiment"))
     keywords = tuple(keywords)
 
     def handle(batch: DataFrame, bid: int) -> None:
         tracked = filters.on_track(filters.by_lang(batch, lang), keywords)
         log.write_batch(sentiment.sentiment(tracked, lexicon), bid)
 
-    _drive(spark, "sentiment", source, _batches(handle), trigger, run_seconds, files_per_trigger)
+    _drive(spark, "sentiment", source, _batches(handle), trigger, run_seconds, files_per_trigger, _ckpt(log.path))
     return log.read().drop(keyed.BATCH_COL)
 
 
@@ -184,14 +246,15 @@ def upsert_users(
     spark: SparkSession,
     source: Source,
     lang: str = DEFAULT_LANG,
+    out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
     files_per_trigger: int = 8,
 ) -> DataFrame:
     """W8 + K1: user rows appended to a parquet row log, latest per id on read."""
-    out = fresh_path(spark, "log-users")
+    out = out or fresh_path(spark, "log-users")
     build = lambda stream: _parquet(out)(_user_log_rows(filters.by_lang(stream, lang)))
-    _drive(spark, "upsert_users", source, build, trigger, run_seconds, files_per_trigger)
+    _drive(spark, "upsert_users", source, build, trigger, run_seconds, files_per_trigger, _ckpt(out))
     return keyed.latest_by_key(spark.read.parquet(out), "id", ["_ts", "_sid"]).drop("_ts", "_sid")
 
 
@@ -199,6 +262,7 @@ def fanout(
     spark: SparkSession,
     source: Source,
     lang: str = DEFAULT_LANG,
+    out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
     files_per_trigger: int = 8,
@@ -209,7 +273,8 @@ def fanout(
     re-evaluates its source once per output, D9).  Returns the current
     (merge-on-read) tables.
     """
-    logs = {n: RowLog(spark, fresh_path(spark, f"log-{n}")) for n in ("place", "user", "status")}
+    root = out or fresh_path(spark, "log-hifi")
+    logs = {n: RowLog(spark, f"{root}/{n}_hifi") for n in ("place", "user", "status")}
     order = (F.col("created_at").alias("_ts"), F.col("id").alias("_sid"))
 
     def handle(batch: DataFrame, bid: int) -> None:
@@ -221,7 +286,7 @@ def fanout(
         finally:
             en.unpersist()
 
-    _drive(spark, "fanout", source, _batches(handle), trigger, run_seconds, files_per_trigger)
+    _drive(spark, "fanout", source, _batches(handle), trigger, run_seconds, files_per_trigger, _ckpt(root))
     return {
         "place_hifi": logs["place"].current("id", ["_ts", "_sid"]).drop("_ts", "_sid"),
         "user_hifi": logs["user"].current("id", ["_ts", "_sid"]).drop("_ts", "_sid"),
