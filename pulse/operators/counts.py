@@ -81,7 +81,11 @@ def rank_desc(df: DataFrame, value: str, rank_name: str = "rank") -> DataFrame:
     from the value histogram.  The histogram has one row per distinct value
     (for counts, ``d`` distinct values need at least ``d(d+1)/2`` rows, so it
     stays small); only it passes through a single-task window, and it joins
-    back on the value (AQE broadcasts it when its measured size allows).
+    back on the value.  That join key is skewed by nature (many tags share a
+    count of 1); AQE turns it into a broadcast join once it has measured the
+    small histogram, and splits skewed partitions if it cannot.  A caller
+    whose input is expensive to compute twice materialises it first
+    (``pulse.session.materialize``).
     """
     hist = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
     above = Window.orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)

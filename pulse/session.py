@@ -29,6 +29,10 @@ def work_dir(spark: SparkSession) -> str:
     """
     d = _configured_checkpoint_dir(spark)
     if d is None:
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder would not survive a lost executor or be
+            # visible to other nodes: refuse instead of guessing.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="pulse-work-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir()
