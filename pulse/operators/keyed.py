@@ -48,10 +48,11 @@ def counter_totals(increments: DataFrame, key: str | Sequence[str], amount: str,
 
 def counter_bump(increments: DataFrame, key_values: dict, amount_col: str, amount: int) -> DataFrame:
     """K6: ``UPDATE t SET c = c + n WHERE key = v`` as one appended increment row."""
-    spark = increments.sparkSession
     row = {**key_values, amount_col: amount}
-    cols = [c for c in increments.columns if c in row]
-    bump = spark.createDataFrame([tuple(row[c] for c in cols)], increments.select(*cols).schema)
+    types = dict(increments.dtypes)
+    bump = increments.sparkSession.range(1).select(
+        *[F.lit(v).cast(types[c]).alias(c) for c, v in row.items()]
+    )
     return increments.unionByName(bump, allowMissingColumns=True)
 
 

@@ -75,3 +75,13 @@ def test_cli_runs_an_app(spark, replay, capsys):
     main(["tweet_location", "--source", all_slices(replay), "--out", out, "--available-now", "--preview", "3"])
     assert "longitude" in capsys.readouterr().out
     assert spark.table("location").count() == 250
+
+
+def test_live_trigger_runs_for_the_configured_time(spark, sf_small, replay):
+    import time
+
+    live = JobSettings(interval="1 second", run_seconds=8, out_path=fresh_path(spark, "t-live"))
+    t0 = time.time()
+    got = apps.tweet_location(spark, all_slices(replay), live)["location"]
+    assert time.time() - t0 >= 8
+    assert rows(got) == rows(batch.geo_points(spark, sf_small))

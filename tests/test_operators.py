@@ -129,3 +129,25 @@ def test_running_totals(spark):
     )
     got = {(r["user"], r["window_start"]): r["running_count"] for r in counts.running_totals(df, "user").collect()}
     assert got == {("u", 1): 3, ("u", 2): 4, ("v", 1): 5}
+
+
+def test_hot_key_with_a_third_of_rows(spark):
+    """One author writes a third of all statuses: counts and upserts stay exact."""
+    from edge_rows import user
+
+    rows = [status(i, user=user(7 if i % 3 == 0 else 100 + i, followers=i)) for i in range(900)]
+    df = spark.createDataFrame(rows, STATUS).repartition(8)
+    got = {r["user"]: r["count"] for r in counts.count_by(df, F.col("user.screen_name"), "user").collect()}
+    assert got["User_7"] == 300 and len(got) == 601
+    latest = keyed.latest_by_key(shape.user_rows(df, carry=(F.col("id").alias("_sid"),)), "id", ["_sid"])
+    hot = latest.where("id = 7").collect()
+    assert len(hot) == 1 and hot[0]["followers_count"] == 897
+
+
+def test_approx_distinct_is_close(spark):
+    from edge_rows import user
+
+    df = spark.createDataFrame([status(i, user=user(i % 400)) for i in range(2000)], STATUS)
+    exact = counts.distinct_total(df, F.col("user.screen_name")).first()[0]
+    approx = counts.distinct_total(df, F.col("user.screen_name"), exact=False).first()[0]
+    assert exact == 400 and abs(approx - 400) <= 0.05 * 400
