@@ -17,6 +17,13 @@ from pyspark.sql import SparkSession
 from pulse.settings import TRACK_A_KEYWORDS, TRACK_B_KEYWORDS, JobSettings
 from pulse.streaming.apps import APPS
 
+STREAM_DEFAULTS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="pulse.run")
@@ -45,6 +52,11 @@ def main(argv: list[str] | None = None) -> None:
         track_b=tuple(k for k in args.track_b.split(",") if k),
     )
     spark = SparkSession.builder.appName(f"pulse-{args.app}").getOrCreate()
+    # Large streaming state lives off-heap in RocksDB, checkpointed by
+    # changelog.  Set only where the user (spark-submit --conf) has not.
+    for key, value in STREAM_DEFAULTS.items():
+        if spark.conf.get(key, None) in (None, ""):
+            spark.conf.set(key, value)
     tables = APPS[args.app](spark, args.source, settings, available_now=args.available_now)
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
