@@ -26,7 +26,7 @@ CREATED_AT_PATTERN = "EEE MMM dd HH:mm:ss 'UTC' yyyy"
 class JobSettings:
     """Typed replacement for the reference's properties file."""
 
-    run_seconds: int = 60
+    run_seconds: int = 60  # <= 0: run until stopped
     interval: str = "10 seconds"
     out_path: str | None = None
     lexicon_path: str | None = None

@@ -23,7 +23,9 @@ from pulse.streaming import jobs
 def _trigger(settings: JobSettings, available_now: bool) -> tuple[dict, float | None]:
     if available_now:
         return jobs.AVAILABLE_NOW, None
-    return {"processingTime": settings.interval}, float(settings.run_seconds)
+    # run_seconds <= 0: run until the query is stopped or killed.
+    secs = float(settings.run_seconds) if settings.run_seconds > 0 else None
+    return {"processingTime": settings.interval}, secs
 
 
 def _out(spark: SparkSession, settings: JobSettings, table: str) -> str:

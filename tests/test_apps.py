@@ -85,3 +85,14 @@ def test_live_trigger_runs_for_the_configured_time(spark, sf_small, replay):
     got = apps.tweet_location(spark, all_slices(replay), live)["location"]
     assert time.time() - t0 >= 8
     assert rows(got) == rows(batch.geo_points(spark, sf_small))
+
+
+def test_written_table_registered_for_sql(spark, replay):
+    """SRC3: a table written by an app is registered with CREATE ... USING parquet."""
+    from pulse.plans.views import register_parquet_table
+
+    live = JobSettings(out_path=fresh_path(spark, "t-sql"))
+    apps.tweet_location(spark, all_slices(replay), live, available_now=True)
+    register_parquet_table(spark, "demo_location", f"{live.out_path}/location")
+    n = spark.sql("SELECT count(*) AS n FROM demo_location WHERE latitude IS NOT NULL").first()["n"]
+    assert n == 250
