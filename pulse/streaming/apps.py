@@ -68,17 +68,15 @@ def tweet_location(spark, source, settings: JobSettings, available_now=False) ->
 
 
 def sentiment(spark, source, settings: JobSettings, available_now=False, lexicon: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Two keyword tracks, two tables; the lexicon is read once and broadcast if small."""
+    """Two keyword tracks, two tables, one streaming query; the lexicon is read
+    once and broadcast if its size is proven small."""
     trigger, secs = _trigger(settings, available_now)
     if lexicon is None:
         raw = read_lexicon(spark, settings.lexicon_path) if settings.lexicon_path else fixture_lexicon(spark)
         lexicon = lexicon_dimension(raw, cache_key=settings.lexicon_path)
-    out = {}
-    for table, track in (("russia_sentiment", settings.track_a), ("trump_sentiment", settings.track_b)):
-        out[table] = jobs.sentiment_scores(
-            spark, source, lexicon, track, settings.lang, _out(spark, settings, table), trigger, secs
-        )
-    return out
+    tracks = {"russia_sentiment": settings.track_a, "trump_sentiment": settings.track_b}
+    root = _out(spark, settings, "sentiment")
+    return jobs.sentiment_tracks(spark, source, lexicon, tracks, settings.lang, root, trigger, secs)
 
 
 def hifi_tables(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:

@@ -209,31 +209,56 @@ def geo_points(
     return spark.read.parquet(out)
 
 
-def sentiment_scores(
+def sentiment_tracks(
     spark: SparkSession,
     source: Source,
     lexicon: DataFrame,
-    keywords: Iterable[str],
+    tracks: dict[str, Iterable[str]],
     lang: str = DEFAULT_LANG,
     out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
     files_per_trigger: int = 8,
-) -> DataFrame:
-    """F7 + J1 + A4 per micro-batch (Sentiment, one track).
+) -> dict[str, DataFrame]:
+    """F7/F8 + J1 + A4: several keyword tracks scored from one read of each batch.
 
     A status's words all sit in its own batch, so the batch sentiment plan is
-    exact per batch and needs no streaming state.
+    exact per batch and needs no streaming state.  The English statuses of a
+    batch are persisted once and scored for every track (a status may be on
+    several tracks).
     """
-    log = RowLog(spark, out or fresh_path(spark, "log-sentiment"))
-    keywords = tuple(keywords)
+    root = out or fresh_path(spark, "log-sentiment")
+    logs = {name: RowLog(spark, f"{root}/{name}") for name in tracks}
+    keywords = {name: tuple(words) for name, words in tracks.items()}
 
     def handle(batch: DataFrame, bid: int) -> None:
-        tracked = filters.on_track(filters.by_lang(batch, lang), keywords)
-        log.write_batch(sentiment.sentiment(tracked, lexicon), bid)
+        en = filters.by_lang(batch, lang).select("id", "text").persist()
+        try:
+            for name, kws in keywords.items():
+                logs[name].write_batch(sentiment.sentiment(filters.on_track(en, kws), lexicon), bid)
+        finally:
+            en.unpersist()
+
+    _drive(spark, "sentiment", source, _batches(handle), trigger, run_seconds, files_per_trigger, _ckpt(root))
+    return {name: log.read().drop(keyed.BATCH_COL) for name, log in logs.items()}
+
 
-    _drive(spark, "sentiment", source, _batches(handle), trigger, run_seconds, files_per_trigger, _ckpt(log.path))
-    return log.read().drop(keyed.BATCH_COL)
+def sentiment_scores(
+    spark: SparkSession,
+    source: Source,
+    lexicon: DataFrame,
+    keywords: Iterable[str],
+    lang: str = DEFAULT_LANG,
+    out: str | None = None,
+    trigger: dict = AVAILABLE_NOW,
+    run_seconds: float | None = None,
+    files_per_trigger: int = 8,
+) -> DataFrame:
+    """One keyword track (see ``sentiment_tracks``)."""
+    tables = sentiment_tracks(
+        spark, source, lexicon, {"track": keywords}, lang, out, trigger, run_seconds, files_per_trigger
+    )
+    return tables["track"]
 
 
 def _user_log_rows(statuses: DataFrame) -> DataFrame:
