@@ -9,8 +9,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (also under Spark Connect)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect sessions expose no SparkContext
+        return spark.conf.get("spark.app.id", None) or f"session-{id(spark)}"
+
+
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: only the configuration is visible
+        return spark.conf.get("spark.checkpoint.dir", None) or None
     d = sc.getCheckpointDir()
     if d:
         return d
@@ -21,6 +32,13 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext.master.startswith("local")
+    except Exception:
+        return (spark.conf.get("spark.master", "") or "").startswith("local")
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for row logs, replay files and stream checkpoints.
 
@@ -29,13 +47,16 @@ def work_dir(spark: SparkSession) -> str:
     """
     d = _configured_checkpoint_dir(spark)
     if d is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not _is_local(spark):
             # A machine-local folder would not survive a lost executor or be
             # visible to other nodes: refuse instead of guessing.
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="pulse-work-")
-        spark.sparkContext.setCheckpointDir(d)
-        d = spark.sparkContext.getCheckpointDir()
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:
+            pass
     return d
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pulse.functions.sizing import broadcast_if_small
+from pulse.session import app_id
 from pulse.sources.tables import read_table
 
 # Nation is a fixed-size dimension (25 rows in TPC-H); this is its bound.
@@ -47,7 +48,7 @@ def status_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     the wide nested projection costs driver time, and the plan is the same for
     every query over the same immutable tables.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_id(spark), sf_dir)
     plan = _plans.get(key)
     if plan is None:
         plan = _plans[key] = _build_status_records(spark, sf_dir)

@@ -18,7 +18,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulse.schema import STATUS
-from pulse.session import fresh_path
+from pulse.session import app_id, fresh_path
 from pulse.sources.statuses import status_records
 
 DEFAULT_SLICES = 4
@@ -32,7 +32,7 @@ def stage_replay(spark: SparkSession, sf_dir: str, slices: int = DEFAULT_SLICES)
 
     Staged once per session and input; later calls reuse the folder.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, slices)
+    key = (app_id(spark), sf_dir, slices)
     if key in _staged:
         return _staged[key]
     tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:8]
