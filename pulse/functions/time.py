@@ -10,13 +10,3 @@ from pulse.settings import CREATED_AT_PATTERN
 def created_at_text(ts: Column) -> Column:
     """Date-time as text in Java ``Date.toString`` layout (UTC wall clock)."""
     return F.date_format(ts, CREATED_AT_PATTERN)
-
-
-def interval_start(ts: Column, interval: str) -> Column:
-    """Start of the tumbling event-time interval holding ``ts``."""
-    return F.window(ts, interval).start
-
-
-def interval_columns(ts: Column, interval: str) -> list[Column]:
-    w = F.window(ts, interval)
-    return [w.start.alias("window_start"), w.end.alias("window_end")]

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pulse.functions.time import interval_columns
 
 
 def count_by(df: DataFrame, key: str | Column, key_name: str, count_name: str = "count") -> DataFrame:
@@ -124,5 +123,4 @@ __all__ = [
     "rank_desc",
     "top_k",
     "top_k_per_group",
-    "interval_columns",
 ]
