@@ -14,6 +14,7 @@ interval) and runs until ``run_seconds`` elapse.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 
@@ -62,15 +63,46 @@ def _drive(
     ckpt = checkpoint
     for path in [source] if isinstance(source, str) else list(source):
         writer = build(status_stream(spark, path, files_per_trigger))
-        q = (
-            writer.queryName(f"{name}_{uuid.uuid4().hex[:8]}")
-            .option("checkpointLocation", ckpt)
-            .trigger(**trigger)
-            .start()
-        )
+        with _query_conf(spark, {"spark.sql.shuffle.partitions": str(_stream_partitions(spark))}):
+            q = (
+                writer.queryName(f"{name}_{uuid.uuid4().hex[:8]}")
+                .option("checkpointLocation", ckpt)
+                .trigger(**trigger)
+                .start()
+            )
         _run(q, run_seconds)
 
 
+def _stream_partitions(spark: SparkSession) -> int:
+    """Partitions of a stream's shuffles and of its state store.
+
+    Sized to the cluster (one per core), not to the session's batch default:
+    every micro-batch touches every state partition, so 200 partitions on a
+    small stream cost more than its data.  A restart reads the number back
+    from the checkpoint, so it stays fixed for the life of the query.
+    """
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:  # Spark Connect: keep the session's setting
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+@contextlib.contextmanager
+def _query_conf(spark: SparkSession, conf: dict[str, str]):
+    """Apply ``conf`` while a query starts (the query copies the session then)."""
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def _ckpt(output_root: str) -> str:
     return f"{output_root.rstrip('/')}/_checkpoint"
 
