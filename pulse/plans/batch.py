@@ -45,7 +45,7 @@ def status_scan(spark, sf_dir):
     return flat_statuses(statuses(spark, sf_dir))
 
 
-# ---- TweetCount ------------------------------------------------------------
+# ---- English statuses: ids, total, preview ----------------------------------
 
 def lang_filter(spark, sf_dir):
     return english(spark, sf_dir).select("id", "lang", "created_at")
@@ -67,7 +67,7 @@ def preview_100(spark, sf_dir):
     return counts.top_k(rows, 100, [F.asc("id")])
 
 
-# ---- DistinctUsers ---------------------------------------------------------
+# ---- Statuses per author ----------------------------------------------------
 
 def _user_key():
     return F.col("user.screen_name")
@@ -98,7 +98,7 @@ def counter_user(spark, sf_dir):
     return keyed.counter_totals(user_counts_by_interval(spark, sf_dir), "user", "count")
 
 
-# ---- TopTrending -----------------------------------------------------------
+# ---- Hashtags of English statuses placed in one country ----------------------
 
 def _us(spark, sf_dir):
     return filters.us_english(statuses(spark, sf_dir))
@@ -153,7 +153,7 @@ def counter_bump(spark, sf_dir):
     return keyed.counter_totals(bumped, "tags", "freq")
 
 
-# ---- TopRetweeter ----------------------------------------------------------
+# ---- Retweeters of one account -----------------------------------------------
 
 def retweets(spark, sf_dir):
     return filters.retweets(statuses(spark, sf_dir)).select(
@@ -183,13 +183,13 @@ def counter_retweeter(spark, sf_dir):
     return keyed.counter_totals(retweeter_counts_by_interval(spark, sf_dir), "top_user", "retweeted")
 
 
-# ---- TweetLocation ---------------------------------------------------------
+# ---- Geo points ---------------------------------------------------------------
 
 def geo_points(spark, sf_dir):
     return shape.geo_points(filters.with_geo(statuses(spark, sf_dir)))
 
 
-# ---- Sentiment -------------------------------------------------------------
+# ---- Keyword tracks and lexicon sentiment -------------------------------------
 
 def track_a(spark, sf_dir):
     return filters.on_track(english(spark, sf_dir), TEST_TRACK_A).select("id")
@@ -221,7 +221,7 @@ def ranked_sentiment(spark, sf_dir):
     return counts.rank_desc(ratings, "rating", "rank")
 
 
-# ---- HifiTables ------------------------------------------------------------
+# ---- Wide status, user and place tables ---------------------------------------
 
 def place_rows(spark, sf_dir):
     return shape.place_rows(english(spark, sf_dir))

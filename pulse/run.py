@@ -1,6 +1,6 @@
 """Command line: run one of the seven apps on a folder of status files.
 
-    spark-submit -m pulse.run top_trending --source /data/statuses --out /data/tables \
+    spark-submit -m pulse.run trending_hashtags --source /data/statuses --out /data/tables \
         --interval "10 seconds" --run-seconds 60
 
 ``--available-now`` replays what is in ``--source`` and stops.  Results are

@@ -33,19 +33,19 @@ def _out(spark: SparkSession, settings: JobSettings, table: str) -> str:
     return f"{base.rstrip('/')}/{table}"
 
 
-def tweet_count(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
+def status_ids(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
     trigger, secs = _trigger(settings, available_now)
     ids = jobs.status_ids(spark, source, settings.lang, _out(spark, settings, "tweet"), trigger, secs)
     return {"tweet": ids}
 
 
-def distinct_users(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
+def author_counts(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
     trigger, secs = _trigger(settings, available_now)
     out = _out(spark, settings, "distinct_user")
     return {"distinct_user": jobs.user_counts(spark, source, settings.lang, out, trigger, secs)}
 
 
-def top_trending(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
+def trending_hashtags(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
     trigger, secs = _trigger(settings, available_now)
     out = _out(spark, settings, "hashtag_by_interval")
     per_interval = jobs.hashtag_counts_by_interval(
@@ -55,19 +55,19 @@ def top_trending(spark, source, settings: JobSettings, available_now=False) -> d
     return {"hashtag_by_interval": per_interval, "hashtag": totals}
 
 
-def top_retweeter(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
+def account_retweeters(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
     trigger, secs = _trigger(settings, available_now)
     out = _out(spark, settings, "toptweeter")
     return {"toptweeter": jobs.retweeter_counts(spark, source, settings.account, out, trigger, secs)}
 
 
-def tweet_location(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
+def geo_points(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
     trigger, secs = _trigger(settings, available_now)
     out = _out(spark, settings, "location")
     return {"location": jobs.geo_points(spark, source, out, trigger, secs)}
 
 
-def sentiment(spark, source, settings: JobSettings, available_now=False, lexicon: DataFrame | None = None) -> dict[str, DataFrame]:
+def keyword_sentiment(spark, source, settings: JobSettings, available_now=False, lexicon: DataFrame | None = None) -> dict[str, DataFrame]:
     """Two keyword tracks, two tables, one streaming query; the lexicon is read
     once and broadcast if its size is proven small."""
     trigger, secs = _trigger(settings, available_now)
@@ -79,18 +79,18 @@ def sentiment(spark, source, settings: JobSettings, available_now=False, lexicon
     return jobs.sentiment_tracks(spark, source, lexicon, tracks, settings.lang, root, trigger, secs)
 
 
-def hifi_tables(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
+def wide_tables(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
     trigger, secs = _trigger(settings, available_now)
     root = _out(spark, settings, "hifi")
     return jobs.fanout(spark, source, settings.lang, root, trigger, secs)
 
 
 APPS: dict[str, Callable[..., dict[str, DataFrame]]] = {
-    "tweet_count": tweet_count,
-    "distinct_users": distinct_users,
-    "top_trending": top_trending,
-    "top_retweeter": top_retweeter,
-    "tweet_location": tweet_location,
-    "sentiment": sentiment,
-    "hifi_tables": hifi_tables,
+    "status_ids": status_ids,
+    "author_counts": author_counts,
+    "trending_hashtags": trending_hashtags,
+    "account_retweeters": account_retweeters,
+    "geo_points": geo_points,
+    "keyword_sentiment": keyword_sentiment,
+    "wide_tables": wide_tables,
 }

@@ -182,7 +182,7 @@ def user_counts(
     run_seconds: float | None = None,
     files_per_trigger: int = 8,
 ) -> DataFrame:
-    """W7 + A2 + K2: running count per author across batches (DistinctUsers)."""
+    """W7 + A2 + K2: running count per author across batches."""
 
     def per_batch(batch: DataFrame) -> DataFrame:
         return counts.count_by(filters.by_lang(batch, lang), F.col("user.screen_name"), "user", "count")
@@ -199,7 +199,7 @@ def retweeter_counts(
     run_seconds: float | None = None,
     files_per_trigger: int = 8,
 ) -> DataFrame:
-    """F5 + F6 + A3 + K2: who retweets ``account``, running counts (TopRetweeter)."""
+    """F5 + F6 + A3 + K2: who retweets ``account``, running counts."""
 
     def per_batch(batch: DataFrame) -> DataFrame:
         rts = filters.retweets_of(batch, account)
@@ -219,7 +219,7 @@ def status_ids(
     run_seconds: float | None = None,
     files_per_trigger: int = 8,
 ) -> DataFrame:
-    """F1 + P1 through the parquet sink (TweetCount); ids are the table keys."""
+    """F1 + P1 through the parquet sink; ids are the table keys."""
     out = out or fresh_path(spark, "out-status-ids")
     build = lambda stream: _parquet(out)(shape.status_ids(filters.by_lang(stream, lang)))
     _drive(spark, "status_ids", source, build, trigger, run_seconds, files_per_trigger, _ckpt(out))
@@ -234,7 +234,7 @@ def geo_points(
     run_seconds: float | None = None,
     files_per_trigger: int = 8,
 ) -> DataFrame:
-    """F4 + P3 through the native parquet sink (TweetLocation)."""
+    """F4 + P3 through the native parquet sink."""
     out = out or fresh_path(spark, "out-geo-points")
     build = lambda stream: _parquet(out)(shape.geo_points(filters.with_geo(stream)))
     _drive(spark, "geo_points", source, build, trigger, run_seconds, files_per_trigger, _ckpt(out))

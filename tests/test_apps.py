@@ -30,39 +30,39 @@ def settings(spark):
 
 
 def test_tweet_count(spark, sf_small, replay, settings):
-    got = apps.tweet_count(spark, all_slices(replay), settings, available_now=True)["tweet"]
+    got = apps.status_ids(spark, all_slices(replay), settings, available_now=True)["tweet"]
     assert rows(got) == rows(batch.status_ids(spark, sf_small))
 
 
 def test_distinct_users(spark, sf_small, replay, settings):
-    got = apps.distinct_users(spark, all_slices(replay), settings, available_now=True)["distinct_user"]
+    got = apps.author_counts(spark, all_slices(replay), settings, available_now=True)["distinct_user"]
     assert rows(got) == rows(batch.user_counts(spark, sf_small))
 
 
 def test_top_trending(spark, sf_small, replay, settings):
-    out = apps.top_trending(spark, slice_runs(replay), settings, available_now=True)
+    out = apps.trending_hashtags(spark, slice_runs(replay), settings, available_now=True)
     assert rows(out["hashtag_by_interval"]) == rows(batch.hashtag_counts_by_interval(spark, sf_small))
     assert rows(out["hashtag"]) == rows(batch.hashtag_counts(spark, sf_small))
 
 
 def test_top_retweeter(spark, sf_small, replay, settings):
-    got = apps.top_retweeter(spark, all_slices(replay), settings, available_now=True)["toptweeter"]
+    got = apps.account_retweeters(spark, all_slices(replay), settings, available_now=True)["toptweeter"]
     assert rows(got) == rows(batch.retweeter_counts(spark, sf_small))
 
 
 def test_tweet_location(spark, sf_small, replay, settings):
-    got = apps.tweet_location(spark, all_slices(replay), settings, available_now=True)["location"]
+    got = apps.geo_points(spark, all_slices(replay), settings, available_now=True)["location"]
     assert rows(got) == rows(batch.geo_points(spark, sf_small))
 
 
 def test_sentiment(spark, sf_small, replay, settings):
-    out = apps.sentiment(spark, all_slices(replay), settings, available_now=True)
+    out = apps.keyword_sentiment(spark, all_slices(replay), settings, available_now=True)
     assert rows(out["russia_sentiment"]) == rows(batch.sentiment_a(spark, sf_small))
     assert rows(out["trump_sentiment"]) == rows(batch.sentiment_b(spark, sf_small))
 
 
 def test_hifi_tables(spark, sf_small, replay, settings):
-    out = apps.hifi_tables(spark, all_slices(replay), settings, available_now=True)
+    out = apps.wide_tables(spark, all_slices(replay), settings, available_now=True)
     assert rows(out["status_hifi"]) == rows(batch.status_rows(spark, sf_small))
     assert rows(out["user_hifi"]) == rows(batch.upsert_users(spark, sf_small))
     assert rows(out["place_hifi"]) == rows(batch.upsert_places(spark, sf_small))
@@ -72,7 +72,7 @@ def test_cli_runs_an_app(spark, replay, capsys):
     from pulse.run import main
 
     out = fresh_path(spark, "t-cli")
-    main(["tweet_location", "--source", all_slices(replay), "--out", out, "--available-now", "--preview", "3"])
+    main(["geo_points", "--source", all_slices(replay), "--out", out, "--available-now", "--preview", "3"])
     assert "longitude" in capsys.readouterr().out
     assert spark.table("location").count() == 250
 
@@ -82,7 +82,7 @@ def test_live_trigger_runs_for_the_configured_time(spark, sf_small, replay):
 
     live = JobSettings(interval="1 second", run_seconds=8, out_path=fresh_path(spark, "t-live"))
     t0 = time.time()
-    got = apps.tweet_location(spark, all_slices(replay), live)["location"]
+    got = apps.geo_points(spark, all_slices(replay), live)["location"]
     assert time.time() - t0 >= 8
     assert rows(got) == rows(batch.geo_points(spark, sf_small))
 
@@ -92,7 +92,7 @@ def test_written_table_registered_for_sql(spark, replay):
     from pulse.plans.views import register_parquet_table
 
     live = JobSettings(out_path=fresh_path(spark, "t-sql"))
-    apps.tweet_location(spark, all_slices(replay), live, available_now=True)
+    apps.geo_points(spark, all_slices(replay), live, available_now=True)
     register_parquet_table(spark, "demo_location", f"{live.out_path}/location")
     n = spark.sql("SELECT count(*) AS n FROM demo_location WHERE latitude IS NOT NULL").first()["n"]
     assert n == 250
