@@ -64,12 +64,18 @@ class RowLog:
     a failure replaces its rows instead of adding them again.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = ()):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.partition_by = list(partition_by)
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
+        """Write one batch; ``partition_by`` columns (e.g. a day) become folders
+        inside the batch folder, so readers filtering on them prune files."""
+        writer = df.write.mode("overwrite")
+        if self.partition_by:
+            writer = writer.partitionBy(*self.partition_by)
+        writer.parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path)

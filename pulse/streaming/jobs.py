@@ -138,16 +138,20 @@ def hashtag_counts_by_interval(
     watermark lets the state store drop intervals once they can no longer
     change, so state stays bounded on an endless stream.
     """
-    log = RowLog(spark, out or fresh_path(spark, "log-hashtag-interval"))
+    # Partitioned by day inside each batch: a reader bounded in time prunes.
+    log = RowLog(spark, out or fresh_path(spark, "log-hashtag-interval"), partition_by=("day",))
+
+    def write(df: DataFrame, bid: int) -> None:
+        log.write_batch(df.withColumn("day", F.to_date("window_start")), bid)
 
     def build(stream: DataFrame) -> DataStreamWriter:
         us = filters.us_english(with_event_time(stream, delay))
         tags = shape.hashtags(us, keep=("created_at",))
         agg = counts.count_by_interval(tags, "tag", "tags", interval, "freq")
-        return _batches(lambda df, bid: log.write_batch(df, bid), "update")(agg)
+        return _batches(write, "update")(agg)
 
     _drive(spark, "hashtag_iv", source, build, trigger, run_seconds, files_per_trigger, _ckpt(log.path))
-    return _ntz_window(log.current(["window_start", "window_end", "tags"]))
+    return _ntz_window(log.current(["window_start", "window_end", "tags"]).drop("day"))
 
 
 def increments(

@@ -39,3 +39,22 @@ def test_lexicon_file_first_entry_wins_and_bad_lines_drop(spark, tmp_path):
     p.write_text("good\t3\nbad\t-2\ngood\t-1\nbroken line\nodd\tnotanumber\n")
     lex = {r["word"]: r["score"] for r in first_wins(read_lexicon(spark, str(p))).collect()}
     assert lex == {"good": 3, "bad": -2}
+
+
+def test_day_partitioned_log_prunes_on_read(spark):
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    log = keyed.RowLog(spark, fresh_path(spark, "t-day"), partition_by=("day",))
+    rows = spark.createDataFrame(
+        [("a", 1, "2024-01-01"), ("b", 2, "2024-01-02")], "k string, n long, day string"
+    ).withColumn("day", F.to_date("day"))
+    log.write_batch(rows, 0)
+    one_day = log.read().where(F.col("day") == F.lit("2024-01-02").cast("date"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        one_day.explain("formatted")
+    assert "PartitionFilters: [isnotnull(day" in buf.getvalue()
+    assert [r["k"] for r in one_day.collect()] == ["b"]
