@@ -28,6 +28,14 @@ def stream_user_counts(spark, sf_dir):
     return jobs.user_counts(spark, _stream(spark, sf_dir))
 
 
+def stream_retweeter_counts(spark, sf_dir):
+    return jobs.retweeter_counts(spark, _stream(spark, sf_dir))
+
+
+def stream_status_ids(spark, sf_dir):
+    return jobs.status_ids(spark, _stream(spark, sf_dir))
+
+
 def stream_geo_points(spark, sf_dir):
     return jobs.geo_points(spark, _stream(spark, sf_dir))
 
@@ -59,6 +67,8 @@ def stream_fanout(spark, sf_dir):
 STREAM_QUERIES = {
     "stream_hashtag_counts_by_interval": stream_hashtag_counts_by_interval,
     "stream_user_counts": stream_user_counts,
+    "stream_retweeter_counts": stream_retweeter_counts,
+    "stream_status_ids": stream_status_ids,
     "stream_geo_points": stream_geo_points,
     "stream_sentiment": stream_sentiment,
     "stream_upsert_users": stream_upsert_users,
@@ -69,6 +79,8 @@ STREAM_QUERIES = {
 STREAM_ORACLE = {
     "stream_hashtag_counts_by_interval": "hashtag_counts_by_interval",
     "stream_user_counts": "user_counts",
+    "stream_retweeter_counts": "retweeter_counts",
+    "stream_status_ids": "status_ids",
     "stream_geo_points": "geo_points",
     "stream_sentiment": "sentiment_a",
     "stream_upsert_users": "upsert_users",
