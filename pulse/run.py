@@ -1,7 +1,7 @@
 """Command line: run one of the seven apps on a folder of status files.
 
-    spark-submit -m pulse.run trending_hashtags --source /data/statuses --out /data/tables \
-        --interval "10 seconds" --run-seconds 60
+    spark-submit --py-files pulse.zip pulse/run.py trending_hashtags \
+        --source /data/statuses --out /data/tables --interval "10 seconds" --run-seconds 60
 
 ``--available-now`` replays what is in ``--source`` and stops.  Results are
 registered as temporary views named after their tables and a preview of each
