@@ -52,6 +52,7 @@ def _drive(
     run_seconds: float | None,
     files_per_trigger: int,
     checkpoint: str,
+    extra_conf: dict[str, str] | None = None,
 ) -> None:
     """Run the query once per source path, all runs on one checkpoint.
 
@@ -63,7 +64,8 @@ def _drive(
     ckpt = checkpoint
     for path in [source] if isinstance(source, str) else list(source):
         writer = build(status_stream(spark, path, files_per_trigger))
-        with _query_conf(spark, {"spark.sql.shuffle.partitions": str(_stream_partitions(spark))}):
+        conf = {"spark.sql.shuffle.partitions": str(_stream_partitions(spark)), **(extra_conf or {})}
+        with _query_conf(spark, conf):
             q = (
                 writer.queryName(f"{name}_{uuid.uuid4().hex[:8]}")
                 .option("checkpointLocation", ckpt)
@@ -150,7 +152,10 @@ def hashtag_counts_by_interval(
         agg = counts.count_by_interval(tags, "tag", "tags", interval, "freq")
         return _batches(write, "update")(agg)
 
-    _drive(spark, "hashtag_iv", source, build, trigger, run_seconds, files_per_trigger, _ckpt(log.path))
+    # In update mode a no-data batch only evicts state and emits nothing; a
+    # replay (availableNow) skips it, and the next run evicts instead.
+    extra = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"} if trigger == AVAILABLE_NOW else None
+    _drive(spark, "hashtag_iv", source, build, trigger, run_seconds, files_per_trigger, _ckpt(log.path), extra)
     return _ntz_window(log.current(["window_start", "window_end", "tags"]).drop("day"))
 
 
