@@ -1,11 +1,13 @@
 """The jobs as Structured Streaming queries.
 
-One streaming query per output.  Stateless outputs use the native parquet
-sink (exactly-once through its commit log).  Outputs that need a per-batch
-table use ``foreachBatch`` writing into a ``RowLog`` partition named by the
-batch id, which a retried batch overwrites instead of appending twice.
-Every query checkpoints into the shared work folder, so a restart (or a lost
-executor) resumes from the last committed batch.
+Stateless outputs use the native parquet sink (exactly-once through its
+commit log).  Outputs that need a per-batch table use ``foreachBatch``
+writing into a ``RowLog`` partition named by the batch id, which a retried
+batch overwrites instead of appending twice; one query may feed several such
+tables from one read of each batch (fan-out, several keyword tracks).  Every
+query checkpoints next to its output, in the shared work folder unless the
+caller names another shared path, so a restart (or a lost executor) resumes
+from the last committed batch.
 
 ``trigger`` defaults to ``availableNow`` (replay everything, then stop); a
 live job passes ``{"processingTime": "10 seconds"}`` (the reference's
