@@ -201,6 +201,33 @@ def user_counts(
     return increments(spark, source, "user_counts", per_batch, "user", "count", out, trigger, run_seconds, files_per_trigger)
 
 
+def distinct_user_total(
+    spark: SparkSession,
+    source: Source,
+    lang: str = DEFAULT_LANG,
+    lg_k: int = 12,
+    out: str | None = None,
+    trigger: dict = AVAILABLE_NOW,
+    run_seconds: float | None = None,
+    files_per_trigger: int = 8,
+) -> DataFrame:
+    """A7 on a stream: distinct authors from mergeable HLL sketches.
+
+    Each batch appends one fixed-size sketch (``2^lg_k`` registers) of its
+    authors; the total unions every sketch on read.  No state, no set of
+    authors anywhere, exactly-once per batch; the estimate is approximate
+    (relative error about ``1.04 / sqrt(2^lg_k)``, exact while small).
+    """
+    log = RowLog(spark, out or fresh_path(spark, "log-user-sketch"))
+
+    def handle(batch: DataFrame, bid: int) -> None:
+        en = filters.by_lang(batch, lang)
+        log.write_batch(en.agg(F.hll_sketch_agg(F.col("user.screen_name"), lg_k).alias("sketch")), bid)
+
+    _drive(spark, "user_sketch", source, _batches(handle), trigger, run_seconds, files_per_trigger, _ckpt(log.path))
+    return log.read().agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_users"))
+
+
 def retweeter_counts(
     spark: SparkSession,
     source: Source,

@@ -14,8 +14,11 @@ def con(sf_small):
     return duck(sf_small)
 
 
-def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+APPROXIMATE = {"stream_distinct_user_total"}
+
+
+def test_every_exact_query_has_an_oracle():
+    assert set(QUERIES) - APPROXIMATE == set(SQL)
 
 
 def test_entry_runs(spark):
@@ -24,7 +27,13 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - APPROXIMATE))
 def test_query_matches_oracle(spark, con, sf_small, name):
     ok, msg = compare(QUERIES[name](spark, sf_small), con, SQL[name])
     assert ok, msg
+
+
+def test_approximate_distinct_users_close_to_exact(spark, con, sf_small):
+    got = QUERIES["stream_distinct_user_total"](spark, sf_small).first()["n_users"]
+    want = con.sql(SQL["distinct_user_total"]).fetchall()[0][0]
+    assert abs(got - want) <= max(1, 0.05 * want)
