@@ -17,6 +17,7 @@ TRACK_B_KEYWORDS = ("trump", "realdonaldtrump", "maga", "potus")
 MISSING_LONGITUDE = 181.0
 MISSING_LATITUDE = 91.0
 PREVIEW_ROWS = 100
+WIDE_TABLES_INTERVAL = "1 second"  # the wide-table program's own micro-batch
 # Java's Date.toString layout, printed for a UTC wall clock.
 CREATED_AT_PATTERN = "EEE MMM dd HH:mm:ss 'UTC' yyyy"
 # ---------------------------------------------------------------------------

@@ -15,17 +15,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pulse.session import fresh_path
-from pulse.settings import JobSettings
+from pulse.settings import WIDE_TABLES_INTERVAL, JobSettings
 from pulse.sources.lexicon import fixture_lexicon, lexicon_dimension, read_lexicon
 from pulse.streaming import jobs
 
 
-def _trigger(settings: JobSettings, available_now: bool) -> tuple[dict, float | None]:
+def _trigger(settings: JobSettings, available_now: bool, interval: str | None = None) -> tuple[dict, float | None]:
     if available_now:
         return jobs.AVAILABLE_NOW, None
     # run_seconds <= 0: run until the query is stopped or killed.
     secs = float(settings.run_seconds) if settings.run_seconds > 0 else None
-    return {"processingTime": settings.interval}, secs
+    return {"processingTime": interval or settings.interval}, secs
 
 
 def _out(spark: SparkSession, settings: JobSettings, table: str) -> str:
@@ -80,7 +80,8 @@ def keyword_sentiment(spark, source, settings: JobSettings, available_now=False,
 
 
 def wide_tables(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
-    trigger, secs = _trigger(settings, available_now)
+    """Place, user and status tables from one stream, on a fixed 1 s micro-batch."""
+    trigger, secs = _trigger(settings, available_now, WIDE_TABLES_INTERVAL)
     root = _out(spark, settings, "hifi")
     return jobs.fanout(spark, source, settings.lang, root, trigger, secs)
 
