@@ -46,3 +46,25 @@ def test_top_k_per_group_equals_python(spark, rows, k):
         members = sorted((-n, t) for gg, t, n in data if gg == g)[:k]
         want += [(g, t) for _, t in members]
     assert got == sorted(want)
+
+
+VOCAB = ["that", "That", "THIS", "with", "with,", "eriner", "rely", "of", "and!", "x", "", "\n", "that\nwith"]
+
+
+@SETTINGS
+@given(texts=st.lists(st.lists(st.sampled_from(VOCAB), max_size=12), min_size=1, max_size=8))
+def test_sentiment_equals_brute_force(spark, texts):
+    """Ratings against plain Python: split on single spaces, lower-case, first entry wins."""
+    from edge_rows import status
+    from pulse.operators import sentiment
+    from pulse.schema import STATUS
+    from pulse.sources.lexicon import FIXTURE_LEXICON, first_wins, fixture_lexicon
+
+    rows = [status(i, text=" ".join(words)) for i, words in enumerate(texts)]
+    df = spark.createDataFrame(rows, STATUS)
+    got = {r["id"]: r["rating"] for r in sentiment.sentiment(df, first_wins(fixture_lexicon(spark))).collect()}
+    scores = {}
+    for _, word, score in sorted(FIXTURE_LEXICON):
+        scores.setdefault(word, score)
+    want = {str(r["id"]): sum(scores.get(w.lower(), 0) for w in r["text"].split(" ")) for r in rows}
+    assert got == want
