@@ -43,3 +43,33 @@ def test_restart_from_checkpoint_gives_same_totals(spark, sf_small):
     run(None)  # nothing new: no batch may be added again
     want = _totals(batch.user_counts(spark, sf_small))
     assert _totals(log.totals("user", "count")) == want
+
+
+def test_json_status_files_stream_like_parquet(spark, sf_small):
+    """SRC1 over JSON lines: the same records, the same author counts."""
+    from pulse.sources.statuses import status_records
+
+    src = fresh_path(spark, "t-json-src")
+    # Spark writes TIMESTAMP_NTZ to JSON with milliseconds unless told otherwise.
+    status_records(spark, sf_small).write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(src)
+    log = keyed.RowLog(spark, fresh_path(spark, "t-json-log"))
+
+    def handle(df, bid):
+        log.write_batch(counts.count_by(filters.by_lang(df), F.col("user.screen_name"), "user", "count"), bid)
+
+    q = (
+        status_stream(spark, src, fmt="json")
+        .writeStream.option("checkpointLocation", fresh_path(spark, "t-json-ckpt"))
+        .foreachBatch(handle)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    assert _totals(log.totals("user", "count")) == _totals(batch.user_counts(spark, sf_small))
+
+    from pulse.schema import STATUS
+    from pulse.sources.statuses import flat_statuses
+
+    original = flat_statuses(status_records(spark, sf_small))
+    from_json = flat_statuses(spark.read.schema(STATUS).json(src))
+    assert original.exceptAll(from_json).count() == 0 and from_json.exceptAll(original).count() == 0
