@@ -39,6 +39,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--track-a", default=",".join(TRACK_A_KEYWORDS))
     ap.add_argument("--track-b", default=",".join(TRACK_B_KEYWORDS))
     ap.add_argument("--preview", type=int, default=100)
+    ap.add_argument("--format", default="parquet", choices=["parquet", "json"], help="status file format")
     args = ap.parse_args(argv)
 
     settings = JobSettings(
@@ -50,6 +51,7 @@ def main(argv: list[str] | None = None) -> None:
         lang=args.lang,
         track_a=tuple(k for k in args.track_a.split(",") if k),
         track_b=tuple(k for k in args.track_b.split(",") if k),
+        source_format=args.format,
     )
     spark = SparkSession.builder.appName(f"pulse-{args.app}").getOrCreate()
     # Large streaming state lives off-heap in RocksDB, checkpointed by

@@ -36,3 +36,4 @@ class JobSettings:
     country_code: str = DEFAULT_COUNTRY_CODE
     track_a: tuple[str, ...] = field(default=TRACK_A_KEYWORDS)
     track_b: tuple[str, ...] = field(default=TRACK_B_KEYWORDS)
+    source_format: str = "parquet"  # or "json"

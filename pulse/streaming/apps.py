@@ -28,6 +28,12 @@ def _trigger(settings: JobSettings, available_now: bool, interval: str | None =
     return {"processingTime": interval or settings.interval}, secs
 
 
+def _source(source, settings: JobSettings) -> jobs.StatusSource:
+    if isinstance(source, jobs.StatusSource):
+        return source
+    return jobs.StatusSource(source, settings.source_format)
+
+
 def _out(spark: SparkSession, settings: JobSettings, table: str) -> str:
     base = settings.out_path or fresh_path(spark, "app")
     return f"{base.rstrip('/')}/{table}"
@@ -35,21 +41,21 @@ def _out(spark: SparkSession, settings: JobSettings, table: str) -> str:
 
 def status_ids(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
     trigger, secs = _trigger(settings, available_now)
-    ids = jobs.status_ids(spark, source, settings.lang, _out(spark, settings, "tweet"), trigger, secs)
+    ids = jobs.status_ids(spark, _source(source, settings), settings.lang, _out(spark, settings, "tweet"), trigger, secs)
     return {"tweet": ids}
 
 
 def author_counts(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
     trigger, secs = _trigger(settings, available_now)
     out = _out(spark, settings, "distinct_user")
-    return {"distinct_user": jobs.user_counts(spark, source, settings.lang, out, trigger, secs)}
+    return {"distinct_user": jobs.user_counts(spark, _source(source, settings), settings.lang, out, trigger, secs)}
 
 
 def trending_hashtags(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
     trigger, secs = _trigger(settings, available_now)
     out = _out(spark, settings, "hashtag_by_interval")
     per_interval = jobs.hashtag_counts_by_interval(
-        spark, source, settings.interval, out=out, trigger=trigger, run_seconds=secs
+        spark, _source(source, settings), settings.interval, out=out, trigger=trigger, run_seconds=secs
     )
     totals = per_interval.groupBy("tags").sum("freq").withColumnRenamed("sum(freq)", "freq")
     return {"hashtag_by_interval": per_interval, "hashtag": totals}
@@ -58,13 +64,13 @@ def trending_hashtags(spark, source, settings: JobSettings, available_now=False)
 def account_retweeters(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
     trigger, secs = _trigger(settings, available_now)
     out = _out(spark, settings, "toptweeter")
-    return {"toptweeter": jobs.retweeter_counts(spark, source, settings.account, out, trigger, secs)}
+    return {"toptweeter": jobs.retweeter_counts(spark, _source(source, settings), settings.account, out, trigger, secs)}
 
 
 def geo_points(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
     trigger, secs = _trigger(settings, available_now)
     out = _out(spark, settings, "location")
-    return {"location": jobs.geo_points(spark, source, out, trigger, secs)}
+    return {"location": jobs.geo_points(spark, _source(source, settings), out, trigger, secs)}
 
 
 def keyword_sentiment(spark, source, settings: JobSettings, available_now=False, lexicon: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -76,14 +82,14 @@ def keyword_sentiment(spark, source, settings: JobSettings, available_now=False,
         lexicon = lexicon_dimension(raw, cache_key=settings.lexicon_path)
     tracks = {"russia_sentiment": settings.track_a, "trump_sentiment": settings.track_b}
     root = _out(spark, settings, "sentiment")
-    return jobs.sentiment_tracks(spark, source, lexicon, tracks, settings.lang, root, trigger, secs)
+    return jobs.sentiment_tracks(spark, _source(source, settings), lexicon, tracks, settings.lang, root, trigger, secs)
 
 
 def wide_tables(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
     """Place, user and status tables from one stream, on a fixed 1 s micro-batch."""
     trigger, secs = _trigger(settings, available_now, WIDE_TABLES_INTERVAL)
     root = _out(spark, settings, "hifi")
-    return jobs.fanout(spark, source, settings.lang, root, trigger, secs)
+    return jobs.fanout(spark, _source(source, settings), settings.lang, root, trigger, secs)
 
 
 APPS: dict[str, Callable[..., dict[str, DataFrame]]] = {

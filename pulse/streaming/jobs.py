@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import contextlib
 import uuid
+from dataclasses import dataclass
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -31,7 +32,16 @@ from pulse.streaming.replay import status_stream, with_event_time
 
 AVAILABLE_NOW = {"availableNow": True}
 
-Source = str | Sequence[str]
+
+@dataclass(frozen=True)
+class StatusSource:
+    """Status files to stream: one glob or folder per run, and their format."""
+
+    paths: str | Sequence[str]
+    fmt: str = "parquet"
+
+
+Source = str | Sequence[str] | StatusSource
 
 
 def _run(query: StreamingQuery, run_seconds: float | None) -> StreamingQuery:
@@ -64,8 +74,9 @@ def _drive(
     job on the same output resumes where it stopped.
     """
     ckpt = checkpoint
-    for path in [source] if isinstance(source, str) else list(source):
-        writer = build(status_stream(spark, path, files_per_trigger))
+    src = source if isinstance(source, StatusSource) else StatusSource(source)
+    for path in [src.paths] if isinstance(src.paths, str) else list(src.paths):
+        writer = build(status_stream(spark, path, files_per_trigger, src.fmt))
         conf = {"spark.sql.shuffle.partitions": str(_stream_partitions(spark)), **(extra_conf or {})}
         with _query_conf(spark, conf):
             q = (

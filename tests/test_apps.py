@@ -96,3 +96,14 @@ def test_written_table_registered_for_sql(spark, replay):
     register_parquet_table(spark, "demo_location", f"{live.out_path}/location")
     n = spark.sql("SELECT count(*) AS n FROM demo_location WHERE latitude IS NOT NULL").first()["n"]
     assert n == 250
+
+
+def test_cli_reads_json_status_files(spark, sf_small):
+    from pulse.run import main
+    from pulse.sources.statuses import status_records
+
+    src = fresh_path(spark, "t-cli-json")
+    status_records(spark, sf_small).write.json(src)
+    out = fresh_path(spark, "t-cli-json-out")
+    main(["author_counts", "--source", src, "--out", out, "--format", "json", "--available-now", "--preview", "0"])
+    assert rows(spark.table("distinct_user")) == rows(batch.user_counts(spark, sf_small))
