@@ -313,12 +313,18 @@ def sentiment_tracks(
     keywords = {name: tuple(words) for name, words in tracks.items()}
 
     def handle(batch: DataFrame, bid: int) -> None:
-        en = filters.by_lang(batch, lang).select("id", "text").persist()
+        en = filters.by_lang(batch, lang).select("id", "text")
+        # Several tracks read the batch several times: keep it once.  One
+        # track reads it once (both sentiment branches share one exchange).
+        shared = len(keywords) > 1
+        if shared:
+            en = en.persist()
         try:
             for name, kws in keywords.items():
                 logs[name].write_batch(sentiment.sentiment(filters.on_track(en, kws), lexicon), bid)
         finally:
-            en.unpersist()
+            if shared:
+                en.unpersist()
 
     _drive(spark, "sentiment", source, _batches(handle), trigger, run_seconds, files_per_trigger, _ckpt(root))
     return {name: log.read().drop(keyed.BATCH_COL) for name, log in logs.items()}
