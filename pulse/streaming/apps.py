@@ -54,8 +54,12 @@ def author_counts(spark, source, settings: JobSettings, available_now=False) ->
 def trending_hashtags(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
     trigger, secs = _trigger(settings, available_now)
     out = _out(spark, settings, "hashtag_by_interval")
+    # A replay takes each run's files in one micro-batch (their order is
+    # unknown, and the watermark must not pass rows of the same run); a live
+    # feed's files arrive in time order and are taken a few at a time.
     per_interval = jobs.hashtag_counts_by_interval(
-        spark, _source(source, settings), settings.interval, out=out, trigger=trigger, run_seconds=secs
+        spark, _source(source, settings), settings.interval, out=out, trigger=trigger,
+        run_seconds=secs, files_per_trigger=None if available_now else 8,
     )
     totals = per_interval.groupBy("tags").sum("freq").withColumnRenamed("sum(freq)", "freq")
     return {"hashtag_by_interval": per_interval, "hashtag": totals}

@@ -62,7 +62,7 @@ def _drive(
     build: Callable[[DataFrame], DataStreamWriter],
     trigger: dict,
     run_seconds: float | None,
-    files_per_trigger: int,
+    files_per_trigger: int | None,
     checkpoint: str,
     extra_conf: dict[str, str] | None = None,
 ) -> None:
@@ -144,7 +144,7 @@ def hashtag_counts_by_interval(
     out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
-    files_per_trigger: int = 8,
+    files_per_trigger: int | None = 8,
 ) -> DataFrame:
     """W3 + A1: tag counts per event-time interval, stateful with a watermark.
 
@@ -182,7 +182,7 @@ def increments(
     out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
-    files_per_trigger: int = 8,
+    files_per_trigger: int | None = 8,
 ) -> DataFrame:
     """K2 on a stream: each batch appends its own counts; totals are sums on read.
 
@@ -202,7 +202,7 @@ def user_counts(
     out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
-    files_per_trigger: int = 8,
+    files_per_trigger: int | None = 8,
 ) -> DataFrame:
     """W7 + A2 + K2: running count per author across batches."""
 
@@ -220,7 +220,7 @@ def distinct_user_total(
     out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
-    files_per_trigger: int = 8,
+    files_per_trigger: int | None = 8,
 ) -> DataFrame:
     """A7 on a stream: distinct authors from mergeable HLL sketches.
 
@@ -246,7 +246,7 @@ def retweeter_counts(
     out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
-    files_per_trigger: int = 8,
+    files_per_trigger: int | None = 8,
 ) -> DataFrame:
     """F5 + F6 + A3 + K2: who retweets ``account``, running counts."""
 
@@ -266,7 +266,7 @@ def status_ids(
     out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
-    files_per_trigger: int = 8,
+    files_per_trigger: int | None = 8,
 ) -> DataFrame:
     """F1 + P1 through the parquet sink; ids are the table keys."""
     out = out or fresh_path(spark, "out-status-ids")
@@ -281,7 +281,7 @@ def geo_points(
     out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
-    files_per_trigger: int = 8,
+    files_per_trigger: int | None = 8,
 ) -> DataFrame:
     """F4 + P3 through the native parquet sink."""
     out = out or fresh_path(spark, "out-geo-points")
@@ -299,7 +299,7 @@ def sentiment_tracks(
     out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
-    files_per_trigger: int = 8,
+    files_per_trigger: int | None = 8,
 ) -> dict[str, DataFrame]:
     """F7/F8 + J1 + A4: several keyword tracks scored from one read of each batch.
 
@@ -339,7 +339,7 @@ def sentiment_scores(
     out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
-    files_per_trigger: int = 8,
+    files_per_trigger: int | None = 8,
 ) -> DataFrame:
     """One keyword track (see ``sentiment_tracks``)."""
     tables = sentiment_tracks(
@@ -361,7 +361,7 @@ def upsert_users(
     out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
-    files_per_trigger: int = 8,
+    files_per_trigger: int | None = 8,
 ) -> DataFrame:
     """W8 + K1: user rows appended to a parquet row log, latest per id on read."""
     out = out or fresh_path(spark, "log-users")
@@ -377,7 +377,7 @@ def fanout(
     out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
-    files_per_trigger: int = 8,
+    files_per_trigger: int | None = 8,
 ) -> dict[str, DataFrame]:
     """K5: place, user and status rows from one read of each batch.
 

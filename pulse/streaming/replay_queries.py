@@ -19,9 +19,9 @@ def _stream(spark: SparkSession, sf_dir: str) -> str:
 
 
 def stream_hashtag_counts_by_interval(spark, sf_dir):
-    """Watermarked: one run per event-time slice, on one checkpoint."""
+    """Watermarked: one run (one micro-batch) per event-time slice, on one checkpoint."""
     runs = slice_runs(stage_replay(spark, sf_dir))
-    return jobs.hashtag_counts_by_interval(spark, runs, batch.TEST_INTERVAL)
+    return jobs.hashtag_counts_by_interval(spark, runs, batch.TEST_INTERVAL, files_per_trigger=None)
 
 
 def stream_user_counts(spark, sf_dir):
