@@ -10,6 +10,7 @@ from pulse.plans import batch
 from pulse.plans.registry import BATCH_QUERIES
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
+CROSS_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
 
 def plan_text(df, mode="formatted"):
@@ -20,11 +21,11 @@ def plan_text(df, mode="formatted"):
 
 
 @pytest.mark.parametrize("name", sorted(BATCH_QUERIES))
-def test_no_python_in_batch_plans(spark, sf_small, name):
+def test_no_python_and_no_cross_join_in_batch_plans(spark, sf_small, name):
     if name == "ranked_sentiment":
         pytest.skip("materialises its input eagerly; covered by sentiment_a")
     text = plan_text(BATCH_QUERIES[name](spark, sf_small))
-    assert not any(n in text for n in PYTHON_NODES)
+    assert not any(n in text for n in PYTHON_NODES + CROSS_NODES)
 
 
 def test_language_filter_reaches_documents_scan_and_text_is_pruned(spark, sf_small):
