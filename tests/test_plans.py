@@ -22,8 +22,6 @@ def plan_text(df, mode="formatted"):
 
 @pytest.mark.parametrize("name", sorted(BATCH_QUERIES))
 def test_no_python_and_no_cross_join_in_batch_plans(spark, sf_small, name):
-    if name == "ranked_sentiment":
-        pytest.skip("materialises its input eagerly; covered by sentiment_a")
     text = plan_text(BATCH_QUERIES[name](spark, sf_small))
     assert not any(n in text for n in PYTHON_NODES + CROSS_NODES)
 
