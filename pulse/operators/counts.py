@@ -72,25 +72,35 @@ def distinct_total(df: DataFrame, key: str | Column, name: str = "n_users", exac
     return df.agg(agg.alias(name))
 
 
+# A rank table (one row per distinct value) above this size is joined by the
+# planner instead of broadcast.
+RANKS_BROADCAST_MAX_ROWS = 5_000_000
+
+
 def rank_desc(df: DataFrame, value: str, rank_name: str = "rank") -> DataFrame:
     """SQL ``RANK() OVER (ORDER BY value DESC)`` without a global sort.
 
     An unpartitioned window would pull every row into one task.  Instead the
     rank of a value is one plus the number of rows with a larger value, taken
-    from the value histogram.  The histogram has one row per distinct value
-    (for counts, ``d`` distinct values need at least ``d(d+1)/2`` rows, so it
-    stays small); only it passes through a single-task window, and it joins
-    back on the value.  That join key is skewed by nature (many tags share a
-    count of 1); AQE turns it into a broadcast join once it has measured the
-    small histogram, and splits skewed partitions if it cannot.  A caller
-    whose input is expensive to compute twice materialises it first
-    (``pulse.session.materialize``).
+    from the value histogram: one row per distinct value (for counts, ``d``
+    distinct values need at least ``d(d+1)/2`` rows, so it stays small).
+    Only the histogram passes through a single-task window.
+
+    Joining the ranks back on the value is skewed by nature (many tags share
+    a count of 1), so the rank table is written once to the shared work
+    folder, its size is proven with a bounded count, and it is broadcast:
+    the ranked rows are never shuffled for the join.  Above the bound the
+    planner joins (AQE splits skewed partitions).
     """
+    from pulse.functions.sizing import broadcast_if_small
+    from pulse.session import materialize
+
     hist = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
     above = Window.orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
     ranks = hist.select(
         value, (F.coalesce(F.sum("_rows").over(above), F.lit(0)) + 1).alias(rank_name)
     )
+    ranks = broadcast_if_small(materialize(ranks, "ranks"), RANKS_BROADCAST_MAX_ROWS)
     return df.join(ranks, value, "inner")
 
 

@@ -62,3 +62,15 @@ def test_wide_columns_pruned_through_upsert(spark, sf_small):
 
 def test_entry_schema_is_stable(spark):
     assert [f.simpleString() for f in entry.entry(spark).schema] == ["user:string", "count:bigint"]
+
+
+def test_rank_join_back_is_broadcast_without_auto_broadcast(spark, sf_small):
+    """The skewed join on a count never shuffles the ranked rows."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_text(batch.ranked_hashtags(spark, sf_small), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    top = [line for line in text.splitlines() if "Join" in line][0]
+    assert "BroadcastHashJoin" in top and "freq" in top
