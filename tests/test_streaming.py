@@ -91,3 +91,15 @@ def test_watermarked_replay_with_many_files_per_slice(spark, sf_small):
     want = batch.hashtag_counts_by_interval(spark, sf_small)
     cols = sorted(want.columns)
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+
+
+def test_stream_jobs_leave_session_settings_untouched(spark, sf_small):
+    from pulse.streaming import jobs
+    from pulse.streaming.replay import all_slices
+
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.streaming.noDataMicroBatches.enabled")}
+    base = stage_replay(spark, sf_small)
+    jobs.geo_points(spark, all_slices(base)).count()
+    jobs.hashtag_counts_by_interval(spark, jobs.StatusSource(all_slices(base)), batch.TEST_INTERVAL, files_per_trigger=None).count()
+    after = {k: spark.conf.get(k, None) for k in before}
+    assert after == before
