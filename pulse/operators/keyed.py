@@ -94,7 +94,7 @@ class RowLog:
         The old log stays untouched until the caller switches readers over;
         nothing is deleted here.
         """
-        target = RowLog(self.spark, new_path or f"{self.path}-compacted")
+        target = RowLog(self.spark, new_path or f"{self.path}-compacted", self.partition_by)
         latest = latest_by_key(self.read(), key, list(order))
-        latest.write.mode("overwrite").partitionBy(BATCH_COL).parquet(target.path)
+        latest.write.mode("overwrite").partitionBy(BATCH_COL, *self.partition_by).parquet(target.path)
         return target

@@ -58,3 +58,11 @@ def test_day_partitioned_log_prunes_on_read(spark):
         one_day.explain("formatted")
     assert "PartitionFilters: [isnotnull(day" in buf.getvalue()
     assert [r["k"] for r in one_day.collect()] == ["b"]
+
+    compacted = log.compact("k", new_path=fresh_path(spark, "t-day-c"))
+    pruned = compacted.read().where(F.col("day") == F.lit("2024-01-02").cast("date"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        pruned.explain("formatted")
+    assert "PartitionFilters: [isnotnull(day" in buf.getvalue()
+    assert [r["k"] for r in pruned.collect()] == ["b"]
