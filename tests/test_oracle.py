@@ -37,3 +37,22 @@ def test_approximate_distinct_users_close_to_exact(spark, con, sf_small):
     got = QUERIES["stream_distinct_user_total"](spark, sf_small).first()["n_users"]
     want = con.sql(SQL["distinct_user_total"]).fetchall()[0][0]
     assert abs(got - want) <= max(1, 0.05 * want)
+
+
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "float": "FLOAT",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+@pytest.mark.parametrize("name", sorted(n for n in set(QUERIES) - APPROXIMATE if not n.startswith("stream_")))
+def test_column_types_match_oracle(spark, con, sf_small, name):
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in QUERIES[name](spark, sf_small).schema}
+    rel = con.sql(SQL[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert spark_types == duck_types
