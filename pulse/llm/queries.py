@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulse.llm import exact_dedup, simhash, url_filter
+from pulse.llm import byte_bpe, decontaminate, exact_dedup, simhash, url_filter
 from pulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,15 +29,49 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def tokenised(docs: DataFrame) -> DataFrame:
+    """doc_id, the ids of the text, and the bytes that they decode to."""
+    bpe = byte_bpe.ByteBPE(docs.sparkSession, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    ids = docs.select("doc_id", bpe.encode(F.col("text")).alias("ids"))
+    return ids.select("doc_id", "ids", bpe.decode(F.col("ids")).alias("decoded"))
+
+
+def token_digests(docs: DataFrame) -> DataFrame:
+    return tokenised(docs).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_decontaminate": op4_decontaminate,
     "op6_url_filter": op6_url_filter,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -48,6 +83,31 @@ ORACLES: dict[str, str] = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY norm)
     """,
+    "op4_decontaminate": f"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+        ), i AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+        ), s AS (
+            SELECT item_id, w, least(len(w), 10) AS m, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS pos FROM i WHERE len(w) > 0
+        ), win AS (
+            SELECT DISTINCT item_id, m, array_to_string(w[pos:pos + m - 1], ' ') AS g FROM s
+        ), ds AS (
+            SELECT doc_id, w, m, unnest(generate_series(1, len(w) - m + 1)) AS pos FROM d, (SELECT DISTINCT m FROM win) WHERE len(w) >= m
+        ), dw AS (
+            SELECT doc_id, m, pos, array_to_string(w[pos:pos + m - 1], ' ') AS g FROM ds
+        ), hit AS (
+            SELECT doc_id, m, pos, item_id FROM dw JOIN win USING (m, g)
+        ), words AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(pos, pos + m - 1)) AS p FROM hit) GROUP BY doc_id
+        ), items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
     "op6_url_filter": f"""
         WITH u AS (
             SELECT page_id, strpos(url, '://') AS p, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
