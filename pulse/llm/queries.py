@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulse.llm import byte_bpe, decontaminate, exact_dedup, simhash, url_filter
+from pulse.llm import byte_bpe, decontaminate, exact_dedup, simhash, url_filter, warc_zip
 from pulse.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc_zip.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+    return back.select(F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
@@ -70,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_decontaminate": op4_decontaminate,
+    "op5_warc": op5_warc,
     "op6_url_filter": op6_url_filter,
     "op9_byte_bpe": op9_byte_bpe,
 }
