@@ -32,3 +32,12 @@ def write_out(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(uri: str):
+    """(pyarrow file system, path) of a URI or a plain path: shared local folders and object stores alike."""
+    from pyarrow import fs
+
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri.removeprefix("file:")
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulse.llm import byte_bpe, decontaminate, exact_dedup, simhash, url_filter, warc_zip
-from pulse.llm.common import table
+from pulse.llm import byte_bpe, decontaminate, exact_dedup, ngram_lm, simhash, toxicity, url_filter, warc_zip
+from pulse.llm.common import crc_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,23 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.verdicts(table(spark, sf_dir, "documents"))
 
 
+def held_out(doc_id, remainder: int):
+    """True where crc32 of the id as text leaves ``remainder`` modulo 5; false for a null id."""
+    return F.coalesce(crc_bucket(doc_id) == remainder, F.lit(False))
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Toxicity:
+    """Learns from the labels of the rows that are not held out."""
+    return toxicity.train(docs, labels.where(~held_out(F.col("doc_id"), 0)))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", held_out(F.col("doc_id"), 0).alias("held_out"), model.score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -71,13 +88,23 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = held_out(F.col("doc_id"), 1)
+    model = ngram_lm.train(docs.where(~held))
+    scored = docs.select("doc_id", held.alias("held_out"), model.score(F.col("text")).alias("s"))
+    return scored.select("doc_id", "held_out", "s.n_tokens", "s.n_known", F.lit(model.N).cast("long").alias("train_tokens"), "s.base_score", "s.score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_decontaminate": op4_decontaminate,
     "op5_warc": op5_warc,
     "op6_url_filter": op6_url_filter,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_lm_score": op10_lm_score,
 }
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"

@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from pulse.llm.common import write_out
+from pulse.llm.common import file_system, write_out
 from pulse.session import fresh_path
 
 ARCHIVE_BYTES = 64 << 20  # an archive is closed beyond this size
@@ -40,17 +40,6 @@ DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 U32 = 0xFFFFFFFF
 
 
-def file_system(uri: str):
-    """(file system, path) of a URI or a plain local path."""
-    from pyarrow import fs
-
-    if "://" not in uri and uri.startswith("file:"):
-        uri = "file://" + uri.removeprefix("file:")
-    if "://" not in uri:
-        return fs.LocalFileSystem(), uri
-    return fs.FileSystem.from_uri(uri)
-
-
 # --- ZIP ---------------------------------------------------------------------
 class ZipWriter:
     """Stored members, with ZIP64 sizes and offsets."""
