@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 MIN_N, MAX_N = 3, 6
 ALPHA = 1.0
 MIN_COUNT = 4
-MAX_FEATURES = 1 << 15
+MAX_FEATURES = 1 << 13
 MAX_FIT_ROWS = 10_000  # of each label
 BROADCAST_LABELS = 2_000_000  # rows of (id, label) that may be broadcast: 32 MB
 CACHED_WORDS = 200_000
@@ -120,7 +120,7 @@ class Features:
         return np.fromiter(sorted(found), dtype=np.int32, count=len(found))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, l2: float = 1e-4, steps: int = 400) -> tuple[np.ndarray, float]:
+def fit(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, l2: float = 1e-3, steps: int = 400) -> tuple[np.ndarray, float]:
     """Weights (already times r) and bias, by Adam on the whole sample."""
     bias = float(np.log((labels.sum() + 1) / (len(labels) - labels.sum() + 2)))
     if not len(ratios) or labels.min() == labels.max():
@@ -128,15 +128,12 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, l2: floa
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     column = np.concatenate(rows).astype(np.int64)
     r = np.clip(ratios, -6, 6)
-    # Labels weigh alike in sum, however rare one is.
-    share = labels.mean()
-    weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) / len(rows)
     value = r[column]
     w, m, v = np.zeros(len(r) + 1), np.zeros(len(r) + 1), np.zeros(len(r) + 1)
     w[-1] = bias
     for t in range(1, steps + 1):
         z = np.bincount(at, weights=w[column] * value, minlength=len(rows)) + w[-1]
-        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) * weight
+        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) / len(rows)
         g = np.append(np.bincount(column, weights=error[at] * value, minlength=len(r)) + l2 * w[:-1], error.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= 0.02 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
