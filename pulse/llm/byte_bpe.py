@@ -33,7 +33,8 @@ MAX_VOCABULARY = 1_000_000
 LONG_PIECE = 2048  # bytes
 CELLS = 1 << 20  # of one matrix
 SEGMENT = 1 << 18  # characters split at once
-CACHED_PIECES = 200_000
+GROUP_CHARS = 1 << 20  # characters whose distinct pieces are merged together
+CACHED_PIECES = 100_000
 NONE = np.int64(1) << 62  # rank of a pair that does not merge
 
 
@@ -227,24 +228,24 @@ class Encoder:
         ids, index = self.ids, self.index
         return np.concatenate([ids[index[p]] for p in pieces]) if pieces else np.zeros(0, dtype=np.int32)
 
-    def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
-        """As ``encode`` for each; the distinct pieces of many texts are merged together."""
-        out: list[np.ndarray] = []
+    def encode_groups(self, texts) -> Iterator[list[np.ndarray]]:
+        """As ``encode`` for each, in lists; the distinct pieces of the texts of a list are merged together."""
         group: list[str] = []
         size = 0
         for t in texts:
             t = t or ""
-            if len(t) > SEGMENT:
-                out += self._group(group)
+            if group and size + len(t) > GROUP_CHARS:
+                yield self._group(group)
                 group, size = [], 0
-                out.append(self.encode(t))
+            if len(t) > GROUP_CHARS:
+                yield [self.encode(t)]
                 continue
             group.append(t)
             size += len(t)
-            if size > 4 * SEGMENT:
-                out += self._group(group)
-                group, size = [], 0
-        return out + self._group(group)
+        yield self._group(group)
+
+    def encode_many(self, texts) -> list[np.ndarray]:
+        return [ids for group in self.encode_groups(texts) for ids in group]
 
     def _group(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.split.findall(t) for t in texts]
@@ -300,7 +301,8 @@ class ByteBPE:
         def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
             encoder = get()
             for s in texts:
-                yield pd.Series(encoder.encode_many(s.tolist()), dtype=object)
+                for ids in encoder.encode_groups(s):  # small output batches: little memory
+                    yield pd.Series(ids, dtype=object)
 
         return of(text)
 
@@ -315,3 +317,17 @@ class ByteBPE:
                 yield pd.Series([vocabulary.decode(() if x is None else x.tolist()) for x in s], dtype=object)
 
         return of(ids)
+
+    def round_trip(self, text: Column) -> Column:
+        """struct<ids: array<int>, decoded: binary>: both of the above in one pass through the workers."""
+        get = self._of_worker()
+
+        @F.pandas_udf("ids array<int>, decoded binary")
+        def of(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            encoder = get()
+            for s in texts:
+                for ids in encoder.encode_groups(s):
+                    decoded = [encoder.vocabulary.decode(x.tolist()) for x in ids]
+                    yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(decoded, dtype=object)})
+
+        return of(text)

@@ -71,8 +71,7 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tokenised(docs: DataFrame) -> DataFrame:
     """doc_id, the ids of the text, and the bytes that they decode to."""
     bpe = byte_bpe.ByteBPE(docs.sparkSession, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    ids = docs.select("doc_id", bpe.encode(F.col("text")).alias("ids"))
-    return ids.select("doc_id", "ids", bpe.decode(F.col("ids")).alias("decoded"))
+    return docs.select("doc_id", bpe.round_trip(F.col("text")).alias("t")).select("doc_id", "t.ids", "t.decoded")
 
 
 def token_digests(docs: DataFrame) -> DataFrame:

@@ -43,6 +43,7 @@ def test_ids_equal_the_library_and_decode_back(encoder, reference):
 
 def test_segments_and_forgetting_change_nothing(encoder, reference, monkeypatch):
     monkeypatch.setattr(byte_bpe, "SEGMENT", 64)
+    monkeypatch.setattr(byte_bpe, "GROUP_CHARS", 300)
     monkeypatch.setattr(byte_bpe, "CACHED_PIECES", 50)
     monkeypatch.setattr(byte_bpe, "CELLS", 64)
     t = texts()
@@ -72,3 +73,11 @@ def test_edges(spark):
     rows = sorted(((r.doc_id or 0), list(r.ids), bytes(r.decoded)) for r in queries.tokenised(d).collect())
     assert [(a, c) for a, _, c in rows] == [(0, b""), (1, b""), (2, b"hi"), (2, b"hi")]
     assert queries.tokenised(d.limit(0)).count() == 0
+
+
+def test_encode_and_decode_columns(spark):
+    bpe = byte_bpe.ByteBPE(spark, P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    d = spark.createDataFrame([(1, "Zoë's  42"), (2, None)], "doc_id long, text string")
+    ids = d.select("doc_id", bpe.encode(d.text).alias("ids"))
+    back = {r.doc_id: bytes(r.b) for r in ids.select("doc_id", bpe.decode(ids.ids).alias("b")).collect()}
+    assert back == {1: "Zoë's  42".encode(), 2: b""}
