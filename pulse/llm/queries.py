@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulse.llm import byte_bpe, decontaminate, exact_dedup, html_text, ngram_lm, simhash, toxicity, url_filter, warc_zip
+from pulse.llm import byte_bpe, decontaminate, exact_dedup, html_text, ngram_lm, simhash, substring_dedup, toxicity, url_filter, warc_zip
 from pulse.llm.common import crc_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.passages(table(spark, sf_dir, "documents"), min_words=50, similarity=0.8)
+
+
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.extract(table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
@@ -107,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op4_decontaminate": op4_decontaminate,
     "op5_warc": op5_warc,
     "op6_url_filter": op6_url_filter,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_html_text": op8_html_text,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lm_score": op10_lm_score,
