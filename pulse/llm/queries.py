@@ -77,6 +77,7 @@ def tokenised(docs: DataFrame) -> DataFrame:
 def token_digests(docs: DataFrame) -> DataFrame:
     return tokenised(docs).select(
         "doc_id",
+        "ids",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
@@ -84,7 +85,7 @@ def token_digests(docs: DataFrame) -> DataFrame:
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_digests(table(spark, sf_dir, "documents"))
+    return token_digests(table(spark, sf_dir, "documents")).drop("ids")
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
