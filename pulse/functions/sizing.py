@@ -1,32 +1,32 @@
 """Size-checked broadcast.
 
-A side is broadcast only after its row count is proven to be under a bound;
-above the bound the join is left to the planner (sort-merge, or AQE's runtime
-broadcast when the shuffled side turns out small).
+A side is broadcast only after its size in bytes is proven to be under a
+bound; above the bound the join is left to the planner (sort-merge, or AQE's
+runtime broadcast when the shuffled side turns out small).  Nothing is
+remembered between calls: an input that has grown is checked anew.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
-_checked: dict[str, bool] = {}
+ROW_BYTES = 16  # of a row besides its values
 
 
-def fits(df: DataFrame, max_rows: int, cache_key: str | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def fits(df: DataFrame, max_bytes: int) -> bool:
+    """True when the rows of ``df`` take at most ``max_bytes`` (values as text, and ROW_BYTES each).
 
-    The count stops after ``max_rows + 1`` rows, so the check is cheap even
-    when the answer is no.  ``cache_key`` (e.g. the table path) memoises the
-    answer for immutable inputs.
+    The check stops after ``max_bytes / ROW_BYTES`` rows, so it is cheap even
+    when the answer is no.
     """
-    if cache_key is not None and cache_key in _checked:
-        return _checked[cache_key]
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    if cache_key is not None:
-        _checked[cache_key] = ok
-    return ok
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
+    size = reduce(lambda a, b: a + b, sizes, F.lit(ROW_BYTES))
+    total = df.limit(max_bytes // ROW_BYTES + 1).agg(F.sum(size.cast("long"))).first()[0]
+    return (total or 0) <= max_bytes
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int, cache_key: str | None = None) -> DataFrame:
-    """``broadcast(df)`` when it holds at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if fits(df, max_rows, cache_key) else df
+def broadcast_if_small(df: DataFrame, max_bytes: int) -> DataFrame:
+    """``broadcast(df)`` when it takes at most ``max_bytes``, else ``df``."""
+    return F.broadcast(df) if fits(df, max_bytes) else df

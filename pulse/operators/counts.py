@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-
 def count_by(df: DataFrame, key: str | Column, key_name: str, count_name: str = "count") -> DataFrame:
     """A1 / A2 / A3: rows per key (the reference's ``countByValue``)."""
     k = F.col(key) if isinstance(key, str) else key
@@ -74,34 +73,39 @@ def distinct_total(df: DataFrame, key: str | Column, name: str = "n_users", exac
 
 # A rank table (one row per distinct value) above this size is joined by the
 # planner instead of broadcast.
-RANKS_BROADCAST_MAX_ROWS = 5_000_000
+RANKS_BROADCAST_MAX_BYTES = 32 << 20
 
 
 def rank_desc(df: DataFrame, value: str, rank_name: str = "rank") -> DataFrame:
     """SQL ``RANK() OVER (ORDER BY value DESC)`` without a global sort.
 
-    An unpartitioned window would pull every row into one task.  Instead the
-    rank of a value is one plus the number of rows with a larger value, taken
-    from the value histogram: one row per distinct value (for counts, ``d``
-    distinct values need at least ``d(d+1)/2`` rows, so it stays small).
-    Only the histogram passes through a single-task window.
-
-    Joining the ranks back on the value is skewed by nature (many tags share
-    a count of 1), so the rank table is written once to the shared work
-    folder, its size is proven with a bounded count, and it is broadcast:
-    the ranked rows are never shuffled for the join.  Above the bound the
-    planner joins (AQE splits skewed partitions).
+    The rank of a value is one plus the number of rows with a larger value,
+    taken from the value histogram.  The histogram is range-partitioned by
+    value; each partition sums its own rows, and only the totals (one row a
+    partition) pass through a single task.  Null values rank last, as in SQL.
+
+    The input is computed once, into the shared work folder.  Joining the
+    ranks back on the value is skewed by nature (many tags share a count of
+    1), so the rank table is broadcast if its size allows: the ranked rows are
+    then not shuffled.  Above the bound the planner joins (AQE splits skewed
+    partitions).
     """
     from pulse.functions.sizing import broadcast_if_small
     from pulse.session import materialize
 
+    df = materialize(df, "ranked")
+    order = F.desc_nulls_last(value)
     hist = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
-    above = Window.orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = hist.select(
-        value, (F.coalesce(F.sum("_rows").over(above), F.lit(0)) + 1).alias(rank_name)
+    hist = materialize(hist.repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "histogram")
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    parts = hist.groupBy("_part").agg(F.sum("_rows").alias("_rows"))
+    parts = parts.select("_part", F.coalesce(F.sum("_rows").over(before(Window.orderBy("_part"))), F.lit(0)).alias("_before"))
+    inner = F.coalesce(F.sum("_rows").over(before(Window.partitionBy("_part").orderBy(order))), F.lit(0))
+    ranks = hist.withColumn("_inner", inner).join(parts, "_part").select(
+        F.col(value).alias("_value"), (F.col("_before") + F.col("_inner") + 1).alias(rank_name)
     )
-    ranks = broadcast_if_small(materialize(ranks, "ranks"), RANKS_BROADCAST_MAX_ROWS)
-    return df.join(ranks, value, "inner")
+    ranks = broadcast_if_small(materialize(ranks, "ranks"), RANKS_BROADCAST_MAX_BYTES)
+    return df.join(ranks, df[value].eqNullSafe(ranks["_value"]), "inner").drop("_value")
 
 
 def top_k(df: DataFrame, k: int, order: list[Column]) -> DataFrame:

@@ -17,9 +17,12 @@ reference's counters double-count a replayed batch, D8).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window, functions as F
+
+from pulse.session import exists, names, publish
 
 BATCH_COL = "batch_id"
 
@@ -59,9 +62,15 @@ def counter_bump(increments: DataFrame, key_values: dict, amount_col: str, amoun
 class RowLog:
     """An append-only Parquet row log in a shared folder.
 
-    Each batch lands in its own ``batch_id=N`` partition and is written with
-    overwrite semantics for that partition only, so re-running a batch after
-    a failure replaces its rows instead of adding them again.
+    Each batch lands in its own ``batch_id=N`` folder.  It is written aside and
+    published by a rename, so readers see all of a batch or nothing.  A batch
+    that was published before (a batch run again after a failure holds the same
+    rows) is left as it is, so its rows are never added again.
+
+    Compaction writes the log's current rows into one folder (``_compacted``,
+    hidden from plain readers) and marks the last batch it holds; readers take
+    that folder and the later batches.  A writer may go on meanwhile, and
+    nothing is deleted.
     """
 
     def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = ()):
@@ -72,29 +81,67 @@ class RowLog:
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         """Write one batch; ``partition_by`` columns (e.g. a day) become folders
         inside the batch folder, so readers filtering on them prune files."""
-        writer = df.write.mode("overwrite")
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
+        target = f"{self.path}/{BATCH_COL}={int(batch_id)}"
+        if not exists(self.spark, target):
+            staged = f"{self.path}/_staged/{uuid.uuid4().hex}"
+            self._writer(df).parquet(staged)
+            publish(self.spark, staged, target)
+
+    def _writer(self, df: DataFrame) -> DataFrameWriter:
+        return df.write.partitionBy(*self.partition_by) if self.partition_by else df.write
+
+    def batches(self) -> list[int]:
+        """Ids of the published batches."""
+        return sorted(int(n.split("=")[1]) for n in names(self.spark, self.path) if n.startswith(f"{BATCH_COL}="))
+
+    def compacted(self) -> int | None:
+        """The last batch that the newest compaction holds."""
+        done = [int(n.split("=")[1]) for n in names(self.spark, f"{self.path}/_compacted") if n.startswith("upto=")]
+        return max(done, default=None)
+
+    def folders(self) -> int:
+        """Folders that a read takes: later batches, and the compaction if there is one."""
+        upto = self.compacted()
+        return len([b for b in self.batches() if upto is None or b > upto]) + (upto is not None)
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        rows = self.spark.read.parquet(self.path)
+        upto = self.compacted()
+        if upto is None:
+            return rows
+        base = self.spark.read.parquet(f"{self.path}/_compacted/upto={upto}")
+        return rows.where(F.col(BATCH_COL) > upto).unionByName(base)
 
-    def current(self, key: str | Sequence[str], order: Sequence[str | Column] = (BATCH_COL,)) -> DataFrame:
-        """Latest row per key; later batches win, then ``order``."""
-        return latest_by_key(self.read(), key, list(order)).drop(BATCH_COL)
+    def current(self, key: str | Sequence[str], order: Sequence[str | Column] = ()) -> DataFrame:
+        """Latest row per key: of the latest batch, then by ``order``."""
+        return latest_by_key(self.read(), key, [BATCH_COL, *order]).drop(BATCH_COL)
 
     def totals(self, key: str | Sequence[str], amount: str) -> DataFrame:
         return counter_totals(self.read(), key, amount)
 
-    def compact(self, key: str | Sequence[str], order: Sequence[str | Column] = (BATCH_COL,), new_path: str | None = None) -> "RowLog":
-        """Rewrite the current rows into a new log and return it.
-
-        Each surviving row keeps its batch id, so later appends still win.
-        The old log stays untouched until the caller switches readers over;
-        nothing is deleted here.
-        """
-        target = RowLog(self.spark, new_path or f"{self.path}-compacted", self.partition_by)
-        latest = latest_by_key(self.read(), key, list(order))
-        latest.write.mode("overwrite").partitionBy(BATCH_COL, *self.partition_by).parquet(target.path)
-        return target
+    def append(self, df: DataFrame) -> int:
+        """Adds rows as the next batch (single writer): e.g. a counter's bump (K6)."""
+        batch_id = max(self.batches(), default=-1) + 1
+        self.write_batch(df, batch_id)
+        return batch_id
+
+    def compact(self, key: str | Sequence[str], order: Sequence[str | Column] = (BATCH_COL,)) -> None:
+        """Upsert log: keep the latest row of each key by ``order``, with its batch id."""
+        self._compact(lambda rows: latest_by_key(rows, key, order))
+
+    def compact_counter(self, key: str | Sequence[str], amount: str) -> None:
+        """Counter log: keep the sum of each key's increments."""
+        keys = [key] if isinstance(key, str) else list(key)
+        by = [*keys, *[c for c in self.partition_by if c not in keys]]
+        self._compact(lambda rows: counter_totals(rows, by, amount))
+
+    def _compact(self, reduce) -> None:
+        done = self.batches()
+        if not done or done[-1] == self.compacted():
+            return
+        rows = reduce(self.read().where(F.col(BATCH_COL) <= done[-1]))
+        if BATCH_COL not in rows.columns:
+            rows = rows.withColumn(BATCH_COL, F.lit(done[-1]))
+        staged = f"{self.path}/_staged/{uuid.uuid4().hex}"
+        self._writer(rows.withColumn(BATCH_COL, F.col(BATCH_COL).cast("int"))).parquet(staged)
+        publish(self.spark, staged, f"{self.path}/_compacted/upto={done[-1]}")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pulse.functions.time import created_at_text
+from pulse.schema import USER
 from pulse.settings import MISSING_LATITUDE, MISSING_LONGITUDE
 
 
@@ -13,22 +14,12 @@ def status_ids(statuses: DataFrame) -> DataFrame:
     return statuses.select("id")
 
 
-def screen_names(statuses: DataFrame) -> DataFrame:
-    """The author's screen name."""
-    return statuses.select(F.col("user.screen_name").alias("screen_name"))
-
-
-def geo_points(statuses: DataFrame, as_float: bool = True) -> DataFrame:
+def geo_points(statuses: DataFrame, as_float: bool = True, carry: tuple = ()) -> DataFrame:
     """P3 (after F4): id, longitude, latitude.  The result table stores floats."""
     lon, lat = F.col("geo.longitude"), F.col("geo.latitude")
     if as_float:
         lon, lat = lon.cast("float"), lat.cast("float")
-    return statuses.select("id", lon.alias("longitude"), lat.alias("latitude"))
-
-
-def id_text(statuses: DataFrame) -> DataFrame:
-    """Id and text, typed (no printing and re-splitting, see D2)."""
-    return statuses.select("id", "text")
+    return statuses.select("id", lon.alias("longitude"), lat.alias("latitude"), *carry)
 
 
 def hashtags(statuses: DataFrame, keep: tuple[str, ...] = ("id",)) -> DataFrame:
@@ -62,30 +53,7 @@ def place_rows(statuses: DataFrame, keep_placeless: bool = True, carry: tuple =
     )
 
 
-USER_COLUMNS = (
-    "id",
-    "contributors_enabled",
-    "created_at",
-    "default_profile",
-    "default_profile_image",
-    "description",
-    "favourites_count",
-    "follow_request_sent",
-    "followers_count",
-    "friends_count",
-    "geo_enabled",
-    "lang",
-    "listed_count",
-    "location",
-    "name",
-    "profile_image_url",
-    "protected",
-    "screen_name",
-    "statuses_count",
-    "url",
-    "verified",
-    "withheld_in_countries",
-)
+USER_COLUMNS = tuple(USER.fieldNames())
 
 
 def user_rows(statuses: DataFrame, text_form: bool = True, carry: tuple = ()) -> DataFrame:
@@ -150,3 +118,14 @@ def status_rows(statuses: DataFrame, text_form: bool = True, carry: tuple = ())
 def created_at_texts(statuses: DataFrame) -> DataFrame:
     """Id and the date-time text."""
     return statuses.select("id", created_at_text(F.col("created_at")).alias("created_at_text"))
+
+
+def as_text(rows: DataFrame) -> DataFrame:
+    """Stored user or status rows in text form: Java date text, arrays joined by commas."""
+    out = {}
+    for name, kind in rows.dtypes:
+        if kind == "timestamp_ntz":
+            out[name] = created_at_text(F.col(name))
+        elif kind == "array<string>":
+            out[name] = F.array_join(name, ",")
+    return rows.withColumns(out) if out else rows

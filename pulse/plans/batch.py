@@ -1,8 +1,10 @@
 """The reference's jobs as batch plans over the driver's tables.
 
-Each function takes ``(spark, sf_dir)`` and returns a lazy DataFrame: the
-status records are derived from the tables, then the operators are composed.
-Nothing is collected; Spark plans every function as one query.
+Each function takes ``(spark, sf_dir)`` and returns a DataFrame: the status
+records are derived from the tables, then the operators are composed.  No rows
+are collected.  Most functions are one lazy plan; the ``ranked_*`` ones write
+their counts, histogram and ranks to the shared work folder while the plan is
+built.
 """
 
 from __future__ import annotations
@@ -10,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulse.operators import counts, filters, keyed, sentiment, shape
-from pulse.session import materialize
 from pulse.sources.lexicon import FIXTURE_LEXICON, first_wins, fixture_lexicon
 from pulse.sources.statuses import deliveries, flat_statuses, status_records
 
@@ -201,7 +202,7 @@ def track_b(spark, sf_dir):
 
 def word_scores(spark, sf_dir):
     tracked = filters.on_track(english(spark, sf_dir), TEST_TRACK_A)
-    return sentiment.word_hits(tracked, lexicon(spark))
+    return sentiment.word_scores(tracked, lexicon(spark))
 
 
 def sentiment_a(spark, sf_dir):
@@ -215,10 +216,7 @@ def sentiment_b(spark, sf_dir):
 
 
 def ranked_sentiment(spark, sf_dir):
-    # The rank reads its input twice; the (id, rating) pairs are written once
-    # to the shared work folder instead of scoring every status twice.
-    ratings = materialize(sentiment_a(spark, sf_dir).select("id", "rating"), "ratings")
-    return counts.rank_desc(ratings, "rating", "rank")
+    return counts.rank_desc(sentiment_a(spark, sf_dir).select("id", "rating"), "rating", "rank")
 
 
 # ---- Wide status, user and place tables ---------------------------------------

@@ -205,7 +205,7 @@ SELECT id, CAST(longitude AS FLOAT) AS longitude, CAST(latitude AS FLOAT) AS lat
 FROM statuses WHERE latitude IS NOT NULL""",
     "track_a": "SELECT id FROM track_a",
     "track_b": "SELECT id FROM track_b",
-    "word_scores": "SELECT w.id, w.pos, w.word, l.score FROM words_a w JOIN lex l USING (word)",
+    "word_scores": "SELECT w.id, w.pos, w.word, coalesce(l.score, 0) AS score FROM words_a w LEFT JOIN lex l USING (word)",
     "sentiment_a": "SELECT * FROM senti_a",
     "sentiment_b": "SELECT * FROM senti_b",
     "ranked_sentiment": "SELECT id, rating, rank() OVER (ORDER BY rating DESC) AS rank FROM senti_a",
@@ -216,17 +216,17 @@ FROM statuses WHERE latitude IS NOT NULL""",
     "upsert_statuses": _UPSERT_STATUSES,
     "upsert_users": _UPSERT_USERS,
     "upsert_places": _UPSERT_PLACES,
-    "sql_view_scan": """
-SELECT 'tweet' AS table_name, count(*) AS n_rows FROM en
-UNION ALL SELECT 'distinct_user', count(DISTINCT "user") FROM user_iv
-UNION ALL SELECT 'hashtag', count(DISTINCT tags) FROM tag_iv
-UNION ALL SELECT 'toptweeter', count(DISTINCT top_user) FROM rt_iv
-UNION ALL SELECT 'location', count(*) FROM statuses WHERE latitude IS NOT NULL
-UNION ALL SELECT 'trump_sentiment', count(*) FROM senti_b
-UNION ALL SELECT 'russia_sentiment', count(*) FROM senti_a
-UNION ALL SELECT 'status_hifi', count(DISTINCT id) FROM en
-UNION ALL SELECT 'user_hifi', count(DISTINCT user_id) FROM en
-UNION ALL SELECT 'place_hifi', count(DISTINCT coalesce(place_id, CAST(id AS VARCHAR))) FROM en""",
+    "sql_view_scan": f"""
+SELECT 'tweet' AS table_name, count(*) AS n_rows, CAST(sum(id) AS BIGINT) AS checksum FROM en
+UNION ALL SELECT 'distinct_user', count(DISTINCT "user"), CAST(sum("count") AS BIGINT) FROM user_iv
+UNION ALL SELECT 'hashtag', count(DISTINCT tags), CAST(sum(freq) AS BIGINT) FROM tag_iv
+UNION ALL SELECT 'toptweeter', count(DISTINCT top_user), CAST(sum(retweeted) AS BIGINT) FROM rt_iv
+UNION ALL SELECT 'location', count(*), CAST(sum(id) AS BIGINT) FROM statuses WHERE latitude IS NOT NULL
+UNION ALL SELECT 'trump_sentiment', count(*), CAST(sum(rating) AS BIGINT) FROM senti_b
+UNION ALL SELECT 'russia_sentiment', count(*), CAST(sum(rating) AS BIGINT) FROM senti_a
+UNION ALL SELECT 'status_hifi', count(*), CAST(sum(favorite_count) AS BIGINT) FROM ({_UPSERT_STATUSES})
+UNION ALL SELECT 'user_hifi', count(*), CAST(sum(followers_count) AS BIGINT) FROM ({_UPSERT_USERS})
+UNION ALL SELECT 'place_hifi', count(*), CAST(sum(length(full_name)) AS BIGINT) FROM ({_UPSERT_PLACES})""",
     "status_user_place": f"""
 SELECT s.id, s.user_id, u.screen_name, u.followers_count, s.place_id, p.full_name AS place_full_name
 FROM ({_UPSERT_STATUSES}) s
@@ -235,10 +235,18 @@ LEFT JOIN ({_UPSERT_PLACES}) p ON s.place_id = p.id""",
 }
 
 
+# The status table after a feed that delivers every third status twice.
+_UPSERT_REDELIVERED = f"""
+SELECT {_STATUS_ROW} FROM (
+ SELECT * REPLACE (CAST(favorite_count + CASE WHEN id % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) AS favorite_count,
+  CAST(retweet_count + CASE WHEN id % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) AS retweet_count) FROM en)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     from pulse.streaming.replay_queries import STREAM_ORACLE
 
     out = {k: STATUSES + v for k, v in _Q.items()}
     for stream_key, batch_key in STREAM_ORACLE.items():
-        out[stream_key] = out[batch_key]
+        out[stream_key] = STATUSES + _UPSERT_REDELIVERED if batch_key == "upsert_redelivered" else out[batch_key]
     return out

@@ -9,9 +9,13 @@ projections of the SQL reach the parquet scans of the driver tables).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from pulse.operators.keyed import RowLog
 from pulse.plans import batch
+from pulse.session import fresh_path, materialize
 
 # --- fixed values: the reference's result table names ----------------------
 TABLES = (
@@ -54,26 +58,66 @@ def register_tables(spark: SparkSession, sf_dir: str, prefix: str = "") -> list[
 
 
 def register_parquet_table(spark: SparkSession, name: str, path: str) -> None:
-    """``CREATE TABLE ... USING parquet`` over a written row log or snapshot."""
+    """``CREATE TABLE ... USING parquet`` over a written table or snapshot."""
     spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} USING parquet OPTIONS (path '{path}')")
 
 
+def register_log(
+    spark: SparkSession, name: str, path: str, key: Sequence[str] = (), order: Sequence[str] = (), amount: str | None = None
+) -> None:
+    """A written row log as a view of its current rows: a counter's totals (``amount``) or the latest row of each key.
+
+    The view reads the log's files whenever it is queried; columns of the order
+    (all beginning with ``_``) are left out.
+    """
+    log = RowLog(spark, path)
+    rows = log.totals(list(key), amount) if amount else log.current(list(key), order)
+    rows.drop(*[c for c in rows.columns if c.startswith("_")]).createOrReplaceTempView(name)
+
+
+#: What ``sql_view_scan`` sums of each table, besides its rows.
+CHECKSUMS = {
+    "tweet": "id",
+    "distinct_user": "`count`",
+    "hashtag": "freq",
+    "toptweeter": "retweeted",
+    "location": "id",
+    "trump_sentiment": "rating",
+    "russia_sentiment": "rating",
+    "status_hifi": "favorite_count",
+    "user_hifi": "followers_count",
+    "place_hifi": "length(full_name)",
+}
+
+
 def sql_view_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC3: every registered table scanned through SQL (row count per table)."""
-    register_tables(spark, sf_dir)
-    parts = [f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLES]
+    """SRC3: every table written, registered and scanned through SQL (rows and a column's sum)."""
+    for name, df in result_tables(spark, sf_dir).items():
+        path = fresh_path(spark, f"table-{name}")
+        df.write.parquet(path)
+        register_parquet_table(spark, name, path)
+    parts = [
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST(sum({CHECKSUMS[t]}) AS BIGINT) AS checksum FROM {t}" for t in TABLES
+    ]
     return spark.sql("\nUNION ALL\n".join(parts))
 
 
-def status_user_place(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each status with its author's and place's current rows."""
-    register_tables(spark, sf_dir)
-    return spark.sql(
-        """
-        SELECT s.id, s.user_id, u.screen_name, u.followers_count,
-               s.place_id, p.full_name AS place_full_name
-        FROM status_hifi s
-        LEFT JOIN user_hifi u ON s.user_id = u.id
-        LEFT JOIN place_hifi p ON s.place_id = p.id
-        """
+def join_status_user_place(status: DataFrame, user: DataFrame, place: DataFrame) -> DataFrame:
+    """Each status with its author's and place's rows.
+
+    Statuses without a place (two in three) skip the place join: their null key
+    would send them all to one partition.
+    """
+    s = status.select("id", "user_id", "place_id").join(
+        user.select(F.col("id").alias("user_id"), "screen_name", "followers_count"), "user_id", "left"
     )
+    names = place.select(F.col("id").alias("place_id"), F.col("full_name").alias("place_full_name"))
+    placed = s.where("place_id is not null").join(names, "place_id", "left")
+    unplaced = s.where("place_id is null").withColumn("place_full_name", F.lit(None).cast("string"))
+    return placed.unionByName(unplaced)
+
+
+def status_user_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 over written tables (the statuses are derived once a table, not once a join)."""
+    t = {n: materialize(df, n) for n, df in result_tables(spark, sf_dir).items() if n.endswith("_hifi")}
+    return join_status_user_place(t["status_hifi"], t["user_hifi"], t["place_hifi"])

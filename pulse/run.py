@@ -14,7 +14,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from pulse.settings import TRACK_A_KEYWORDS, TRACK_B_KEYWORDS, JobSettings
+from pulse.settings import PREVIEW_ROWS, TRACK_A_KEYWORDS, TRACK_B_KEYWORDS, JobSettings
 from pulse.streaming.apps import APPS
 
 STREAM_DEFAULTS = {
@@ -38,8 +38,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--lang", default=JobSettings.lang)
     ap.add_argument("--track-a", default=",".join(TRACK_A_KEYWORDS))
     ap.add_argument("--track-b", default=",".join(TRACK_B_KEYWORDS))
-    ap.add_argument("--preview", type=int, default=100)
+    ap.add_argument("--preview", type=int, default=PREVIEW_ROWS)
     ap.add_argument("--format", default="parquet", choices=["parquet", "json"], help="status file format")
+    ap.add_argument("--files-per-trigger", type=int, default=None, help="files a micro-batch takes (default: all new ones)")
+    ap.add_argument("--state-partitions", type=int, default=None)
+    ap.add_argument("--bad-lines", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"])
     args = ap.parse_args(argv)
 
     settings = JobSettings(
@@ -52,8 +55,12 @@ def main(argv: list[str] | None = None) -> None:
         track_a=tuple(k for k in args.track_a.split(",") if k),
         track_b=tuple(k for k in args.track_b.split(",") if k),
         source_format=args.format,
+        files_per_trigger=args.files_per_trigger,
+        state_partitions=args.state_partitions,
+        bad_lines=args.bad_lines,
     )
     spark = SparkSession.builder.appName(f"pulse-{args.app}").getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # records hold UTC wall clocks
     # Large streaming state lives off-heap in RocksDB, checkpointed by
     # changelog.  Set only where the user (spark-submit --conf) has not.
     for key, value in STREAM_DEFAULTS.items():

@@ -80,6 +80,32 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path: any store that Spark writes to."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    fs, p = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def publish(spark: SparkSession, staged: str, target: str) -> None:
+    """Renames a written folder to a name that readers look for; fails if that is taken."""
+    fs, src = _file_system(spark, staged)
+    dst = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(dst.getParent())
+    if fs.exists(dst) or not fs.rename(src, dst):
+        raise RuntimeError(f"{target} is there already or cannot be written")
+
+
 def local_session(cores: int | None = None, shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the bench: local mode, UTC, AQE on, no UI."""
     cores = cores or int(os.environ.get("BENCH_CPUS", "8"))

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pulse.functions.sizing import broadcast_if_small
 from pulse.schema import LEXICON
 
-# A lexicon above this many words is joined by the planner, not broadcast.
-LEXICON_BROADCAST_MAX_ROWS = 1_000_000
+# A lexicon above this size is joined by the planner, not broadcast.
+LEXICON_BROADCAST_MAX_BYTES = 32 << 20
 
 # --- fixed values: the test lexicon of FIXTURES.md §4 (ord, word, score) -----
 # "that" appears twice on purpose: the first entry (+2) must win.
@@ -28,11 +28,13 @@ FIXTURE_LEXICON = [
 # ---------------------------------------------------------------------------
 
 
-def read_lexicon(spark: SparkSession, path: str, mode: str = "DROPMALFORMED") -> DataFrame:
-    """SRC2: ``word<TAB>score`` lines, with the line order kept as ``ord``.
+def read_lexicon(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+    """SRC2: ``word<TAB>score`` lines, with the place of each line as ``ord``.
 
-    The typed schema replaces the reference's ``split("\\t")`` + ``toInt``;
-    ``mode`` states what happens to a bad line (dropped by default).
+    The typed schema replaces the reference's ``split("\\t")`` + ``toInt``, and
+    a bad line fails the read as there (``mode="DROPMALFORMED"`` drops bad
+    lines).  Lines are ordered by file, by block inside the file, and by line
+    inside the block, however the files are dealt to tasks.
     """
     return (
         spark.read.schema(LEXICON)
@@ -40,7 +42,15 @@ def read_lexicon(spark: SparkSession, path: str, mode: str = "DROPMALFORMED") ->
         .option("mode", mode)
         .option("quote", "")
         .csv(path)
-        .withColumn("ord", F.monotonically_increasing_id())
+        .select(
+            "word",
+            "score",
+            F.struct(
+                F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("line"),
+            ).alias("ord"),
+        )
     )
 
 
@@ -54,6 +64,6 @@ def first_wins(lexicon: DataFrame) -> DataFrame:
     return lexicon.groupBy("word").agg(F.min_by("score", "ord").alias("score"))
 
 
-def lexicon_dimension(lexicon: DataFrame, cache_key: str | None = None) -> DataFrame:
+def lexicon_dimension(lexicon: DataFrame) -> DataFrame:
     """Deduplicated lexicon, broadcast when its size is proven small."""
-    return broadcast_if_small(first_wins(lexicon), LEXICON_BROADCAST_MAX_ROWS, cache_key)
+    return broadcast_if_small(first_wins(lexicon), LEXICON_BROADCAST_MAX_BYTES)

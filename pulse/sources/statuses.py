@@ -9,14 +9,15 @@ the fields they need and Catalyst prunes the rest back to the parquet scans.
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pulse.functions.sizing import broadcast_if_small
-from pulse.session import app_id
 from pulse.sources.tables import read_table
 
 # Nation is a fixed-size dimension (25 rows in TPC-H); this is its bound.
-PLACE_DIM_MAX_ROWS = 10_000
+PLACE_DIM_MAX_BYTES = 1 << 20
 N_NATIONS = 25
 
 
@@ -31,14 +32,15 @@ def place_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
         "n_nationkey", "n_name", "r_name"
     )
-    return broadcast_if_small(dim, PLACE_DIM_MAX_ROWS, cache_key=f"{sf_dir}:place_dimension")
+    return broadcast_if_small(dim, PLACE_DIM_MAX_BYTES)
 
 
 def _empty_strings() -> Column:
     return F.array().cast("array<string>")
 
 
-_plans: dict[tuple[str, str], DataFrame] = {}
+#: Lazy plans by session (a plan belongs to the session that analysed it) and folder.
+_plans: WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = WeakKeyDictionary()
 
 
 def status_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,11 +50,10 @@ def status_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     the wide nested projection costs driver time, and the plan is the same for
     every query over the same immutable tables.
     """
-    key = (app_id(spark), sf_dir)
-    plan = _plans.get(key)
-    if plan is None:
-        plan = _plans[key] = _build_status_records(spark, sf_dir)
-    return plan
+    own = _plans.setdefault(spark, {})
+    if sf_dir not in own:
+        own[sf_dir] = _build_status_records(spark, sf_dir)
+    return own[sf_dir]
 
 
 def _build_status_records(spark: SparkSession, sf_dir: str) -> DataFrame:

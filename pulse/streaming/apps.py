@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pulse.session import fresh_path
 from pulse.settings import WIDE_TABLES_INTERVAL, JobSettings
-from pulse.sources.lexicon import fixture_lexicon, lexicon_dimension, read_lexicon
+from pulse.sources.lexicon import lexicon_dimension, read_lexicon
 from pulse.streaming import jobs
 
 
@@ -31,7 +31,9 @@ def _trigger(settings: JobSettings, available_now: bool, interval: str | None =
 def _source(source, settings: JobSettings) -> jobs.StatusSource:
     if isinstance(source, jobs.StatusSource):
         return source
-    return jobs.StatusSource(source, settings.source_format)
+    return jobs.StatusSource(
+        source, settings.source_format, settings.files_per_trigger, settings.state_partitions, settings.bad_lines
+    )
 
 
 def _out(spark: SparkSession, settings: JobSettings, table: str) -> str:
@@ -41,7 +43,7 @@ def _out(spark: SparkSession, settings: JobSettings, table: str) -> str:
 
 def status_ids(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
     trigger, secs = _trigger(settings, available_now)
-    ids = jobs.status_ids(spark, _source(source, settings), settings.lang, _out(spark, settings, "tweet"), trigger, secs)
+    ids = jobs.status_ids(spark, _source(source, settings), settings.lang, _out(spark, settings, "ids"), trigger, secs)
     return {"tweet": ids}
 
 
@@ -54,15 +56,9 @@ def author_counts(spark, source, settings: JobSettings, available_now=False) ->
 def trending_hashtags(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
     trigger, secs = _trigger(settings, available_now)
     out = _out(spark, settings, "hashtag_by_interval")
-    # A replay takes each run's files in one micro-batch (their order is
-    # unknown, and the watermark must not pass rows of the same run); a live
-    # feed's files arrive in time order and are taken a few at a time.
-    per_interval = jobs.hashtag_counts_by_interval(
-        spark, _source(source, settings), settings.interval, out=out, trigger=trigger,
-        run_seconds=secs, files_per_trigger=None if available_now else 8,
-    )
-    totals = per_interval.groupBy("tags").sum("freq").withColumnRenamed("sum(freq)", "freq")
-    return {"hashtag_by_interval": per_interval, "hashtag": totals}
+    table = jobs.hashtag_log(spark, _source(source, settings), settings.interval, out, trigger, secs)
+    per_interval = table.totals(["window_start", "window_end", "tags"], "freq")
+    return {"hashtag_by_interval": per_interval, "hashtag": table.totals("tags", "freq")}
 
 
 def account_retweeters(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
@@ -73,8 +69,8 @@ def account_retweeters(spark, source, settings: JobSettings, available_now=False
 
 def geo_points(spark, source, settings: JobSettings, available_now=False) -> dict[str, DataFrame]:
     trigger, secs = _trigger(settings, available_now)
-    out = _out(spark, settings, "location")
-    return {"location": jobs.geo_points(spark, _source(source, settings), out, trigger, secs)}
+    # The table's folder is named after it, inside the job's.
+    return {"location": jobs.geo_points(spark, _source(source, settings), _out(spark, settings, "geo"), trigger, secs)}
 
 
 def keyword_sentiment(spark, source, settings: JobSettings, available_now=False, lexicon: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -82,8 +78,9 @@ def keyword_sentiment(spark, source, settings: JobSettings, available_now=False,
     once and broadcast if its size is proven small."""
     trigger, secs = _trigger(settings, available_now)
     if lexicon is None:
-        raw = read_lexicon(spark, settings.lexicon_path) if settings.lexicon_path else fixture_lexicon(spark)
-        lexicon = lexicon_dimension(raw, cache_key=settings.lexicon_path)
+        if not settings.lexicon_path:
+            raise ValueError("keyword_sentiment needs a lexicon: set lexicon_path (--lexicon)")
+        lexicon = lexicon_dimension(read_lexicon(spark, settings.lexicon_path))
     tracks = {"russia_sentiment": settings.track_a, "trump_sentiment": settings.track_b}
     root = _out(spark, settings, "sentiment")
     return jobs.sentiment_tracks(spark, _source(source, settings), lexicon, tracks, settings.lang, root, trigger, secs)

@@ -1,44 +1,57 @@
 """The jobs as Structured Streaming queries.
 
-Stateless outputs use the native parquet sink (exactly-once through its
-commit log).  Outputs that need a per-batch table use ``foreachBatch``
-writing into a ``RowLog`` partition named by the batch id, which a retried
-batch overwrites instead of appending twice; one query may feed several such
-tables from one read of each batch (fan-out, several keyword tracks).  Every
-query checkpoints next to its output, in the shared work folder unless the
-caller names another shared path, so a restart (or a lost executor) resumes
-from the last committed batch.
-
-``trigger`` defaults to ``availableNow`` (replay everything, then stop); a
-live job passes ``{"processingTime": "10 seconds"}`` (the reference's
-interval) and runs until ``run_seconds`` elapse.
+Every job writes, per micro-batch, into ``RowLog`` tables with ``foreachBatch``:
+counters append their batch's own counts (totals are sums on read), keyed
+tables append rows with their order of arrival (the current row of a key is the
+latest, on read).  No state grows with keys or time, no row can be late, and a
+batch that is run again is not written again.  One query may feed several
+tables from one read of each batch.
+
+``hashtag_counts_by_interval`` is the stateful exception for callers who want
+closed intervals: it needs a lateness, and reports the rows it drops.
+
+Every query checkpoints next to its output, so a restart (or a lost executor)
+resumes from the last committed batch.  ``trigger`` defaults to
+``availableNow`` (replay everything, then stop); a live job passes
+``{"processingTime": "10 seconds"}`` (the reference's interval) and runs until
+``run_seconds`` elapse.
 """
 
 from __future__ import annotations
 
 import contextlib
+import logging
 import uuid
-from dataclasses import dataclass
 from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from pulse.operators import counts, filters, keyed, sentiment, shape
 from pulse.operators.keyed import RowLog
-from pulse.session import fresh_path
+from pulse.session import exists, fresh_path
 from pulse.settings import DEFAULT_ACCOUNT, DEFAULT_LANG
-from pulse.streaming.replay import status_stream, with_event_time
+from pulse.streaming.replay import ARRIVAL, arrival, status_stream, with_event_time
 
 AVAILABLE_NOW = {"availableNow": True}
+COMPACT_AFTER = 100  # folders of a log beyond which a job compacts it when it ends
+ORDER = (*ARRIVAL, "_line")  # of arrival, inside a batch
+
+log = logging.getLogger(__name__)
+#: Seconds of each micro-batch with rows, of the last run of each job (see bench.py).
+BATCH_SECONDS: dict[str, list[float]] = {}
 
 
 @dataclass(frozen=True)
 class StatusSource:
-    """Status files to stream: one glob or folder per run, and their format."""
+    """Status files to stream: one glob or folder per run, their format, and how a run takes them."""
 
     paths: str | Sequence[str]
     fmt: str = "parquet"
+    files_per_trigger: int | None = None  # None: all new files in one micro-batch
+    state_partitions: int | None = None  # None: the session's shuffle partitions
+    bad_lines: str = "FAILFAST"  # or PERMISSIVE (JSON only)
 
 
 Source = str | Sequence[str] | StatusSource
@@ -62,44 +75,38 @@ def _drive(
     build: Callable[[DataFrame], DataStreamWriter],
     trigger: dict,
     run_seconds: float | None,
-    files_per_trigger: int | None,
-    checkpoint: str,
-    extra_conf: dict[str, str] | None = None,
-) -> None:
-    """Run the query once per source path, all runs on one checkpoint.
+    root: str,
+    logs: Iterable[RowLog],
+    conf: dict[str, str] | None = None,
+) -> list[dict]:
+    """Run the query once per source path, all runs on one checkpoint; the progress reports.
 
     A later run resumes from the committed offsets and state of the earlier
     ones, exactly as a restart after a failure does.  The checkpoint sits in
-    the output folder (``_checkpoint``, skipped by readers), so re-running a
-    job on the same output resumes where it stopped.
+    the output folder (``_checkpoint``, skipped by readers).  Without it, batch
+    ids would start anew and meet the batches that are there: that is refused.
     """
-    ckpt = checkpoint
+    checkpoint = f"{root.rstrip('/')}/_checkpoint"
+    if not exists(spark, f"{checkpoint}/metadata") and any(t.batches() for t in logs):
+        raise RuntimeError(f"{root} holds batches, but its checkpoint is gone: write to a new folder")
     src = source if isinstance(source, StatusSource) else StatusSource(source)
+    conf = dict(conf or {})
+    if src.state_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(src.state_partitions)
+    progress: list[dict] = []
     for path in [src.paths] if isinstance(src.paths, str) else list(src.paths):
-        writer = build(status_stream(spark, path, files_per_trigger, src.fmt))
-        conf = {"spark.sql.shuffle.partitions": str(_stream_partitions(spark)), **(extra_conf or {})}
-        with _query_conf(spark, conf):
+        with _query_conf(spark, conf):  # plans take the zone from the session when they are built
             q = (
-                writer.queryName(f"{name}_{uuid.uuid4().hex[:8]}")
-                .option("checkpointLocation", ckpt)
+                build(status_stream(spark, path, src.files_per_trigger, src.fmt, src.bad_lines))
+                .queryName(f"{name}_{uuid.uuid4().hex[:8]}")
+                .option("checkpointLocation", checkpoint)
                 .trigger(**trigger)
                 .start()
             )
         _run(q, run_seconds)
-
-
-def _stream_partitions(spark: SparkSession) -> int:
-    """Partitions of a stream's shuffles and of its state store.
-
-    Sized to the cluster (one per core), not to the session's batch default:
-    every micro-batch touches every state partition, so 200 partitions on a
-    small stream cost more than its data.  A restart reads the number back
-    from the checkpoint, so it stays fixed for the life of the query.
-    """
-    try:
-        return max(1, spark.sparkContext.defaultParallelism)
-    except Exception:  # Spark Connect: keep the session's setting
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        progress += [dict(p) for p in q.recentProgress]
+    BATCH_SECONDS[name] = [p["durationMs"]["triggerExecution"] / 1000 for p in progress if p["numInputRows"]]
+    return progress
 
 
 @contextlib.contextmanager
@@ -118,289 +125,238 @@ def _query_conf(spark: SparkSession, conf: dict[str, str]):
                 spark.conf.set(k, v)
 
 
-def _ckpt(output_root: str) -> str:
-    return f"{output_root.rstrip('/')}/_checkpoint"
-
-
 def _batches(handler: Callable[[DataFrame, int], None], output_mode: str = "append"):
     return lambda stream: stream.writeStream.outputMode(output_mode).foreachBatch(handler)
 
 
-def _parquet(out: str):
-    return lambda stream: stream.writeStream.format("parquet").option("path", out).outputMode("append")
-
-
-def _ntz_window(df: DataFrame) -> DataFrame:
-    return df.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
-        "window_end", F.col("window_end").cast("timestamp_ntz")
-    )
-
-
-def hashtag_counts_by_interval(
-    spark: SparkSession,
-    source: Source,
-    interval: str,
-    delay: str = "10 minutes",
-    out: str | None = None,
-    trigger: dict = AVAILABLE_NOW,
-    run_seconds: float | None = None,
-    files_per_trigger: int | None = 8,
-) -> DataFrame:
-    """W3 + A1: tag counts per event-time interval, stateful with a watermark.
-
-    Update mode emits each changed (interval, tag) count; the row log keeps
-    every emission and the latest per key is the current count.  The
-    watermark lets the state store drop intervals once they can no longer
-    change, so state stays bounded on an endless stream.
-    """
-    # Partitioned by day inside each batch: a reader bounded in time prunes.
-    log = RowLog(spark, out or fresh_path(spark, "log-hashtag-interval"), partition_by=("day",))
-
-    def write(df: DataFrame, bid: int) -> None:
-        log.write_batch(df.withColumn("day", F.to_date("window_start")), bid)
-
-    def build(stream: DataFrame) -> DataStreamWriter:
-        us = filters.us_english(with_event_time(stream, delay))
-        tags = shape.hashtags(us, keep=("created_at",))
-        agg = counts.count_by_interval(tags, "tag", "tags", interval, "freq")
-        return _batches(write, "update")(agg)
-
-    # In update mode a no-data batch only evicts state and emits nothing; a
-    # replay (availableNow) skips it, and the next run evicts instead.
-    extra = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"} if trigger == AVAILABLE_NOW else None
-    _drive(spark, "hashtag_iv", source, build, trigger, run_seconds, files_per_trigger, _ckpt(log.path), extra)
-    return _ntz_window(log.current(["window_start", "window_end", "tags"]).drop("day"))
-
+# ---- counters (K2) ------------------------------------------------------------------
 
 def increments(
     spark: SparkSession,
     source: Source,
     name: str,
     per_batch: Callable[[DataFrame], DataFrame],
-    key: str,
+    key: str | Sequence[str],
     amount: str,
     out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
-    files_per_trigger: int | None = 8,
-) -> DataFrame:
+) -> RowLog:
     """K2 on a stream: each batch appends its own counts; totals are sums on read.
 
-    Stateless: no state grows with the number of keys, and a replayed batch
-    overwrites its own increments instead of adding them again (D8).
+    Every row counts once, whatever its event time or order of arrival, and a
+    replayed batch is not added again (D8).
     """
-    log = RowLog(spark, out or fresh_path(spark, f"log-{name}"))
-    handle = lambda batch, bid: log.write_batch(per_batch(batch), bid)
-    _drive(spark, name, source, _batches(handle), trigger, run_seconds, files_per_trigger, _ckpt(log.path))
-    return log.totals(key, amount)
+    table = RowLog(spark, out or fresh_path(spark, f"log-{name}"))
+    handle = lambda batch, bid: table.write_batch(per_batch(batch), bid)
+    _drive(spark, name, source, _batches(handle), trigger, run_seconds, table.path, [table])
+    if table.folders() > COMPACT_AFTER:
+        table.compact_counter(key, amount)
+    return table
 
 
-def user_counts(
-    spark: SparkSession,
-    source: Source,
-    lang: str = DEFAULT_LANG,
-    out: str | None = None,
-    trigger: dict = AVAILABLE_NOW,
-    run_seconds: float | None = None,
-    files_per_trigger: int | None = 8,
-) -> DataFrame:
-    """W7 + A2 + K2: running count per author across batches."""
-
+def user_log(spark, source: Source, lang=DEFAULT_LANG, out=None, trigger=AVAILABLE_NOW, run_seconds=None) -> RowLog:
     def per_batch(batch: DataFrame) -> DataFrame:
         return counts.count_by(filters.by_lang(batch, lang), F.col("user.screen_name"), "user", "count")
 
-    return increments(spark, source, "user_counts", per_batch, "user", "count", out, trigger, run_seconds, files_per_trigger)
+    return increments(spark, source, "user_counts", per_batch, "user", "count", out, trigger, run_seconds)
 
 
-def distinct_user_total(
-    spark: SparkSession,
-    source: Source,
-    lang: str = DEFAULT_LANG,
-    lg_k: int = 12,
-    out: str | None = None,
-    trigger: dict = AVAILABLE_NOW,
-    run_seconds: float | None = None,
-    files_per_trigger: int | None = 8,
-) -> DataFrame:
-    """A7 on a stream: distinct authors from mergeable HLL sketches.
-
-    Each batch appends one fixed-size sketch (``2^lg_k`` registers) of its
-    authors; the total unions every sketch on read.  No state, no set of
-    authors anywhere, exactly-once per batch; the estimate is approximate
-    (relative error about ``1.04 / sqrt(2^lg_k)``, exact while small).
-    """
-    log = RowLog(spark, out or fresh_path(spark, "log-user-sketch"))
+def user_counts(spark, source: Source, lang=DEFAULT_LANG, out=None, trigger=AVAILABLE_NOW, run_seconds=None) -> DataFrame:
+    """W7 + A2 + K2: running count per author across batches."""
+    return user_log(spark, source, lang, out, trigger, run_seconds).totals("user", "count")
 
-    def handle(batch: DataFrame, bid: int) -> None:
-        en = filters.by_lang(batch, lang)
-        log.write_batch(en.agg(F.hll_sketch_agg(F.col("user.screen_name"), lg_k).alias("sketch")), bid)
 
-    _drive(spark, "user_sketch", source, _batches(handle), trigger, run_seconds, files_per_trigger, _ckpt(log.path))
-    return log.read().agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_users"))
+def distinct_user_total(spark, source: Source, lang=DEFAULT_LANG, out=None, trigger=AVAILABLE_NOW, run_seconds=None) -> DataFrame:
+    """A7 on a stream, exact: the number of authors with a count in any batch."""
+    totals = user_counts(spark, source, lang, out, trigger, run_seconds)
+    return totals.where(F.col("user").isNotNull()).agg(F.count(F.lit(1)).alias("n_users"))
 
 
-def retweeter_counts(
-    spark: SparkSession,
-    source: Source,
-    account: str = DEFAULT_ACCOUNT,
-    out: str | None = None,
-    trigger: dict = AVAILABLE_NOW,
-    run_seconds: float | None = None,
-    files_per_trigger: int | None = 8,
-) -> DataFrame:
+def retweeter_counts(spark, source: Source, account=DEFAULT_ACCOUNT, out=None, trigger=AVAILABLE_NOW, run_seconds=None) -> DataFrame:
     """F5 + F6 + A3 + K2: who retweets ``account``, running counts."""
 
     def per_batch(batch: DataFrame) -> DataFrame:
         rts = filters.retweets_of(batch, account)
         return counts.count_by(rts, F.col("user.screen_name"), "top_user", "retweeted")
 
-    return increments(
-        spark, source, "retweeter_counts", per_batch, "top_user", "retweeted", out, trigger, run_seconds, files_per_trigger
-    )
+    table = increments(spark, source, "retweeter_counts", per_batch, "top_user", "retweeted", out, trigger, run_seconds)
+    return table.totals("top_user", "retweeted")
 
 
-def status_ids(
-    spark: SparkSession,
-    source: Source,
-    lang: str = DEFAULT_LANG,
-    out: str | None = None,
-    trigger: dict = AVAILABLE_NOW,
-    run_seconds: float | None = None,
-    files_per_trigger: int | None = 8,
-) -> DataFrame:
-    """F1 + P1 through the parquet sink; ids are the table keys."""
-    out = out or fresh_path(spark, "out-status-ids")
-    build = lambda stream: _parquet(out)(shape.status_ids(filters.by_lang(stream, lang)))
-    _drive(spark, "status_ids", source, build, trigger, run_seconds, files_per_trigger, _ckpt(out))
-    return spark.read.parquet(out).distinct()
+def hashtag_log(spark, source: Source, interval: str, out=None, trigger=AVAILABLE_NOW, run_seconds=None) -> RowLog:
+    """A1 + K2: increments per event-time interval and tag; both hashtag tables are sums of them."""
+
+    def per_batch(batch: DataFrame) -> DataFrame:
+        tags = shape.hashtags(filters.us_english(batch), keep=("created_at",))
+        return counts.count_by_interval(tags, "tag", "tags", interval, "freq")
 
+    key = ("window_start", "window_end", "tags")
+    return increments(spark, source, "hashtag_counts", per_batch, key, "freq", out, trigger, run_seconds)
 
-def geo_points(
+
+def hashtag_counts(spark, source: Source, interval="1 hour", out=None, trigger=AVAILABLE_NOW, run_seconds=None) -> DataFrame:
+    """Every status counts, however late it comes."""
+    return hashtag_log(spark, source, interval, out, trigger, run_seconds).totals("tags", "freq")
+
+
+def hashtag_counts_by_interval(
     spark: SparkSession,
     source: Source,
+    interval: str,
+    lateness: str = "10 minutes",
     out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
-    files_per_trigger: int | None = 8,
 ) -> DataFrame:
-    """F4 + P3 through the native parquet sink."""
-    out = out or fresh_path(spark, "out-geo-points")
-    build = lambda stream: _parquet(out)(shape.geo_points(filters.with_geo(stream)))
-    _drive(spark, "geo_points", source, build, trigger, run_seconds, files_per_trigger, _ckpt(out))
-    return spark.read.parquet(out)
+    """W3 + A1: tag counts per event-time interval, stateful with a watermark.
 
+    Update mode emits each changed (interval, tag) count; the latest per key is
+    the current count.  Intervals close ``lateness`` after their end, so the
+    state store stays bounded on an endless stream; rows that come later still
+    are dropped and reported.  ``hashtag_log`` drops none.
+    """
+    # Partitioned by day inside each batch: a reader bounded in time prunes.
+    table = RowLog(spark, out or fresh_path(spark, "log-hashtag-interval"), partition_by=("day",))
 
-def sentiment_tracks(
+    def write(df: DataFrame, bid: int) -> None:
+        # Back to wall clocks inside the query's own session, which is in UTC.
+        wall = df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+        table.write_batch(wall.withColumn("day", F.to_date("window_start")), bid)
+
+    def build(stream: DataFrame) -> DataStreamWriter:
+        us = filters.us_english(with_event_time(stream, lateness))
+        tags = shape.hashtags(us, keep=("created_at",))
+        return _batches(write, "update")(counts.count_by_interval(tags, "tag", "tags", interval, "freq"))
+
+    # The wall clocks of the records are UTC, whatever the session's zone.
+    conf = {"spark.sql.session.timeZone": "UTC"}
+    progress = _drive(spark, "hashtag_iv", source, build, trigger, run_seconds, table.path, [table], conf)
+    dropped = sum(s.get("numRowsDroppedByWatermark", 0) for p in progress for s in p["stateOperators"])
+    if dropped:
+        log.warning("%d counts came over %s late and were dropped", dropped, lateness)
+    return table.current(["window_start", "window_end", "tags"]).drop("day")
+
+
+# ---- keyed tables (K1) ----------------------------------------------------------------
+
+def _upserts(
     spark: SparkSession,
     source: Source,
-    lexicon: DataFrame,
-    tracks: dict[str, Iterable[str]],
-    lang: str = DEFAULT_LANG,
-    out: str | None = None,
-    trigger: dict = AVAILABLE_NOW,
-    run_seconds: float | None = None,
-    files_per_trigger: int | None = 8,
+    name: str,
+    tables: dict[str, Callable[[DataFrame], DataFrame]],
+    lang: str | None,
+    out: str | None,
+    trigger: dict,
+    run_seconds: float | None,
+    orders: dict[str, Sequence[str]] = {},  # noqa: B006  never changed
 ) -> dict[str, DataFrame]:
-    """F7/F8 + J1 + A4: several keyword tracks scored from one read of each batch.
+    """K1: each table's rows, appended with their order; the latest row of each id on read.
 
-    A status's words all sit in its own batch, so the batch sentiment plan is
-    exact per batch and needs no streaming state.  The English statuses of a
-    batch are persisted once and scored for every track (a status may be on
-    several tracks).
+    The latest is that of the latest batch, then by arrival, unless ``orders``
+    says otherwise.  Rows that several tables share are read and filtered once
+    a batch.
     """
-    root = out or fresh_path(spark, "log-sentiment")
-    logs = {name: RowLog(spark, f"{root}/{name}") for name in tracks}
-    keywords = {name: tuple(words) for name, words in tracks.items()}
+    key = "id"
+    root = out or fresh_path(spark, f"log-{name}")
+    logs = {t: RowLog(spark, f"{root}/{t}") for t in tables}
 
     def handle(batch: DataFrame, bid: int) -> None:
-        en = filters.by_lang(batch, lang).select("id", "text")
-        # Several tracks read the batch several times: keep it once.  One
-        # track reads it once (both sentiment branches share one exchange).
-        shared = len(keywords) > 1
+        rows = arrival(batch if lang is None else filters.by_lang(batch, lang))
+        shared = len(tables) > 1
         if shared:
-            en = en.persist()
+            rows = rows.persist()
         try:
-            for name, kws in keywords.items():
-                logs[name].write_batch(sentiment.sentiment(filters.on_track(en, kws), lexicon), bid)
+            for t, make in tables.items():
+                logs[t].write_batch(make(rows), bid)
         finally:
             if shared:
-                en.unpersist()
+                rows.unpersist()
 
-    _drive(spark, "sentiment", source, _batches(handle), trigger, run_seconds, files_per_trigger, _ckpt(root))
-    return {name: log.read().drop(keyed.BATCH_COL) for name, log in logs.items()}
+    _drive(spark, name, source, _batches(handle), trigger, run_seconds, root, logs.values())
+    for t, table in logs.items():
+        if table.folders() > COMPACT_AFTER:
+            table.compact(key, orders.get(t, (keyed.BATCH_COL, *ORDER)))
+    return {t: latest(table, orders.get(t, (keyed.BATCH_COL, *ORDER))) for t, table in logs.items()}
 
 
-def sentiment_scores(
+def latest(table: RowLog, order: Sequence[str]) -> DataFrame:
+    return keyed.latest_by_key(table.read(), "id", order).drop(*order, keyed.BATCH_COL)
+
+
+def _ordered() -> tuple:
+    return tuple(F.col(c) for c in ORDER)
+
+
+def status_ids(spark, source: Source, lang=DEFAULT_LANG, out=None, trigger=AVAILABLE_NOW, run_seconds=None) -> DataFrame:
+    """F1 + P1: ids are the table's keys."""
+    make = lambda rows: rows.select("id", *ORDER)
+    return _upserts(spark, source, "status_ids", {"tweet": make}, lang, out, trigger, run_seconds)["tweet"]
+
+
+def geo_points(spark, source: Source, out=None, trigger=AVAILABLE_NOW, run_seconds=None) -> DataFrame:
+    """F4 + P3, one point a status id."""
+
+    def make(rows: DataFrame) -> DataFrame:
+        return shape.geo_points(filters.with_geo(rows), carry=_ordered())
+
+    return _upserts(spark, source, "geo_points", {"location": make}, None, out, trigger, run_seconds)["location"]
+
+
+def sentiment_tracks(
     spark: SparkSession,
     source: Source,
     lexicon: DataFrame,
-    keywords: Iterable[str],
+    tracks: dict[str, Iterable[str]],
     lang: str = DEFAULT_LANG,
     out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
-    files_per_trigger: int | None = 8,
+) -> dict[str, DataFrame]:
+    """F7/F8 + J1 + A4: several keyword tracks scored from one read of each batch.
+
+    A status is scored by its own row; a status may be on several tracks.
+    """
+
+    def track(words: tuple[str, ...]) -> Callable[[DataFrame], DataFrame]:
+        return lambda rows: sentiment.sentiment(filters.on_track(rows, words), lexicon, carry=ORDER)
+
+    tables = {name: track(tuple(words)) for name, words in tracks.items()}
+    return _upserts(spark, source, "sentiment", tables, lang, out, trigger, run_seconds)
+
+
+def sentiment_scores(
+    spark, source: Source, lexicon: DataFrame, keywords: Iterable[str], lang=DEFAULT_LANG, out=None, trigger=AVAILABLE_NOW, run_seconds=None
 ) -> DataFrame:
     """One keyword track (see ``sentiment_tracks``)."""
-    tables = sentiment_tracks(
-        spark, source, lexicon, {"track": keywords}, lang, out, trigger, run_seconds, files_per_trigger
-    )
-    return tables["track"]
+    return sentiment_tracks(spark, source, lexicon, {"track": keywords}, lang, out, trigger, run_seconds)["track"]
 
 
-def _user_log_rows(statuses: DataFrame) -> DataFrame:
-    return shape.user_rows(
-        statuses, carry=(F.col("created_at").alias("_ts"), F.col("id").alias("_sid"))
-    )
+#: A user's or place's row comes from its latest status: by event time, status id, then arrival.
+STATUS_ORDER = ("_ts", "_sid", keyed.BATCH_COL, *ORDER)
 
 
-def upsert_users(
-    spark: SparkSession,
-    source: Source,
-    lang: str = DEFAULT_LANG,
-    out: str | None = None,
-    trigger: dict = AVAILABLE_NOW,
-    run_seconds: float | None = None,
-    files_per_trigger: int | None = 8,
-) -> DataFrame:
-    """W8 + K1: user rows appended to a parquet row log, latest per id on read."""
-    out = out or fresh_path(spark, "log-users")
-    build = lambda stream: _parquet(out)(_user_log_rows(filters.by_lang(stream, lang)))
-    _drive(spark, "upsert_users", source, build, trigger, run_seconds, files_per_trigger, _ckpt(out))
-    return keyed.latest_by_key(spark.read.parquet(out), "id", ["_ts", "_sid"]).drop("_ts", "_sid")
+def _by_status() -> tuple:
+    return (F.col("created_at").alias("_ts"), F.col("id").alias("_sid"), *_ordered())
 
 
-def fanout(
-    spark: SparkSession,
-    source: Source,
-    lang: str = DEFAULT_LANG,
-    out: str | None = None,
-    trigger: dict = AVAILABLE_NOW,
-    run_seconds: float | None = None,
-    files_per_trigger: int | None = 8,
-) -> dict[str, DataFrame]:
-    """K5: place, user and status rows from one read of each batch.
+def fanout(spark, source: Source, lang=DEFAULT_LANG, out=None, trigger=AVAILABLE_NOW, run_seconds=None) -> dict[str, DataFrame]:
+    """K5: place, user and status tables from one read of each batch (the reference reads twice per output, D9).
 
-    The batch is persisted once and written to three row logs (the reference
-    re-evaluates its source once per output, D9).  Returns the current
-    (merge-on-read) tables.
+    Stored status and user rows keep typed dates and arrays; ``shape.as_text``
+    gives their text form.
     """
-    root = out or fresh_path(spark, "log-hifi")
-    logs = {n: RowLog(spark, f"{root}/{n}_hifi") for n in ("place", "user", "status")}
-    order = (F.col("created_at").alias("_ts"), F.col("id").alias("_sid"))
+    tables = {
+        "place_hifi": lambda rows: shape.place_rows(rows, carry=_by_status()),
+        "user_hifi": lambda rows: shape.user_rows(rows, text_form=False, carry=_by_status()),
+        "status_hifi": lambda rows: shape.status_rows(rows, text_form=False, carry=_ordered()),
+    }
+    orders = {"place_hifi": STATUS_ORDER, "user_hifi": STATUS_ORDER}
+    return _upserts(spark, source, "fanout", tables, lang, out, trigger, run_seconds, orders)
 
-    def handle(batch: DataFrame, bid: int) -> None:
-        en = filters.by_lang(batch, lang).persist()
-        try:
-            logs["place"].write_batch(shape.place_rows(en, carry=order), bid)
-            logs["user"].write_batch(shape.user_rows(en, carry=order), bid)
-            logs["status"].write_batch(shape.status_rows(en), bid)
-        finally:
-            en.unpersist()
 
-    _drive(spark, "fanout", source, _batches(handle), trigger, run_seconds, files_per_trigger, _ckpt(root))
-    return {
-        "place_hifi": logs["place"].current("id", ["_ts", "_sid"]).drop("_ts", "_sid"),
-        "user_hifi": logs["user"].current("id", ["_ts", "_sid"]).drop("_ts", "_sid"),
-        "status_hifi": logs["status"].current("id"),
-    }
+def upsert_users(spark, source: Source, lang=DEFAULT_LANG, out=None, trigger=AVAILABLE_NOW, run_seconds=None) -> DataFrame:
+    """W8 + K1: user rows, latest status per user on read."""
+    make = lambda rows: shape.user_rows(rows, text_form=False, carry=_by_status())
+    orders = {"user_hifi": STATUS_ORDER}
+    return _upserts(spark, source, "upsert_users", {"user_hifi": make}, lang, out, trigger, run_seconds, orders)["user_hifi"]

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pulse.schema import STATUS
 from pulse.session import app_id, fresh_path
@@ -39,16 +39,17 @@ def stage_replay(spark: SparkSession, sf_dir: str, slices: int = DEFAULT_SLICES)
     tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:8]
     target = fresh_path(spark, f"replay-{tag}")
 
-    statuses = status_records(spark, sf_dir)
-    # Slice index from the event-time range; the bounds are scalar subqueries
-    # over the events' time column only.
+    _sliced(status_records(spark, sf_dir), slices).write.partitionBy(SLICE_COL).parquet(target)
+    _staged[key] = target
+    return target
+
+
+def _sliced(statuses: DataFrame, slices: int) -> DataFrame:
+    """Adds the slice index of the event-time range, whose bounds are scalar subqueries over the statuses."""
     t = F.unix_micros(F.col("created_at").cast("timestamp"))
     times = statuses.select(t.alias("t"))
     lo, hi = times.select(F.min("t")).scalar(), times.select(F.max("t")).scalar()
-    idx = F.least(F.floor((t - lo) * slices / (hi - lo + 1)), F.lit(slices - 1)).cast("int")
-    statuses.withColumn(SLICE_COL, idx).write.partitionBy(SLICE_COL).parquet(target)
-    _staged[key] = target
-    return target
+    return statuses.withColumn(SLICE_COL, F.least(F.floor((t - lo) * slices / (hi - lo + 1)), F.lit(slices - 1)).cast("int"))
 
 
 def all_slices(base: str) -> str:
@@ -62,6 +63,12 @@ def slices_upto(base: str, last: int) -> str:
     return f"{base}/{SLICE_COL}={{{ids}}}/*.parquet"
 
 
+def reversed_runs(base: str, slices: int = DEFAULT_SLICES) -> list[str]:
+    """One source glob per run, each adding the next older slice: the latest statuses come first."""
+    ids = [str(i) for i in range(slices)]
+    return [f"{base}/{SLICE_COL}={{{','.join(ids[-n:])}}}/*.parquet" for n in range(1, slices + 1)]
+
+
 def slice_runs(base: str, slices: int = DEFAULT_SLICES) -> list[str]:
     """One source glob per run, each adding the next slice.
 
@@ -73,22 +80,78 @@ def slice_runs(base: str, slices: int = DEFAULT_SLICES) -> list[str]:
     return [slices_upto(base, i) for i in range(slices)]
 
 
+#: Where a row came from: rows of a batch sort by it in order of arrival.
+ARRIVAL = ("_file_time", "_file", "_block")
+
+
 def status_stream(
-    spark: SparkSession, path: str, files_per_trigger: int | None = 8, fmt: str = "parquet"
+    spark: SparkSession, path: str, files_per_trigger: int | None = None, fmt: str = "parquet", mode: str = "FAILFAST"
 ) -> DataFrame:
     """SRC1: a streaming DataFrame of status records from a folder of files.
 
     ``fmt`` is ``parquet`` (columnar, pushdown) or ``json`` (one status per
     line, as feeds deliver them); the declared schema means no inference pass.
+    A line that is no status fails the stream; ``mode="PERMISSIVE"`` reads it
+    as a status without values (see ``bad_lines``).
     ``files_per_trigger=None`` takes every new file in one micro-batch.
     """
     reader = spark.readStream.schema(STATUS)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.format(fmt).load(path)
+    if fmt == "json":
+        reader = reader.option("mode", mode)
+    rows = reader.format(fmt).load(path)
+    return rows.select(
+        "*",
+        F.col("_metadata.file_modification_time").alias("_file_time"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+    )
+
+
+def arrival(batch: DataFrame) -> DataFrame:
+    """A micro-batch with ``_line``: its rows' order inside a block."""
+    return batch.withColumn("_line", F.monotonically_increasing_id())
+
+
+def bad_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line): the lines of JSON status files that are no status record."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    schema = T.StructType([*STATUS.fields, T.StructField("_bad", T.StringType())])
+    parsed = F.from_json("line", schema, {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
+    return lines.where(F.trim("line") != "").where(parsed["_bad"].isNotNull())
 
 
 def with_event_time(statuses: DataFrame, delay: str | None = None) -> DataFrame:
     """``created_at`` as TIMESTAMP (watermarks reject TIMESTAMP_NTZ), plus a watermark."""
     out = statuses.withColumn("created_at", F.col("created_at").cast("timestamp"))
     return out.withWatermark("created_at", delay) if delay else out
+
+
+def stage_deliveries(spark: SparkSession, sf_dir: str, slices: int = DEFAULT_SLICES) -> str:
+    """As ``stage_replay``, with every third status delivered twice.
+
+    The second delivery has its favourite and retweet counters bumped.  It
+    comes after the first in the same slice (even ids) or in the next one (odd
+    ids), so both repeats inside a batch and across batches occur.
+    """
+    key = (app_id(spark), sf_dir, -slices)
+    if key in _staged:
+        return _staged[key]
+    target = fresh_path(spark, f"deliveries-{hashlib.sha1(sf_dir.encode()).hexdigest()[:8]}")
+    rows = _sliced(status_records(spark, sf_dir), slices)
+    sends = F.when(F.col("id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    again = rows.withColumn("_again", F.explode(sends))
+    later = F.when(F.col("id") % 2 == 1, F.col("_again")).otherwise(0)
+    (
+        again.withColumn(SLICE_COL, F.least(F.col(SLICE_COL) + later, F.lit(slices - 1)))
+        .withColumns({c: F.col(c) + F.col("_again") for c in ("favorite_count", "retweet_count")})
+        # One file a slice and task, deliveries of an id in order inside it.
+        .repartition("id")
+        .sortWithinPartitions(SLICE_COL, "id", "_again")
+        .drop("_again")
+        .write.partitionBy(SLICE_COL)
+        .parquet(target)
+    )
+    _staged[key] = target
+    return target

@@ -1,35 +1,58 @@
 """Registered ``stream_*`` queries: replay the tables as files, run the stream.
 
-Each replays the derived statuses with ``availableNow`` and returns the
-output it wrote, so it shares the oracle of its batch counterpart.
+Each replays the derived statuses with ``availableNow`` in several micro-batches
+and returns the output it wrote, so it shares the oracle of its batch
+counterpart.  Keyed tables replay a feed that delivers every third status twice.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from pulse.operators import shape
+from pulse.operators.keyed import RowLog
 from pulse.plans import batch
+from pulse.session import fresh_path
 from pulse.streaming import jobs
-from pulse.streaming.replay import all_slices, slice_runs, stage_replay
+from pulse.streaming.replay import reversed_runs, slice_runs, stage_deliveries, stage_replay
 
 
-def _stream(spark: SparkSession, sf_dir: str) -> str:
-    """Every replay file in one run (for order-insensitive outputs)."""
-    return all_slices(stage_replay(spark, sf_dir))
+def _stream(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Every replay file, a slice a micro-batch."""
+    return slice_runs(stage_replay(spark, sf_dir))
+
+
+def _redelivered(spark: SparkSession, sf_dir: str) -> list[str]:
+    return slice_runs(stage_deliveries(spark, sf_dir))
 
 
 def stream_hashtag_counts_by_interval(spark, sf_dir):
     """Watermarked: one run (one micro-batch) per event-time slice, on one checkpoint."""
-    runs = slice_runs(stage_replay(spark, sf_dir))
-    return jobs.hashtag_counts_by_interval(spark, runs, batch.TEST_INTERVAL, files_per_trigger=None)
+    return jobs.hashtag_counts_by_interval(spark, _stream(spark, sf_dir), batch.TEST_INTERVAL)
+
+
+def stream_hashtag_counts(spark, sf_dir):
+    """Counters take every status: the replay runs backwards in time."""
+    return jobs.hashtag_counts(spark, reversed_runs(stage_replay(spark, sf_dir)), batch.TEST_INTERVAL)
 
 
 def stream_user_counts(spark, sf_dir):
     return jobs.user_counts(spark, _stream(spark, sf_dir))
 
 
+def compacted_user_counts(spark, sf_dir):
+    """A counter log of which all but the last batch was compacted."""
+    return _with_late_batch(spark, sf_dir, lambda log: log.compact_counter("user", "count"))
+
+
+def _with_late_batch(spark, sf_dir, compact) -> DataFrame:
+    runs, out = _stream(spark, sf_dir), fresh_path(spark, "log-compacted")
+    log = jobs.user_log(spark, runs[:-1], out=out)
+    compact(log)
+    return jobs.user_log(spark, runs[-1:], out=out).totals("user", "count")
+
+
 def stream_distinct_user_total(spark, sf_dir):
-    """Approximate (HLL sketches): no oracle, the driver checks rows only."""
     return jobs.distinct_user_total(spark, _stream(spark, sf_dir))
 
 
@@ -38,58 +61,61 @@ def stream_retweeter_counts(spark, sf_dir):
 
 
 def stream_status_ids(spark, sf_dir):
-    return jobs.status_ids(spark, _stream(spark, sf_dir))
+    return jobs.status_ids(spark, _redelivered(spark, sf_dir))
 
 
 def stream_geo_points(spark, sf_dir):
-    return jobs.geo_points(spark, _stream(spark, sf_dir))
+    return jobs.geo_points(spark, _redelivered(spark, sf_dir))
 
 
 def stream_sentiment(spark, sf_dir):
-    return jobs.sentiment_scores(spark, _stream(spark, sf_dir), batch.lexicon(spark), batch.TEST_TRACK_A)
+    return jobs.sentiment_scores(spark, _redelivered(spark, sf_dir), batch.lexicon(spark), batch.TEST_TRACK_A)
 
 
 def stream_upsert_users(spark, sf_dir):
-    return jobs.upsert_users(spark, _stream(spark, sf_dir))
+    return shape.as_text(jobs.upsert_users(spark, _redelivered(spark, sf_dir)))
+
+
+def compacted_users(spark, sf_dir):
+    """A user log of which all but the last batch was compacted."""
+    runs, out = _redelivered(spark, sf_dir), fresh_path(spark, "log-compacted")
+    jobs.upsert_users(spark, runs[:-1], out=out)
+    RowLog(spark, f"{out}/user_hifi").compact("id", jobs.STATUS_ORDER)
+    return shape.as_text(jobs.upsert_users(spark, runs[-1:], out=out))
+
+
+def stream_upsert_statuses(spark, sf_dir):
+    """K1 on statuses: the second delivery of a status wins, in the same batch or a later one."""
+    return shape.as_text(jobs.fanout(spark, _redelivered(spark, sf_dir))["status_hifi"])
+
+
+def stream_upsert_places(spark, sf_dir):
+    return jobs.fanout(spark, _redelivered(spark, sf_dir))["place_hifi"]
 
 
 def stream_fanout(spark, sf_dir):
-    """K5: three tables from one stream, then J2 over them in SQL."""
-    tables = jobs.fanout(spark, _stream(spark, sf_dir))
-    for name, df in tables.items():
-        df.createOrReplaceTempView(f"stream_{name}")
-    return spark.sql(
-        """
-        SELECT s.id, s.user_id, u.screen_name, u.followers_count,
-               s.place_id, p.full_name AS place_full_name
-        FROM stream_status_hifi s
-        LEFT JOIN stream_user_hifi u ON s.user_id = u.id
-        LEFT JOIN stream_place_hifi p ON s.place_id = p.id
-        """
-    )
-
-
-STREAM_QUERIES = {
-    "stream_hashtag_counts_by_interval": stream_hashtag_counts_by_interval,
-    "stream_user_counts": stream_user_counts,
-    "stream_retweeter_counts": stream_retweeter_counts,
-    "stream_status_ids": stream_status_ids,
-    "stream_distinct_user_total": stream_distinct_user_total,
-    "stream_geo_points": stream_geo_points,
-    "stream_sentiment": stream_sentiment,
-    "stream_upsert_users": stream_upsert_users,
-    "stream_fanout": stream_fanout,
-}
+    """K5: three tables from one stream, then J2 over them."""
+    from pulse.plans.views import join_status_user_place
+
+    t = jobs.fanout(spark, _redelivered(spark, sf_dir))
+    return join_status_user_place(t["status_hifi"], t["user_hifi"], t["place_hifi"])
+
 
-# Each exact stream key is checked against the oracle of its batch counterpart;
-# ``stream_distinct_user_total`` is approximate and has none.
+#: Each stream query with the batch query whose oracle it shares.
 STREAM_ORACLE = {
     "stream_hashtag_counts_by_interval": "hashtag_counts_by_interval",
+    "stream_hashtag_counts": "hashtag_counts",
     "stream_user_counts": "user_counts",
+    "compacted_user_counts": "user_counts",
+    "stream_distinct_user_total": "distinct_user_total",
     "stream_retweeter_counts": "retweeter_counts",
     "stream_status_ids": "status_ids",
     "stream_geo_points": "geo_points",
     "stream_sentiment": "sentiment_a",
     "stream_upsert_users": "upsert_users",
+    "compacted_users": "upsert_users",
+    "stream_upsert_statuses": "upsert_redelivered",
+    "stream_upsert_places": "upsert_places",
     "stream_fanout": "status_user_place",
 }
+STREAM_QUERIES = {name: globals()[name] for name in STREAM_ORACLE}

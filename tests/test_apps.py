@@ -2,6 +2,7 @@
 
 import pytest
 
+from pulse.operators import shape
 from pulse.plans import batch
 from pulse.session import fresh_path
 from pulse.settings import JobSettings
@@ -40,7 +41,7 @@ def test_distinct_users(spark, sf_small, replay, settings):
 
 
 def test_top_trending(spark, sf_small, replay, settings):
-    out = apps.trending_hashtags(spark, slice_runs(replay), settings, available_now=True)
+    out = apps.trending_hashtags(spark, slice_runs(replay)[::-1], settings, available_now=True)
     assert rows(out["hashtag_by_interval"]) == rows(batch.hashtag_counts_by_interval(spark, sf_small))
     assert rows(out["hashtag"]) == rows(batch.hashtag_counts(spark, sf_small))
 
@@ -56,15 +57,18 @@ def test_tweet_location(spark, sf_small, replay, settings):
 
 
 def test_sentiment(spark, sf_small, replay, settings):
-    out = apps.keyword_sentiment(spark, all_slices(replay), settings, available_now=True)
+    with pytest.raises(ValueError, match="lexicon"):
+        apps.keyword_sentiment(spark, all_slices(replay), settings, available_now=True)
+    out = apps.keyword_sentiment(spark, all_slices(replay), settings, available_now=True, lexicon=batch.lexicon(spark))
     assert rows(out["russia_sentiment"]) == rows(batch.sentiment_a(spark, sf_small))
     assert rows(out["trump_sentiment"]) == rows(batch.sentiment_b(spark, sf_small))
 
 
 def test_hifi_tables(spark, sf_small, replay, settings):
     out = apps.wide_tables(spark, all_slices(replay), settings, available_now=True)
-    assert rows(out["status_hifi"]) == rows(batch.status_rows(spark, sf_small))
-    assert rows(out["user_hifi"]) == rows(batch.upsert_users(spark, sf_small))
+    assert dict(out["status_hifi"].dtypes)["entities"] == "array<string>"
+    assert rows(shape.as_text(out["status_hifi"])) == rows(batch.status_rows(spark, sf_small))
+    assert rows(shape.as_text(out["user_hifi"])) == rows(batch.upsert_users(spark, sf_small))
     assert rows(out["place_hifi"]) == rows(batch.upsert_places(spark, sf_small))
 
 
@@ -88,12 +92,12 @@ def test_live_trigger_runs_for_the_configured_time(spark, sf_small, replay):
 
 
 def test_written_table_registered_for_sql(spark, replay):
-    """SRC3: a table written by an app is registered with CREATE ... USING parquet."""
-    from pulse.plans.views import register_parquet_table
+    """SRC3: a table written by an app is registered by its current rows."""
+    from pulse.plans.views import register_log
 
     live = JobSettings(out_path=fresh_path(spark, "t-sql"))
     apps.geo_points(spark, all_slices(replay), live, available_now=True)
-    register_parquet_table(spark, "demo_location", f"{live.out_path}/location")
+    register_log(spark, "demo_location", f"{live.out_path}/geo/location", ["id"])
     n = spark.sql("SELECT count(*) AS n FROM demo_location WHERE latitude IS NOT NULL").first()["n"]
     assert n == 250
 

@@ -21,11 +21,47 @@ def test_upsert_later_batch_wins_and_compaction_keeps_it(spark):
     log.write_batch(spark.createDataFrame([(1, "new")], "id long, v string"), 1)
     got = {r["id"]: r["v"] for r in log.current("id").collect()}
     assert got == {1: "new", 2: "x"}
-    compacted = log.compact("id", new_path=fresh_path(spark, "t-upsert-c"))
-    assert compacted.read().count() == 2
-    compacted.write_batch(spark.createDataFrame([(2, "y")], "id long, v string"), 2)
-    got = {r["id"]: r["v"] for r in compacted.current("id").collect()}
-    assert got == {1: "new", 2: "y"}
+    log.compact("id")
+    assert log.read().count() == 2 and log.folders() == 1
+    log.write_batch(spark.createDataFrame([(2, "y")], "id long, v string"), 2)
+    got = {r["id"]: r["v"] for r in log.current("id").collect()}
+    assert got == {1: "new", 2: "y"} and log.folders() == 2
+
+
+def test_counter_compaction_keeps_sums(spark):
+    log = keyed.RowLog(spark, fresh_path(spark, "t-counter-c"))
+    for b, n in enumerate((3, 4, 5)):
+        log.write_batch(spark.createDataFrame([("a", n), ("b", 1)], "k string, n long"), b)
+    totals = lambda: {r["k"]: r["n"] for r in log.totals("k", "n").collect()}
+    log.compact_counter("k", "n")
+    assert totals() == {"a": 12, "b": 3} and log.folders() == 1
+    log.compact_counter("k", "n")  # nothing new: nothing to do
+    log.append(spark.createDataFrame([("a", 2)], "k string, n long"))  # K6
+    assert totals() == {"a": 14, "b": 3}
+    log.compact_counter("k", "n")
+    assert totals() == {"a": 14, "b": 3} and log.folders() == 1
+
+
+def test_a_failed_write_leaves_no_batch(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    log = keyed.RowLog(spark, fresh_path(spark, "t-failed"))
+    good = spark.createDataFrame([("a", 1)], "k string, n long")
+    log.write_batch(good, 0)
+    with pytest.raises(Exception, match="boom"):
+        log.write_batch(good.withColumn("n", F.raise_error(F.lit("boom")).cast("long")), 1)
+    assert log.batches() == [0] and log.read().count() == 1
+
+
+def test_logs_as_sql_views(spark):
+    from pulse.plans.views import register_log
+
+    log = keyed.RowLog(spark, fresh_path(spark, "t-view"))
+    log.write_batch(spark.createDataFrame([(1, "old", 1), (2, "x", 1)], "id long, v string, _ts int"), 0)
+    log.write_batch(spark.createDataFrame([(1, "new", 2)], "id long, v string, _ts int"), 1)
+    register_log(spark, "t_view", log.path, ["id"])
+    assert [tuple(r) for r in spark.sql("SELECT * FROM t_view ORDER BY id").collect()] == [(1, "new"), (2, "x")]
 
 
 def test_counter_bump(spark):
@@ -34,11 +70,24 @@ def test_counter_bump(spark):
     assert {r["tags"]: r["freq"] for r in bumped.collect()} == {"ncaa": 5, "x": 1}
 
 
-def test_lexicon_file_first_entry_wins_and_bad_lines_drop(spark, tmp_path):
+def test_lexicon_file_first_entry_wins_and_bad_lines_fail(spark, tmp_path):
+    import pytest
+
     p = tmp_path / "lexicon.tsv"
-    p.write_text("good\t3\nbad\t-2\ngood\t-1\nbroken line\nodd\tnotanumber\n")
-    lex = {r["word"]: r["score"] for r in first_wins(read_lexicon(spark, str(p))).collect()}
+    p.write_text("good\t3\nbad\t-2\ngood\t-1\nodd\tnotanumber\n")
+    lex = {r["word"]: r["score"] for r in first_wins(read_lexicon(spark, str(p), mode="DROPMALFORMED")).collect()}
     assert lex == {"good": 3, "bad": -2}
+    with pytest.raises(Exception, match="(?i)malformed"):
+        first_wins(read_lexicon(spark, str(p))).collect()
+
+
+def test_first_entry_wins_over_files_in_name_order(spark, tmp_path):
+    d = tmp_path / "lex"
+    d.mkdir()
+    (d / "a.tsv").write_text("word\t3\n")
+    (d / "b.tsv").write_text("word\t-1\n" + "".join(f"w{i}\t1\n" for i in range(5000)))  # larger: read first
+    lex = {r["word"]: r["score"] for r in first_wins(read_lexicon(spark, str(d))).collect()}
+    assert lex["word"] == 3 and len(lex) == 5001
 
 
 def test_day_partitioned_log_prunes_on_read(spark):
@@ -59,8 +108,8 @@ def test_day_partitioned_log_prunes_on_read(spark):
     assert "PartitionFilters: [isnotnull(day" in buf.getvalue()
     assert [r["k"] for r in one_day.collect()] == ["b"]
 
-    compacted = log.compact("k", new_path=fresh_path(spark, "t-day-c"))
-    pruned = compacted.read().where(F.col("day") == F.lit("2024-01-02").cast("date"))
+    log.compact("k")
+    pruned = log.read().where(F.col("day") == F.lit("2024-01-02").cast("date"))
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         pruned.explain("formatted")

@@ -74,13 +74,46 @@ def test_sentiment_edges(edges, lex):
     assert got["15"] == 6  # first "that" (+2) wins, three times
 
 
-def test_word_hits_positions(edges, lex):
-    rows = sentiment.word_hits(edges.where("id = 14"), lex).collect()
+def test_word_scores_positions(edges, lex):
+    rows = sentiment.word_scores(edges.where("id = 14"), lex).collect()
     assert sorted((r["pos"], r["word"], r["score"]) for r in rows) == [
         (0, "eriner", 4),
         (1, "rely", -4),
         (2, "that", 2),
     ]
+    rows = sentiment.word_scores(edges.where("id = 13"), lex).collect()
+    assert {r["word"]: r["score"] for r in rows}["that!"] == 0  # listed, with 0
+
+
+@pytest.mark.parametrize("words", [0, 20_000])
+def test_rating_of_repeated_ids_with_and_without_a_join(spark, edges, lex, monkeypatch, words):
+    monkeypatch.setattr(sentiment, "LITERAL_MAX_WORDS", words)
+    rows = edges.where("id in (13, 14, 15)")
+    twice = rows.union(rows).union(rows.where("id = 14").withColumn("text", F.lit("eriner")))
+    got = sorted((r["id"], r["rating"]) for r in sentiment.sentiment(twice, lex).collect())
+    assert got == [("13", 3), ("13", 3), ("14", 2), ("14", 2), ("14", 4), ("15", 6), ("15", 6)]
+
+
+def test_rank_keeps_null_values_and_reads_its_input_once(spark):
+    from pulse.operators import counts
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(it):
+        for x in it:
+            seen.add(1)
+            yield x
+
+    df = spark.createDataFrame(spark.sparkContext.parallelize([("a", 3), ("b", None), ("c", 5), ("d", 3), ("e", None)]).mapPartitions(count), "k string, v long")
+    got = {r["k"]: r["rank"] for r in counts.rank_desc(df, "v").collect()}
+    assert got == {"c": 1, "a": 2, "d": 2, "b": 4, "e": 4} and seen.value == 5
+
+
+def test_size_check_counts_bytes_anew(spark):
+    from pulse.functions.sizing import fits
+
+    small, large = (spark.createDataFrame([("x" * n,)], "w string") for n in (10, 5000))
+    assert fits(small, 1000) and not fits(large, 1000) and fits(spark.range(60), 2000) and not fits(spark.range(1000), 2000)
 
 
 def test_place_rows_fall_back_to_status_id(edges):

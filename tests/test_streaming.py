@@ -75,31 +75,97 @@ def test_json_status_files_stream_like_parquet(spark, sf_small):
     assert original.exceptAll(from_json).count() == 0 and from_json.exceptAll(original).count() == 0
 
 
-def test_watermarked_replay_with_many_files_per_slice(spark, sf_small):
-    """Each slice in one micro-batch: many small files per slice lose no row."""
+def rows(df):
+    cols = sorted(df.columns)
+    return sorted(map(tuple, df.select(*cols).collect()), key=repr)
+
+
+def test_every_stream_query_runs_several_batches(spark, sf_small):
+    from pulse.streaming import jobs, replay_queries
+
+    jobs.BATCH_SECONDS.clear()
+    for name in ("stream_user_counts", "stream_hashtag_counts", "stream_fanout"):
+        replay_queries.STREAM_QUERIES[name](spark, sf_small).count()
+    assert {n: len(s) >= 4 for n, s in jobs.BATCH_SECONDS.items()} == {"user_counts": True, "hashtag_counts": True, "fanout": True}
+
+
+def test_late_rows_count_in_totals_and_are_reported_by_closed_intervals(spark, sf_small, caplog):
+    from pulse.streaming import jobs
+    from pulse.streaming.replay import reversed_runs
+
+    runs = reversed_runs(stage_replay(spark, sf_small))
+    want = rows(batch.hashtag_counts(spark, sf_small))
+    assert rows(jobs.hashtag_counts(spark, runs, batch.TEST_INTERVAL)) == want
+    by_interval = jobs.hashtag_log(spark, runs, batch.TEST_INTERVAL).totals(["window_start", "window_end", "tags"], "freq")
+    assert rows(by_interval) == rows(batch.hashtag_counts_by_interval(spark, sf_small))
+    with caplog.at_level("WARNING"):
+        closed = jobs.hashtag_counts_by_interval(spark, runs, batch.TEST_INTERVAL, lateness="1 second")
+    assert closed.count() < by_interval.count() and "late and were dropped" in caplog.text
+
+
+def test_windows_do_not_depend_on_the_session_zone(spark, sf_small):
+    from pulse.streaming import jobs
+    from pulse.streaming.replay import slice_runs
+
+    want = rows(batch.hashtag_counts_by_interval(spark, sf_small))
+    runs = slice_runs(stage_replay(spark, sf_small))
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        assert rows(jobs.hashtag_counts_by_interval(spark, runs, batch.TEST_INTERVAL)) == want
+        log = jobs.hashtag_log(spark, runs, batch.TEST_INTERVAL)
+        assert rows(log.totals(["window_start", "window_end", "tags"], "freq")) == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_lost_checkpoint_is_refused(spark, sf_small):
+    import pytest
+
+    from pulse.operators.keyed import RowLog
+    from pulse.streaming import jobs
+    from pulse.streaming.replay import all_slices
+
+    log = RowLog(spark, fresh_path(spark, "t-lost"))
+    log.write_batch(spark.createDataFrame([("a", 1)], "user string, count long"), 0)
+    with pytest.raises(RuntimeError, match="checkpoint is gone"):
+        jobs.user_counts(spark, all_slices(stage_replay(spark, sf_small)), out=log.path)
+
+
+def test_the_last_of_many_versions_in_one_batch_wins(spark, sf_small):
     from pulse.sources.statuses import status_records
     from pulse.streaming import jobs
-    from pulse.streaming.replay import SLICE_COL, slice_runs
 
-    base = fresh_path(spark, "t-many-files")
-    s = status_records(spark, sf_small)
-    t = F.unix_micros(F.col("created_at").cast("timestamp"))
-    lo, hi = s.select(F.min(t)).scalar(), s.select(F.max(t)).scalar()
-    idx = F.least(F.floor((t - lo) * 4 / (hi - lo + 1)), F.lit(3)).cast("int")
-    s.withColumn(SLICE_COL, idx).repartition(16).write.partitionBy(SLICE_COL).parquet(base)
-    got = jobs.hashtag_counts_by_interval(spark, slice_runs(base), batch.TEST_INTERVAL, files_per_trigger=None)
-    want = batch.hashtag_counts_by_interval(spark, sf_small)
-    cols = sorted(want.columns)
-    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+    one = status_records(spark, sf_small).where("lang = 'en'").limit(1)
+    src = fresh_path(spark, "t-versions")
+    versions = one.withColumn("retweet_count", F.explode(F.sequence(F.lit(0), F.lit(7)))).coalesce(1)
+    versions.sortWithinPartitions("retweet_count").write.parquet(src)
+    got = jobs.fanout(spark, src)["status_hifi"].collect()
+    assert [r["retweet_count"] for r in got] == [7]
+
+
+def test_bad_json_lines_fail_or_are_listed(spark, sf_small, tmp_path):
+    import pytest
+
+    from pulse.streaming import jobs
+    from pulse.streaming.replay import bad_lines
+
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.json").write_text('{"id": 1, "lang": "en", "user": {"screen_name": "x"}}\n{"id": 2, "lang": \n\n{"id": 3, "lang": "en", "user": {"screen_name": "x"}}\n')
+    with pytest.raises(Exception):
+        jobs.user_counts(spark, jobs.StatusSource(str(src), "json"))
+    got = jobs.user_counts(spark, jobs.StatusSource(str(src), "json", bad_lines="PERMISSIVE"))
+    assert [tuple(r) for r in got.collect()] == [("x", 2)]
+    assert [r["line"] for r in bad_lines(spark, str(src)).collect()] == ['{"id": 2, "lang": ']
 
 
 def test_stream_jobs_leave_session_settings_untouched(spark, sf_small):
     from pulse.streaming import jobs
     from pulse.streaming.replay import all_slices
 
-    before = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.streaming.noDataMicroBatches.enabled")}
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone")}
     base = stage_replay(spark, sf_small)
     jobs.geo_points(spark, all_slices(base)).count()
-    jobs.hashtag_counts_by_interval(spark, jobs.StatusSource(all_slices(base)), batch.TEST_INTERVAL, files_per_trigger=None).count()
+    jobs.hashtag_counts_by_interval(spark, jobs.StatusSource(all_slices(base), state_partitions=3), batch.TEST_INTERVAL).count()
     after = {k: spark.conf.get(k, None) for k in before}
     assert after == before
