@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pulse.functions.time import created_at_text
 from pulse.schema import USER
@@ -53,6 +53,11 @@ def place_rows(statuses: DataFrame, keep_placeless: bool = True, carry: tuple =
     )
 
 
+def no_bounding_box() -> Column:
+    """The place table's bounding box, which no job fills."""
+    return F.lit(None).cast("struct<coords:array<string>,kind:string>").alias("bounding_box")
+
+
 USER_COLUMNS = tuple(USER.fieldNames())
 
 

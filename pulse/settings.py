@@ -36,7 +36,7 @@ class JobSettings:
     country_code: str = DEFAULT_COUNTRY_CODE
     track_a: tuple[str, ...] = field(default=TRACK_A_KEYWORDS)
     track_b: tuple[str, ...] = field(default=TRACK_B_KEYWORDS)
-    source_format: str = "parquet"  # or "json"
+    source_format: str = "parquet"  # or "json" (records) or "raw" (raw statuses)
     files_per_trigger: int | None = None  # None: all new files in one micro-batch
     state_partitions: int | None = None  # None: the session's shuffle partitions
     bad_lines: str = "FAILFAST"  # or "PERMISSIVE": a JSON line that is no status

@@ -347,7 +347,7 @@ def fanout(spark, source: Source, lang=DEFAULT_LANG, out=None, trigger=AVAILABLE
     gives their text form.
     """
     tables = {
-        "place_hifi": lambda rows: shape.place_rows(rows, carry=_by_status()),
+        "place_hifi": lambda rows: shape.place_rows(rows, carry=(shape.no_bounding_box(), *_by_status())),
         "user_hifi": lambda rows: shape.user_rows(rows, text_form=False, carry=_by_status()),
         "status_hifi": lambda rows: shape.status_rows(rows, text_form=False, carry=_ordered()),
     }

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pulse.schema import STATUS
 from pulse.session import app_id, fresh_path
+from pulse.sources.raw import from_raw, raw_schema
 from pulse.sources.statuses import status_records
 
 DEFAULT_SLICES = 4
@@ -89,24 +90,26 @@ def status_stream(
 ) -> DataFrame:
     """SRC1: a streaming DataFrame of status records from a folder of files.
 
-    ``fmt`` is ``parquet`` (columnar, pushdown) or ``json`` (one status per
-    line, as feeds deliver them); the declared schema means no inference pass.
+    ``fmt`` is ``parquet`` (columnar, pushdown), ``json`` (one status record per
+    line) or ``raw`` (one raw status per line, see ``sources.raw``); the
+    declared schema means no inference pass.
     A line that is no status fails the stream; ``mode="PERMISSIVE"`` reads it
     as a status without values (see ``bad_lines``).
     ``files_per_trigger=None`` takes every new file in one micro-batch.
     """
-    reader = spark.readStream.schema(STATUS)
+    reader = spark.readStream.schema(raw_schema() if fmt == "raw" else STATUS)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    if fmt == "json":
+    if fmt != "parquet":
         reader = reader.option("mode", mode)
-    rows = reader.format(fmt).load(path)
-    return rows.select(
+    rows = reader.format("json" if fmt == "raw" else fmt).load(path)
+    rows = rows.select(
         "*",
         F.col("_metadata.file_modification_time").alias("_file_time"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
     )
+    return from_raw(rows) if fmt == "raw" else rows
 
 
 def arrival(batch: DataFrame) -> DataFrame:

@@ -90,7 +90,7 @@ def stream_upsert_statuses(spark, sf_dir):
 
 
 def stream_upsert_places(spark, sf_dir):
-    return jobs.fanout(spark, _redelivered(spark, sf_dir))["place_hifi"]
+    return jobs.fanout(spark, _redelivered(spark, sf_dir))["place_hifi"].drop("bounding_box")
 
 
 def stream_fanout(spark, sf_dir):

@@ -169,3 +169,31 @@ def test_stream_jobs_leave_session_settings_untouched(spark, sf_small):
     jobs.hashtag_counts_by_interval(spark, jobs.StatusSource(all_slices(base), state_partitions=3), batch.TEST_INTERVAL).count()
     after = {k: spark.conf.get(k, None) for k in before}
     assert after == before
+
+
+def test_raw_statuses(spark, tmp_path):
+    import datetime as dt
+    import json
+
+    from pulse.streaming import jobs
+
+    src = tmp_path / "raw"
+    src.mkdir()
+    user = {"id": 7, "screen_name": "x", "created_at": "Wed Jan 01 00:00:00 +0000 2020", "profile_image_url_https": "https://i"}
+    first = {
+        "id": 1, "created_at": "Mon Jan 01 10:20:30 +0000 2024", "lang": "en", "text": "short", "full_text": "the whole text",
+        "entities": {"hashtags": [{"text": "NCAA"}, {"text": "b"}]}, "extended_entities": {"media": [{"expanded_url": "https://m"}]},
+        "geo": {"coordinates": [1.5, 2.5]}, "place": {"id": "p", "country_code": "US"}, "user": user,
+        "retweeted_status": {"text": "old", "user": {"screen_name": "BTS_twt"}}, "unknown": [1],
+    }
+    second = {"id": 2, "lang": "en", "text": "t", "coordinates": {"coordinates": [3.5, 4.5]}, "user": user}
+    (src / "a.json").write_text(json.dumps(first) + "\n" + json.dumps(second) + "\n" + json.dumps({"id": 3, "lang": "en"}) + "\n")
+    source = jobs.StatusSource(str(src), "raw")
+    points = {r["id"]: (r["longitude"], r["latitude"]) for r in jobs.geo_points(spark, source).collect()}
+    assert points == {1: (2.5, 1.5), 2: (3.5, 4.5)}
+    status = {r["id"]: r for r in jobs.fanout(spark, source)["status_hifi"].collect()}
+    one = status[1]
+    assert (one["text"], one["entities"], one["extended_entities"], one["retweeted_status"]) == ("the whole text", ["NCAA", "b"], ["https://m"], "old")
+    assert one["created_at"] == dt.datetime(2024, 1, 1, 10, 20, 30) and one["in_reply_to_user_id"] == -1 and status[3]["user_id"] is None
+    assert {r["tags"]: r["freq"] for r in jobs.hashtag_counts(spark, source).collect()} == {"ncaa": 1, "b": 1}
+    assert [tuple(r) for r in jobs.retweeter_counts(spark, source).collect()] == [("x", 1)]
