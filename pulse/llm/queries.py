@@ -152,6 +152,20 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op5_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS body FROM pages
+        ), b AS (
+            SELECT *, array_to_string(list_transform(range(1, 41), lambda i: lpad(bin(CAST('0x' || substr(sha1(body), i, 1) AS INTEGER)), 4, '0')), '') AS bits,
+                   max(page_id) OVER (PARTITION BY body) AS newest
+            FROM p
+        )
+        SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST('0b' || substr(bits, 5 * i + 1, 5) AS INTEGER), 1)), '') AS payload_digest,
+               CASE WHEN page_id < newest THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id < newest THEN newest END AS refers_to
+        FROM b
+    """,
     "op6_url_filter": f"""
         WITH u AS (
             SELECT page_id, strpos(url, '://') AS p, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -168,4 +182,17 @@ ORACLES: dict[str, str] = {
         )
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE k = 1
     """,
+    # Holds for pages whose mark-up is that of the given tables: one article of plain h1, p, b and br.
+    "op8_html_text": """
+        WITH a AS (
+            SELECT page_id, url, regexp_extract(html, '<article>(.*)</article>', 1, 's') AS body FROM pages
+        ), t AS (
+            SELECT page_id, url, regexp_replace(regexp_replace(body, '</?(p|br|h1)>', ' ', 'g'), '</?b>', '', 'g') AS body FROM a
+        ), d AS (
+            SELECT page_id, url, replace(replace(replace(replace(body, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)) AS body FROM t
+        ), w AS (
+            SELECT page_id, url, trim(regexp_replace(regexp_replace(body, '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) AS text FROM d
+        )
+        SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM w
+    """,
 }
