@@ -74,3 +74,19 @@ def test_rank_join_back_is_broadcast_without_auto_broadcast(spark, sf_small):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     top = [line for line in text.splitlines() if "Join" in line][0]
     assert "BroadcastHashJoin" in top and "freq" in top
+
+
+def test_sentiment_of_stored_statuses_is_one_scan_without_a_shuffle(spark, sf_small):
+    from pulse.operators import filters, sentiment
+    from pulse.schema import STATUS
+    from pulse.session import fresh_path
+    from pulse.sources.statuses import status_records
+
+    path = fresh_path(spark, "t-plan-statuses")
+    status_records(spark, sf_small).write.parquet(path)
+    stored = spark.read.schema(STATUS).parquet(path)
+    df = sentiment.sentiment(filters.on_track(filters.by_lang(stored), batch.TEST_TRACK_A), batch.lexicon(spark))
+    assert df.count() > 0
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()  # as it ran
+    assert plan.count("FileScan parquet") == 1 and "Exchange" not in plan
