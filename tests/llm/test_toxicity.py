@@ -11,21 +11,39 @@ from pulse.llm import queries, toxicity as tx
 SF = "/root/testdata/sf0.01"
 
 
+def grams_of(word):
+    w = f"<{word}>"
+    return [w[i : i + n] for n in range(tx.MIN_N, tx.MAX_N + 1) for i in range(len(w) - n + 1)]
+
+
 def test_counts_match_brute_force(spark):
-    rows = [("Bad bad word", 1), ("good word", 0), (None, 0), ("", 1), ("x" * 200 + " word", 0)]
-    got = {r.gram: (r.n1, r.n0) for r in tx.gram_counts(spark.createDataFrame(rows, "text string, toxic int")).collect()}
+    rows = [("Bad bad word", 1), ("good word", 0), (None, 0), ("", 1), ("x" * 200 + " word é漢🙂z", 0)]
+    labelled = spark.createDataFrame(rows, "text string, toxic int")
+    got = {r.gram: (r.n1, r.n0) for r in tx.gram_counts(tx.word_counts(labelled)).collect()}
     want = {0: Counter(), 1: Counter()}
     for text, label in rows:
         for w in tx.words_of(text):
-            want[label].update(set(tx.ngrams(w)))
-    assert got == {g: (want[1][g], want[0][g]) for g in want[0] | want[1]}
-    assert got["<bad>"] == (1, 0) and got["word"] == (1, 2)
+            want[label].update(grams_of(w))
+    assert got == {tx.gram_hash(g): (want[1][g], want[0][g]) for g in want[0] | want[1]}
+    assert got[tx.gram_hash("<bad>")] == (1, 0) and got[tx.gram_hash("word")] == (1, 2)
+
+
+def test_features_match_brute_force(monkeypatch):
+    texts = ["Bad bad word", None, "", "good bad", "word " * 500, "unknown"]
+    grams = np.array(sorted(tx.gram_hash(g) for g in ("<bad", "word>", "good", "nope")), dtype=np.int64)
+    want = [sorted(np.searchsorted(grams, tx.gram_hash(g)) for g in {g for w in tx.words_of(t) for g in grams_of(w)} if tx.gram_hash(g) in grams) for t in texts]
+    for cached, group in ((100_000, 256), (1, 1)):
+        monkeypatch.setattr(tx, "CACHED_WORDS", cached)
+        monkeypatch.setattr(tx, "GROUP_TEXTS", group)
+        got = [np.flatnonzero(row).tolist() for there in tx.Features(grams).groups(texts) for row in there]
+        assert got == want
+    assert tx.Features(grams[:0]).present(texts).shape == (6, 0)
 
 
 def test_long_words_keep_their_ngrams():
     word = "".join(chr(97 + k % 26) + str(k % 10) for k in range(150))
     inner = {word[i : i + n] for n in range(tx.MIN_N, tx.MAX_N + 1) for i in range(len(word) - n + 1)}
-    assert inner <= {g for w in tx.words_of(word) for g in tx.ngrams(w)}
+    assert inner <= {g for w in tx.words_of(word) for g in grams_of(w)}
 
 
 def test_fit_separates_and_a_single_label_gives_the_prior():
