@@ -39,7 +39,7 @@ MULTIPLIER = 0x9E3779B97F4A7C15  # odd
 ALPHA = 1.0
 MIN_COUNT = 4
 MAX_FEATURES = 1 << 13
-MAX_FIT_ROWS = 10_000  # of each label
+MAX_FIT_ROWS = 5_000  # of each label
 BROADCAST_LABELS = 2_000_000  # rows of (id, label) that may be broadcast: 32 MB
 CACHED_WORDS = 200_000
 COUNTED_WORDS = 300_000  # distinct words that a task holds before it passes their counts on
