@@ -52,7 +52,7 @@ from pulse.session import fresh_path
 BEGIN, END = b" ", b""  # never words: a word is neither empty nor blank
 DISCOUNT = 0.75
 BLOCK = 1 << 16  # entries coded together
-GROUP_TOKENS = 2_000_000  # tokens that a task looks up at once
+GROUP_TOKENS = 1_500_000  # tokens that a task looks up at once
 HELD_WORDS = 400_000  # distinct words that a counting task holds before it ships them
 SHARD_CHARS = 48 << 20  # characters of training text a level 1 shard
 SHARD_BIGRAMS = 2_000_000  # bigram tokens expected a level 2 shard
@@ -287,7 +287,7 @@ class Group:
     def add(self, text: int, words: list[bytes]) -> None:
         index = self.index
         ids = [index.setdefault(w, len(index)) for w in words]
-        self.parts.append(np.array(ids, dtype=np.int64))
+        self.parts.append(np.array(ids, dtype=np.int32))
         self.texts.append((text, len(ids)))
         self.size += len(ids)
 
@@ -297,7 +297,7 @@ class Group:
         token = flat != 0
         if self.carried:
             token[0] = False
-        return flat, np.repeat([t for t, _ in self.texts], [n for _, n in self.texts]), token
+        return flat, np.repeat(np.array([t for t, _ in self.texts], dtype=np.int32), [n for _, n in self.texts]), token
 
 
 def groups(texts) -> Iterator[Group]:
@@ -445,7 +445,7 @@ def score_texts(texts, vocabulary: Vocabulary, successors: Successors, n_texts:
 
 def _bigram_logs(v: np.ndarray, w: np.ndarray, numbers: Numbers, successors: Successors, p1: np.ndarray) -> np.ndarray:
     """log10 p(w | v) of local pairs, worked out once for each distinct pair."""
-    pair, back = np.unique(v * len(p1) + w, return_inverse=True)
+    pair, back = np.unique(v.astype(np.int64) * len(p1) + w, return_inverse=True)
     v, w = pair // len(p1), pair % len(p1)
     p = p1[w].copy()
     context = (numbers.number[v] >= 0) & (numbers.count[v] > 0)
@@ -453,7 +453,8 @@ def _bigram_logs(v: np.ndarray, w: np.ndarray, numbers: Numbers, successors: Suc
     known = context & (numbers.number[w] >= 0)
     key = numbers.number[v] * successors.base + numbers.number[w]
     order = np.flatnonzero(known)[np.argsort(key[known])]
-    log, kinds = successors.find(key[order], own)
+    key = key[order]
+    log, kinds = successors.find(key, own)
     p[context] *= DISCOUNT * kinds[place] / numbers.count[v[context]]
     seen = ~np.isnan(log)
     p[order[seen]] += 10 ** log[seen]
