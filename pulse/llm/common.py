@@ -27,11 +27,26 @@ def crc_bucket(doc_id: Column, of: int = 5) -> Column:
     return F.crc32(doc_id.cast("string")) % of
 
 
-def write_out(df: DataFrame, name: str) -> DataFrame:
-    """Compute ``df`` once into a table in the shared work folder, and read that."""
-    path = fresh_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def write_out(df: DataFrame, name: str, arrow_rows: int | None = None) -> DataFrame:
+    """Compute ``df`` once into a table in the shared work folder, and read that.
+
+    ``arrow_rows`` bounds the rows that a Python worker gets at once, for this
+    table only: where rows are large (whole word lists), their number times
+    their size is what a worker holds.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, f"llm-{name}")
+    before = spark.conf.get(ARROW_ROWS)
+    if arrow_rows:
+        spark.conf.set(ARROW_ROWS, str(min(arrow_rows, int(before)) if int(before) > 0 else arrow_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def file_system(uri: str):
