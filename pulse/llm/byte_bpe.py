@@ -183,11 +183,11 @@ def _bucket(length: int) -> int:
 _CUT = re.compile(r"(?<=\S)(?=\s)")
 
 
-def segments(text: str) -> Iterator[str]:
+def segments(text: str, cut_at: re.Pattern = _CUT) -> Iterator[str]:
     """The text in parts of SEGMENT characters or little more, cut where pieces end."""
     at = 0
     while len(text) - at > SEGMENT:
-        cut = _CUT.search(text, at + SEGMENT)
+        cut = cut_at.search(text, at + SEGMENT)
         if cut is None:
             break
         yield text[at : cut.start()]

@@ -34,6 +34,7 @@ held out.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -50,6 +51,7 @@ from pulse.llm.common import file_system, write_out
 from pulse.session import fresh_path
 
 BEGIN, END = b" ", b""  # never words: a word is neither empty nor blank
+WORD_END = re.compile(r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")  # words end at ASCII white space alone
 DISCOUNT = 0.75
 BLOCK = 1 << 16  # entries coded together
 GROUP_TOKENS = 1_500_000  # tokens that a task looks up at once
@@ -305,7 +307,7 @@ def groups(texts) -> Iterator[Group]:
     group = Group()
     for i, text in enumerate(texts):
         group.add(i, [BEGIN])
-        for segment in segments(text or ""):
+        for segment in segments(text or "", WORD_END):
             words = segment.encode("utf-8", "surrogatepass").lower().split()
             group.add(i, words)
             if group.size > GROUP_TOKENS and words:
@@ -356,7 +358,7 @@ def _count_words(texts: DataFrame, bits: int) -> DataFrame:
 
         for batch in batches:
             for text in batch["text"]:
-                for segment in segments(text or ""):
+                for segment in segments(text or "", WORD_END):
                     held.update(segment.encode("utf-8", "surrogatepass").lower().split())
                 held[END] += 1
                 if len(held) > HELD_WORDS:

@@ -147,6 +147,17 @@ def build_locally(texts):
     return vocabulary, ngram_lm.Successors(level2, vocabulary.V + 1), len(texts)
 
 
+@pytest.mark.parametrize("space", ["\u3000", "\u00a0", "\u0085", "\x1c", "\x1f"])
+def test_long_texts_are_cut_at_ascii_white_space_only(space):
+    text = "ab " * 87_381 + f"x{space}y{space}z end"  # the first cut is looked for from the x on
+    assert len(text) > 262_144
+    found = [w for s in ngram_lm.segments(text, ngram_lm.WORD_END) for w in s.encode().split()]
+    assert found == text.encode().split()
+    groups = list(ngram_lm.groups([text]))
+    assert sum(g.size for g in groups) == len(text.encode().split()) + 2  # and begin and end
+    assert f"x{space}y{space}z".encode() in groups[0].index
+
+
 def test_probabilities_of_a_context_sum_to_one():
     texts = ["a b a c", "a b", "c c c a"] * 3
     vocabulary, successors, n = build_locally(texts)
