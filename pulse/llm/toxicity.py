@@ -13,6 +13,8 @@ Features are the character n-grams (``MIN_N`` to ``MAX_N``) of the padded words
 3. *Weights.*  L2-regularised logistic regression on x_j = r_j [n-gram j
    present], fitted on at most ``MAX_FIT_ROWS`` labelled rows of either label
    (those with the smallest hash of the id): the only bounded sample here.
+   Each row weighs as many as it stands for, so the label's true rate is the
+   prior at any size.
 4. *Scores.*  Every text, whole, by the broadcast weights.
 
 Only the text is an input of a score.  Defined cases: null and empty texts have
@@ -197,9 +199,13 @@ class Features:
             yield self.present(group)
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, l2: float = 1e-3, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Weights (already times r) and bias, by Adam on the whole sample."""
-    bias = float(np.log((labels.sum() + 1) / (len(labels) - labels.sum() + 2)))
+def fit(
+    rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, l2: float = 1e-3, steps: int = 400, stands: np.ndarray | None = None
+) -> tuple[np.ndarray, float]:
+    """Weights (already times r) and bias, by Adam on the whole sample; ``stands``: for how many rows each row stands."""
+    stands = np.ones(len(rows)) if stands is None else stands
+    toxic = (stands * labels).sum()
+    bias = float(np.log((toxic + 1) / (stands.sum() - toxic + 2)))
     if not len(ratios) or labels.min() == labels.max():
         return np.zeros(len(ratios)), bias
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
@@ -210,7 +216,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, l2: floa
     w[-1] = bias
     for t in range(1, steps + 1):
         z = np.bincount(at, weights=w[column] * value, minlength=len(rows)) + w[-1]
-        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) / len(rows)
+        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) * stands / stands.sum()
         g = np.append(np.bincount(column, weights=error[at] * value, minlength=len(r)) + l2 * w[:-1], error.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= 0.02 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
@@ -279,5 +285,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = texts.join(F.broadcast(sample), "id").select("id", "toxic", numbers("text").alias("f")).collect()
     rows.sort(key=lambda r: (r["id"], bytes(r["f"])))
     vectors = [np.frombuffer(bytes(r["f"]), dtype=np.int32) for r in rows]
-    weights, bias = fit(vectors, np.array([r["toxic"] for r in rows], dtype=float), ratios) if rows else (np.zeros(len(ratios)), -1.0)
+    toxic = np.array([r["toxic"] for r in rows], dtype=int)
+    every = {r["toxic"]: r["count"] for r in _with_labels(texts.select("id"), marks).groupBy("toxic").count().collect()}
+    drawn = np.bincount(toxic, minlength=2)
+    stands = np.array([every.get(t, 0) / max(1, drawn[t]) for t in (0, 1)])[toxic]
+    weights, bias = fit(vectors, toxic.astype(float), ratios, stands=stands) if rows else (np.zeros(len(ratios)), -1.0)
     return Toxicity(spark, grams, weights, bias)

@@ -63,6 +63,16 @@ def test_held_out_accuracy(spark):
     assert all(0 <= s <= 1 and p == (s >= 0.5) for s, p, _ in rows)
 
 
+def test_a_bounded_sample_keeps_the_rate_of_the_labels(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "just the same words") for i in range(420)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 20)) for i in range(420)], "doc_id long, toxic int")
+    for most in (5_000, 10):
+        monkeypatch.setattr(tx, "MAX_FIT_ROWS", most)
+        (score,) = {r.s for r in docs.select(tx.train(docs, labels).score(F.col("text")).alias("s")).collect()}
+        print("score", score, "at", most, "rows of a label")
+        assert score == pytest.approx(20 / 420, abs=0.01)
+
+
 def test_only_the_text_decides(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = queries.toxicity_model(docs, spark.read.parquet(f"{SF}/labels.parquet"))
