@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulse.llm import byte_bpe, decontaminate, exact_dedup, html_text, ngram_lm, simhash, substring_dedup, toxicity, url_filter, warc_zip
+from pulse.llm import byte_bpe, decontaminate, exact_dedup, html_text, ngram_lm, periodic_runs, simhash, substring_dedup, toxicity, url_filter, warc_zip
 from pulse.llm.common import crc_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,37 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "s.n_tokens", "s.n_known", F.lit(model.N).cast("long").alias("train_tokens"), "s.base_score", "s.score")
 
 
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """doc_id, text: of every tenth document by crc32 of the id, the words from some place on repeat the first few of them."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    rows = docs.select("doc_id", "text", h.alias("h"), F.expr("crc32(cast(doc_id AS string)) div 10").alias("g"))
+    picked = rows.withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("words"))
+    picked = picked.withColumn("a", F.expr("cast(g % n AS int)"))
+    picked = picked.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) AS int)"))
+    tail = "slice(flatten(array_repeat(slice(words, a + 1, p), cast(ceil((n - a) / p) AS int))), 1, n - a)"
+    text = F.expr(f"CASE WHEN n > 0 THEN array_join(concat(slice(words, 1, a), {tail}), ' ') ELSE text END")
+    return picked.select("doc_id", text.alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_periodic_tails(table(spark, sf_dir, "documents"))
+    found = docs.select("doc_id", periodic_runs.periodic_runs(F.col("text"), min_length=6, min_exponent=4).alias("r"))
+    # Runs come by start and period, so the first of equal exponents wins.
+    stronger = lambda best, r: F.when(best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best)
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    found = found.select("doc_id", "r.runs", "r.collapsed", F.aggregate("r.runs", none, stronger).alias("best"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.*",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_exact_dedup": op2_exact_dedup,
@@ -116,6 +147,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_text": op8_html_text,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lm_score": op10_lm_score,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
