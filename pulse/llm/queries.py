@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulse.llm import byte_bpe, decontaminate, exact_dedup, html_text, ngram_lm, periodic_runs, simhash, substring_dedup, toxicity, url_filter, warc_zip
+from pulse.llm import byte_bpe, decontaminate, exact_dedup, fp_rank, html_text, ngram_lm, periodic_runs, simhash, substring_dedup, toxicity, url_filter, warc_zip
 from pulse.llm.common import crc_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +136,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fp_rank.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_exact_dedup": op2_exact_dedup,
@@ -148,6 +152,7 @@ QUERIES: dict[str, Query] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lm_score": op10_lm_score,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -227,4 +232,28 @@ ORACLES: dict[str, str] = {
         )
         SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM w
     """,
+    "op13_ranked_search": f"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents
+        ), i AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+        ), q AS (
+            SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(w) AS term FROM i) GROUP BY ALL
+        ), c AS (
+            SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0
+        ), m AS (
+            SELECT doc_id, 100 - 75 + (75 * len(w) * n_docs) // n_terms AS m FROM d, c WHERE len(w) > 0
+        ), t AS (
+            SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY ALL
+        ), wt AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+            FROM (SELECT term, count(*) AS df FROM t GROUP BY term), c
+        ), s AS (
+            SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+            FROM q JOIN wt USING (term) JOIN t USING (term) JOIN m USING (doc_id) GROUP BY ALL
+        ), r AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0
+        )
+        SELECT * FROM r WHERE rank <= 10
+    """,
 }
