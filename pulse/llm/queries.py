@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulse.llm import byte_bpe, decontaminate, exact_dedup, fp_rank, html_text, ngram_lm, periodic_runs, simhash, substring_dedup, toxicity, url_filter, warc_zip
+from pulse.llm import byte_bpe, decontaminate, exact_dedup, fp_rank, html_text, ngram_lm, periodic_runs, simhash, substring_dedup, suffix_dedup, toxicity, url_filter, warc_zip
 from pulse.llm.common import crc_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,11 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "s.n_tokens", "s.n_known", F.lit(model.N).cast("long").alias("train_tokens"), "s.base_score", "s.score")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def with_periodic_tails(docs: DataFrame) -> DataFrame:
     """doc_id, text: of every tenth document by crc32 of the id, the words from some place on repeat the first few of them."""
     words = F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
@@ -151,6 +156,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_text": op8_html_text,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lm_score": op10_lm_score,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_ranked_search": op13_ranked_search,
 }

@@ -1,0 +1,131 @@
+"""Suffix-array dedup against all strings of the given length."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from pulse.llm import queries, suffix_dedup
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute(rows, length):
+    """Counter of (id, n_bytes, n_removed, n_spans, kept); ids may repeat and may be null (which come first)."""
+    texts = [(i, (t or "").encode()) for i, t in rows]
+    place = lambda i, s: ((i is not None, i or 0), s)
+    first = {}
+    for i, t in texts:
+        for s in range(len(t) - length + 1):
+            w = t[s : s + length]
+            first[w] = min(first.get(w, place(i, s)), place(i, s))
+    out = []
+    for i, t in texts:
+        gone = np.zeros(len(t) + 1, dtype=bool)
+        for s in range(len(t) - length + 1):
+            if first[t[s : s + length]] < place(i, s):
+                gone[s : s + length] = True
+        spans = int((gone[1:] & ~gone[:-1]).sum() + gone[0])
+        kept = bytes(b for b, g in zip(t, gone) if not g)
+        out.append((i, len(t), int(gone.sum()), spans, kept))
+    return Counter(out)
+
+
+def removed(spark, rows, length, **kw):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(docs, length, **kw).collect())
+
+
+def corpus(seed, n=120):
+    rng = random.Random(seed)
+    text = lambda k, letters="abcdefgh é": "".join(rng.choices(letters, k=k))
+    shared = [text(rng.randrange(10, 60)) for _ in range(8)]
+    rows = []
+    for i in range(n):
+        parts = [rng.choice([text(rng.randrange(30)), rng.choice(shared), rng.choice(shared)[5:], "ab" * rng.randrange(30), "\0" * rng.randrange(30)]) for _ in range(rng.randrange(6))]
+        rows.append((i, "".join(parts)))
+    rows += [(n + i, rows[rng.randrange(n)][1]) for i in range(n // 4)]  # copies
+    near = [(n * 2 + i, t[: len(t) // 2] + "x" + t[len(t) // 2 :]) for i, (_, t) in enumerate(rows[:20])]
+    rows = rows + near
+    rng.shuffle(rows)
+    return rows
+
+
+SMALL = dict(batch_bytes=700, shard_bytes=900, slice_bytes=120, hot=3)
+
+
+@pytest.mark.parametrize("length,kw", [(16, {}), (16, SMALL), (23, SMALL), (40, dict(SMALL, hot=1000)), (40, dict(SMALL, hot=0))])
+def test_random_texts_against_all_strings(spark, length, kw):
+    rows = corpus(length + len(kw))
+    assert removed(spark, rows, length, **kw) == brute(rows, length)
+
+
+def test_a_line_of_very_many_documents(spark):
+    """A line shorter than the length makes a seed hot, longer ones are cut out of all but the first document."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6))
+    line, long_line = " ".join(word() for _ in range(9)), " ".join(word() for _ in range(25))
+    rows = [(i, f"{' '.join(word() for _ in range(20))}\n{line}\n{word()} {long_line if i % 3 else ''} {word()}") for i in range(400)]
+    for kw in ({}, dict(batch_bytes=4000, shard_bytes=8000, slice_bytes=2000, hot=20)):
+        got = removed(spark, rows, 100, **kw)
+        assert got == brute(rows, 100)
+        assert sum(1 for r in got if r[2]) == sum(1 for i in range(400) if i % 3) - 1
+
+
+def test_edges(spark):
+    t = "0123456789abcdefghij" * 2
+    rows = [(None, t[:25]), (3, t), (3, t), (3, "x" + t), (1, None), (2, ""), (4, "long " * 60_000), (5, "long " * 60_000), (6, t[:15]), (None, t[:25]), (7, "é" * 8), (8, "aé" * 20)]
+    for kw in ({}, dict(batch_bytes=100, shard_bytes=200, slice_bytes=50)):
+        assert removed(spark, rows, 16, **kw) == brute(rows, 16)
+    assert not removed(spark, [], 16)
+    docs = spark.createDataFrame([("b", t, 1, "s"), ("a", t, 2, "s")], "doc_id string, text string, batch long, kept string")
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in suffix_dedup.remove_repeats(docs, 40).collect()}
+    assert got == {"a": (0, 0), "b": (40, 1)}
+    with pytest.raises(ValueError):
+        suffix_dedup.remove_repeats(docs, 8)
+
+
+def test_levels_grow_geometrically():
+    rng = np.random.default_rng(1)
+    family, seen, at = suffix_dedup.Family(20), {}, 0
+    for _ in range(64):
+        bodies = [rng.integers(97, 99, 25).astype(np.uint8).tobytes() for _ in range(10)]
+        places = np.arange(at, at + 60)
+        windows = [b[i : i + 20] for b in bodies for i in range(6)]
+        for w, p in zip(windows, places.tolist()):
+            seen.setdefault(w, p)
+        assert family.add(bodies, places).tolist() == [seen[w] < p for w, p in zip(windows, places.tolist())]
+        at += 60
+    sizes = [len(t) for t, _ in family.levels]
+    assert sum(sizes) == len(seen) and all(a > 2 * b for a, b in zip(sizes, sizes[1:]))
+    for text, _ in family.levels:
+        assert (text[1:] > text[:-1]).all()
+
+
+def test_equal_windows_have_equal_seeds_across_tiles(monkeypatch):
+    rng = np.random.default_rng(2)
+    text = rng.integers(97, 100, 3000).astype(np.uint8)
+    text[1500:2500] = text[:1000]
+    starts = np.array([0, 700, 700, 710, 1400, 3000])
+    results = []
+    for tile in (64, 1000, 1 << 16):
+        monkeypatch.setattr(suffix_dedup, "TILE", tile)
+        results.append([x.tolist() for x in suffix_dedup.passages_of(text, starts, 40)])
+    assert results[0] == results[1] == results[2]
+    seed, first, size = results[0]
+    covered = sorted(w for f, n in zip(first, size) for w in range(f, f + n))
+    assert covered == [w for a, b in zip(starts, starts[1:]) for w in range(a, b - 39)]
+    of = {w: s for s, f, n in zip(seed, first, size) for w in range(f, f + n)}
+    equal = {}
+    for w in covered:
+        equal.setdefault(text[w : w + 40].tobytes(), set()).add(of[w])
+    assert all(len(s) == 1 for s in equal.values())
+
+
+def test_query_against_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    want = Counter((i, n, k, s, hashlib.sha256(b).hexdigest()) for i, n, k, s, b in brute(rows, 100))
+    got = Counter(tuple(r) for r in queries.op11_suffix_dedup(spark, SF).collect())
+    assert got == want and sum(r[2] for r in want) > 0
