@@ -41,6 +41,7 @@ that are not named as arguments are ignored, whatever their names.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Iterator
 
@@ -48,17 +49,19 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from pulse.llm.common import file_system, write_out
 from pulse.session import fresh_path
 
 LENGTH = 100  # bytes
-BATCH_BYTES = 16 << 20  # text of a batch
+BATCH_BYTES = 8 << 20  # text of a batch
 SHARD_BYTES = 4 << 20  # text for which there is one shard
 SLICE_BYTES = 1 << 20  # passages of a new level
 HOT = 512  # different passages of a seed
 TILE = 1 << 16  # windows hashed at once
+SENT_ROWS = 8192  # passages put into one Arrow table
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 _HIGH = np.uint64(0xFFFFFFFF00000000)
@@ -272,7 +275,8 @@ def select_passages(batch: Batch, shared: set[int], hot_seeds: set[int], hot: in
 
 def passages(batches: DataFrame, shared: DataFrame, folder: str, length: int, hot: int, shards: int, kind: T.DataType) -> DataFrame:
     """The passages to compare and the repeats inside batches (see _passage_schema)."""
-    names = [f.name for f in _passage_schema(kind)]
+    schema = _passage_schema(kind)
+    names, none = schema.names, to_arrow_schema(schema).empty_table()
 
     def send(table: pa.Table) -> pa.Table:
         number = table.column("batch")[0].as_py()
@@ -281,14 +285,16 @@ def passages(batches: DataFrame, shared: DataFrame, folder: str, length: int, ho
         hot_flags = pc.filter(table.column("hot"), known).to_pylist()
         of_others = pc.filter(seeds, known).to_pylist()
         batch = Batch(folder, number, length)
-        rows = list(select_passages(batch, set(of_others), {s for s, h in zip(of_others, hot_flags) if h}, hot))
-        seed, row, start, stop, body = map(list, zip(*rows)) if rows else ([], [], [], [], [])
-        # A single window of a hot seed goes by its own bytes.
-        meet = [number if b is None else s if s is not None else hash_bytes(b) for s, b in zip(seed, body)]
-        shard = [m % shards for m in meet]
-        doc = batch.rows.column("doc").take(pa.array(row, pa.int64())).combine_chunks()
-        columns = [shard, meet, doc, [number] * len(row), row, start, stop, pa.array(body, pa.binary())]
-        return pa.table([c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, pa.int64()) for c in columns], names=names)
+        docs, parts = batch.rows.column("doc"), []
+        found = select_passages(batch, set(of_others), {s for s, h in zip(of_others, hot_flags) if h}, hot)
+        while rows := list(itertools.islice(found, SENT_ROWS)):
+            seed, row, start, stop, body = map(list, zip(*rows))
+            # A single window of a hot seed goes by its own bytes.
+            meet = [number if b is None else s if s is not None else hash_bytes(b) for s, b in zip(seed, body)]
+            doc = docs.take(pa.array(row, pa.int64())).combine_chunks()
+            columns = [[m % shards for m in meet], meet, doc, [number] * len(row), row, start, stop, pa.array(body, pa.binary())]
+            parts.append(pa.table([c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, pa.int64()) for c in columns], names=names))
+        return pa.concat_tables(parts) if parts else none
 
     all_batches = batches.select("batch", F.lit(None).cast("long").alias("seed"), F.lit(None).cast("boolean").alias("hot"))
     return shared.unionByName(all_batches).groupBy("batch").applyInArrow(send, _passage_schema(kind))
