@@ -95,20 +95,20 @@ def _drive(
         conf["spark.sql.shuffle.partitions"] = str(src.state_partitions)
     progress: list[dict] = []
     for path in [src.paths] if isinstance(src.paths, str) else list(src.paths):
-        with _query_conf(spark, conf):  # plans take the zone from the session when they are built
-            q = (
-                build(status_stream(spark, path, src.files_per_trigger, src.fmt, src.bad_lines))
-                .queryName(f"{name}_{uuid.uuid4().hex[:8]}")
-                .option("checkpointLocation", checkpoint)
-                .trigger(**trigger)
-                .start()
-            )
-        _run(q, run_seconds)
+        writer = lambda p=path: build(status_stream(spark, p, src.files_per_trigger, src.fmt, src.bad_lines))
+        q = _run(start(spark, name, writer, checkpoint, trigger, conf), run_seconds)
         progress += [dict(p) for p in q.recentProgress]
     BATCH_SECONDS[name] = [p["durationMs"]["triggerExecution"] / 1000 for p in progress if p["numInputRows"]]
     return progress
 
 
+def start(spark: SparkSession, name: str, writer: Callable[[], DataStreamWriter], checkpoint: str, trigger: dict, conf: dict[str, str]) -> StreamingQuery:
+    """Starts a query under ``conf``: plans take the zone and the state store from the session when they are built."""
+    with _query_conf(spark, conf):
+        query = writer().queryName(f"{name}_{uuid.uuid4().hex[:8]}").option("checkpointLocation", checkpoint)
+        return query.trigger(**trigger).start()
+
+
 @contextlib.contextmanager
 def _query_conf(spark: SparkSession, conf: dict[str, str]):
     """Apply ``conf`` while a query starts (the query copies the session then)."""

@@ -19,7 +19,8 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pulse.schema import STATUS
-from pulse.session import app_id, fresh_path
+from pulse.session import app_id, exists, fresh_path
+from pulse.settings import DEFAULT_COUNTRY_CODE, DEFAULT_LANG
 from pulse.sources.raw import from_raw, raw_schema
 from pulse.sources.statuses import status_records
 
@@ -81,6 +82,36 @@ def slice_runs(base: str, slices: int = DEFAULT_SLICES) -> list[str]:
     return [slices_upto(base, i) for i in range(slices)]
 
 
+CLOSING = "_closing"
+
+
+def stage_closing(spark: SparkSession, base: str, after: str) -> None:
+    """Adds a status without an author or hashtags, in English from the US, ``after`` the last one of a staged replay.
+
+    A stream closes an interval when a later status comes, as on a live feed;
+    at the end of a replay this one closes the last intervals.
+    """
+    target = f"{base}/{SLICE_COL}{CLOSING}"
+    if exists(spark, target):
+        return
+    last = spark.read.schema(STATUS).parquet(all_slices(base)).agg(F.max("created_at").alias("t"))
+    values = {
+        "id": F.lit(-1),
+        "created_at": F.col("t") + F.expr(f"INTERVAL {after}"),
+        "lang": F.lit(DEFAULT_LANG),
+        "place": F.from_json(F.lit(f'{{"country_code": "{DEFAULT_COUNTRY_CODE}"}}'), STATUS["place"].dataType.simpleString()),
+        "hashtags": F.array(),
+    }
+    columns = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in STATUS.fields]
+    last.select(*columns).coalesce(1).write.parquet(target)
+
+
+def closed_runs(base: str, slices: int = DEFAULT_SLICES) -> list[str]:
+    """As ``slice_runs``, and a last run with the closing status."""
+    names = ",".join([*(f"={i}" for i in range(slices)), CLOSING])
+    return [*slice_runs(base, slices), f"{base}/{SLICE_COL}{{{names}}}/*.parquet"]
+
+
 #: Where a row came from: rows of a batch sort by it in order of arrival.
 ARRIVAL = ("_file_time", "_file", "_block")
 

@@ -13,8 +13,14 @@ from pulse.operators import shape
 from pulse.operators.keyed import RowLog
 from pulse.plans import batch
 from pulse.session import fresh_path
-from pulse.streaming import jobs
-from pulse.streaming.replay import reversed_runs, slice_runs, stage_deliveries, stage_replay
+from pulse.streaming import jobs, stateful
+from pulse.streaming.replay import closed_runs, reversed_runs, slice_runs, stage_closing, stage_deliveries, stage_replay
+
+# --- fixed values: parameters of the registered test queries -----------------
+CLOSE_AFTER = "365 days"  # the closing status after the last one
+JOIN_WITHIN = "60 days"  # of event time that a status may be from its user's row
+REPEATED_WITHIN = "14 days"  # in which a status may be delivered again
+# ---------------------------------------------------------------------------
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> list[str]:
@@ -26,6 +32,33 @@ def _redelivered(spark: SparkSession, sf_dir: str) -> list[str]:
     return slice_runs(stage_deliveries(spark, sf_dir))
 
 
+def _closed(spark: SparkSession, base: str) -> list[str]:
+    """Every slice in order, then a status that closes the last intervals."""
+    stage_closing(spark, base, CLOSE_AFTER)
+    return closed_runs(base)
+
+
+def stream_top_hashtags_by_interval(spark, sf_dir):
+    """Chained aggregates: the first tags of each interval, given out when it closes."""
+    runs = _closed(spark, stage_replay(spark, sf_dir))
+    return stateful.top_hashtags_by_interval(spark, runs, batch.TEST_INTERVAL, batch.TOP_TAGS_PER_INTERVAL)
+
+
+def stream_running_user_counts(spark, sf_dir):
+    """A total an author, carried from interval to interval in keyed state."""
+    return stateful.running_user_counts(spark, _closed(spark, stage_replay(spark, sf_dir)), batch.TEST_INTERVAL)
+
+
+def stream_unique_user_counts(spark, sf_dir):
+    """Counters on a feed that delivers every third status twice."""
+    return stateful.unique_user_counts(spark, _redelivered(spark, sf_dir), REPEATED_WITHIN)
+
+
+def stream_status_user_place(spark, sf_dir):
+    """J2 as joins of streams."""
+    return stateful.status_user_place(spark, _closed(spark, stage_deliveries(spark, sf_dir)), JOIN_WITHIN).where("id >= 0")
+
+
 def stream_hashtag_counts_by_interval(spark, sf_dir):
     """Watermarked: one run (one micro-batch) per event-time slice, on one checkpoint."""
     return jobs.hashtag_counts_by_interval(spark, _stream(spark, sf_dir), batch.TEST_INTERVAL)
@@ -104,6 +137,10 @@ def stream_fanout(spark, sf_dir):
 #: Each stream query with the batch query whose oracle it shares.
 STREAM_ORACLE = {
     "stream_hashtag_counts_by_interval": "hashtag_counts_by_interval",
+    "stream_top_hashtags_by_interval": "top_hashtags_by_interval",
+    "stream_running_user_counts": "running_user_counts",
+    "stream_unique_user_counts": "user_counts",
+    "stream_status_user_place": "status_user_place",
     "stream_hashtag_counts": "hashtag_counts",
     "stream_user_counts": "user_counts",
     "compacted_user_counts": "user_counts",
