@@ -209,7 +209,7 @@ def _joined(spark: SparkSession, root: str, within: str) -> DataFrame:
 
     near = lambda other: F.expr(f"{other} BETWEEN s_ts - INTERVAL {within} AND s_ts + INTERVAL {within}")
     s, u, p = table("status", "s_"), table("user", "u_"), table("place", "p_")
-    # A status without a place meets none: a key of its own instead of one that all share.
+    # A status without a place meets none: it passes the second join at once, by a key of its own instead of one that all share.
     s = s.withColumn("place_key", F.coalesce("s_place_id", F.concat(F.lit("no place "), F.col("s_id").cast("string"))))
     with_user = s.join(u, (F.col("s_user_id") == F.col("u_id")) & near("u_ts"), "left_outer")
     # A join's input may have one event time: from here on that of the status.
