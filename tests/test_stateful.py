@@ -117,7 +117,7 @@ def test_join_gives_nulls_when_the_watermark_has_passed(spark):
     assert (got[1].followers_count, got[1].place_full_name) == (4, "Somewhere, AMERICA")
     assert (got[2].screen_name, got[2].followers_count, got[2].place_full_name) == (None, None, None)
     assert (got[3].screen_name, got[3].place_full_name) == ("User_2", None)
-    assert got[4].followers_count == 4 and got[5].followers_count == 5 and 6 not in got
+    assert got[4].followers_count == 4 and got[5].followers_count == 5 and got[6].screen_name == "User_9"
 
 
 def test_jobs_leave_session_settings_untouched(spark, sf_small):
