@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulse.operators import counts, filters, keyed, sentiment, shape
+from pulse.operators import counts, filters, heavy, keyed, sentiment, shape, sketches, tracks
 from pulse.sources.lexicon import FIXTURE_LEXICON, first_wins, fixture_lexicon
 from pulse.sources.statuses import deliveries, flat_statuses, status_records
 
@@ -21,6 +21,9 @@ TEST_TRACK_B = ("eriner", "rely")
 TEST_INTERVAL = "1 hour"
 TOP_TAGS_PER_INTERVAL = 3
 TOP_USERS = 100
+HEAVY_FRACTION = 0.05
+SPAN_DAYS = 7
+MANY_KEYWORDS = 2_000
 BUMP_TAG, BUMP_AMOUNT = "ncaa", 2
 # ---------------------------------------------------------------------------
 
@@ -257,3 +260,35 @@ def upsert_places(spark, sf_dir):
     """K1: one row per place id (placeless statuses keyed by their own id, D6)."""
     rows = shape.place_rows(english(spark, sf_dir), carry=_order())
     return keyed.latest_by_key(rows, "id", ["_ts", "_sid"]).drop("_ts", "_sid")
+
+
+# ---- sketches, large keyword lists ----------------------------------------------------
+
+def heavy_hashtags(spark, sf_dir):
+    """The tags that at least one in twenty tags of US statuses is."""
+    tags = shape.hashtags(filters.us_english(statuses(spark, sf_dir))).withColumnRenamed("tag", "tags")
+    return heavy.heavy_hitters(tags.select("tags"), "tags", HEAVY_FRACTION, "freq")
+
+
+def distinct_users_by_span(spark, sf_dir):
+    """A7 for every week that begins on a day with statuses: counted, and whether the stored sketches agree."""
+    rows = english(spark, sf_dir).select("created_at", F.col("user.screen_name").alias("user"))
+    stored = sketches.store(sketches.by_day(rows, "user"))
+    spans = stored.select(F.col("day").alias("span_start"), F.date_add("day", SPAN_DAYS).alias("span_end"))
+    both = sketches.exact_over(rows, "user", spans, "n_users").join(sketches.distinct_over(stored, spans), ["span_start", "span_end"])
+    off = F.abs(F.col("estimate") - F.col("n_users"))
+    return both.select("span_start", "span_end", "n_users", (off <= 1 + sketches.relative_error() * F.col("n_users")).alias("within_bound"))
+
+
+def many_keywords(spark, sf_dir):
+    """Stand-in for a large keyword list: words of the documents in the order of their hashes."""
+    from pulse.sources.tables import read_table
+
+    words = read_table(spark, sf_dir, "documents").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("keyword"))
+    return words.where("length(keyword) >= 4").distinct().orderBy(F.md5("keyword")).limit(MANY_KEYWORDS)
+
+
+def tracks_many(spark, sf_dir):
+    """English statuses on each of 2,000 keyword tracks."""
+    found = tracks.on_tracks(english(spark, sf_dir), many_keywords(spark, sf_dir))
+    return counts.count_by(found, "keyword", "keyword", "n_statuses")

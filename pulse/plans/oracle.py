@@ -157,6 +157,12 @@ _HASHTAG_COUNTS = "SELECT tag AS tags, count(*) AS freq FROM tags GROUP BY tag"
 _RETWEETER_COUNTS = "SELECT user_screen_name AS top_user, count(*) AS retweeted FROM rts GROUP BY 1"
 _USER_COUNTS = 'SELECT user_screen_name AS "user", count(*) AS "count" FROM en GROUP BY 1'
 
+_STATUS_USER_PLACE = f"""
+SELECT s.id, s.user_id, u.screen_name, u.followers_count, s.place_id, p.full_name AS place_full_name
+FROM ({_UPSERT_STATUSES}) s
+LEFT JOIN ({_UPSERT_USERS}) u ON s.user_id = u.id
+LEFT JOIN ({_UPSERT_PLACES}) p ON s.place_id = p.id"""
+
 _Q: dict[str, str] = {
     "status_scan": """
 SELECT id, created_at, lang, text, truncated, possibly_sensitive, favorite_count, favorited,
@@ -227,11 +233,19 @@ UNION ALL SELECT 'russia_sentiment', count(*), CAST(sum(rating) AS BIGINT) FROM
 UNION ALL SELECT 'status_hifi', count(*), CAST(sum(favorite_count) AS BIGINT) FROM ({_UPSERT_STATUSES})
 UNION ALL SELECT 'user_hifi', count(*), CAST(sum(followers_count) AS BIGINT) FROM ({_UPSERT_USERS})
 UNION ALL SELECT 'place_hifi', count(*), CAST(sum(length(full_name)) AS BIGINT) FROM ({_UPSERT_PLACES})""",
-    "status_user_place": f"""
-SELECT s.id, s.user_id, u.screen_name, u.followers_count, s.place_id, p.full_name AS place_full_name
-FROM ({_UPSERT_STATUSES}) s
-LEFT JOIN ({_UPSERT_USERS}) u ON s.user_id = u.id
-LEFT JOIN ({_UPSERT_PLACES}) p ON s.place_id = p.id""",
+    "status_user_place": _STATUS_USER_PLACE,
+    "bucketed_status_user_place": _STATUS_USER_PLACE,
+    "heavy_hashtags": f"SELECT tags, freq FROM ({_HASHTAG_COUNTS}) WHERE freq * 20 >= (SELECT count(*) FROM tags)",
+    "distinct_users_by_span": """
+SELECT d AS span_start, CAST(d + INTERVAL 7 DAY AS DATE) AS span_end, count(DISTINCT user_screen_name) AS n_users, TRUE AS within_bound
+FROM (SELECT DISTINCT CAST(created_at AS DATE) AS d FROM en)
+JOIN en ON CAST(created_at AS DATE) >= d AND CAST(created_at AS DATE) < d + INTERVAL 7 DAY
+GROUP BY 1, 2""",
+    "tracks_many": """
+SELECT keyword, count(*) AS n_statuses FROM en JOIN (
+ SELECT DISTINCT keyword FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS keyword FROM documents)
+ WHERE length(keyword) >= 4 ORDER BY md5(keyword) LIMIT 2000) ON contains(lower(text), keyword)
+GROUP BY keyword""",
 }
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulse.plans import batch, views
+from pulse.plans import batch, catalog, views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,12 +52,16 @@ BATCH_QUERIES: dict[str, Query] = {
         "upsert_statuses",
         "upsert_users",
         "upsert_places",
+        "heavy_hashtags",
+        "distinct_users_by_span",
+        "tracks_many",
     )
 }
 
 VIEW_QUERIES: dict[str, Query] = {
     "sql_view_scan": views.sql_view_scan,
     "status_user_place": views.status_user_place,
+    "bucketed_status_user_place": catalog.bucketed_status_user_place,
 }
 
 

@@ -9,6 +9,7 @@ projections of the SQL reach the parquet scans of the driver tables).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -91,33 +92,47 @@ CHECKSUMS = {
 
 
 def sql_view_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC3: every table written, registered and scanned through SQL (rows and a column's sum)."""
-    for name, df in result_tables(spark, sf_dir).items():
-        path = fresh_path(spark, f"table-{name}")
-        df.write.parquet(path)
-        register_parquet_table(spark, name, path)
+    """SRC3: every table registered and scanned through SQL (rows and a column's sum), in one statement.
+
+    The views are inlined, so each scan reads the columns that its sum needs.
+    """
+    prefix = f"v{uuid.uuid4().hex[:8]}_"  # views of their own: a later call may register other tables
+    register_tables(spark, sf_dir, prefix)
     parts = [
-        f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST(sum({CHECKSUMS[t]}) AS BIGINT) AS checksum FROM {t}" for t in TABLES
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST(sum({CHECKSUMS[t]}) AS BIGINT) AS checksum FROM {prefix}{t}" for t in TABLES
     ]
     return spark.sql("\nUNION ALL\n".join(parts))
 
 
 def join_status_user_place(status: DataFrame, user: DataFrame, place: DataFrame) -> DataFrame:
-    """Each status with its author's and place's rows.
+    """Each status with its author's and place's rows."""
+    users = user.select(F.col("id").alias("user_id"), "screen_name", "followers_count")
+    places = place.select(F.col("id").alias("place_id"), F.col("full_name").alias("place_full_name"))
+    return join_narrow(status.select("id", "user_id", "place_id"), users, places)
+
+
+def join_narrow(status: DataFrame, user: DataFrame, place: DataFrame) -> DataFrame:
+    """Statuses (id, user_id, place_id) with the columns of their user and place.
 
     Statuses without a place (two in three) skip the place join: their null key
     would send them all to one partition.
     """
-    s = status.select("id", "user_id", "place_id").join(
-        user.select(F.col("id").alias("user_id"), "screen_name", "followers_count"), "user_id", "left"
-    )
-    names = place.select(F.col("id").alias("place_id"), F.col("full_name").alias("place_full_name"))
-    placed = s.where("place_id is not null").join(names, "place_id", "left")
+    s = status.join(user, "user_id", "left")
+    placed = s.where("place_id is not null").join(place, "place_id", "left")
     unplaced = s.where("place_id is null").withColumn("place_full_name", F.lit(None).cast("string"))
     return placed.unionByName(unplaced)
 
 
+def narrow_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The columns that J2 needs of the status, user and place tables, written (status texts are neither read nor written)."""
+    t = result_tables(spark, sf_dir)
+    status = t["status_hifi"].select("id", "user_id", "place_id")
+    user = t["user_hifi"].select(F.col("id").alias("user_id"), "screen_name", "followers_count")
+    place = t["place_hifi"].select(F.col("id").alias("place_id"), F.col("full_name").alias("place_full_name"))
+    return materialize(status, "status"), materialize(user, "user"), materialize(place, "place")
+
+
 def status_user_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 over written tables (the statuses are derived once a table, not once a join)."""
-    t = {n: materialize(df, n) for n, df in result_tables(spark, sf_dir).items() if n.endswith("_hifi")}
-    return join_status_user_place(t["status_hifi"], t["user_hifi"], t["place_hifi"])
+    status, user, place = narrow_tables(spark, sf_dir)
+    return join_narrow(status, user, place)

@@ -41,6 +41,7 @@ SPARK_TO_DUCK = {
     "double": "DOUBLE",
     "float": "FLOAT",
     "boolean": "BOOLEAN",
+    "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
 }
 

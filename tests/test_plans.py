@@ -56,7 +56,13 @@ def test_partial_group_limit_before_shuffle(spark, sf_small, name):
 def test_wide_columns_pruned_through_upsert(spark, sf_small):
     from pulse.plans import views
 
-    text = plan_text(views.status_user_place(spark, sf_small))
+    parts = views.narrow_tables(spark, sf_small)
+    assert [sorted(spark.read.parquet(df.inputFiles()[0]).columns) for df in parts] == [
+        ["id", "place_id", "user_id"],
+        ["followers_count", "screen_name", "user_id"],
+        ["place_full_name", "place_id"],
+    ]
+    text = plan_text(views.result_tables(spark, sf_small)["status_hifi"].select("id", "user_id", "place_id"))
     assert "text:string" not in text
 
 
