@@ -289,6 +289,6 @@ def many_keywords(spark, sf_dir):
 
 
 def tracks_many(spark, sf_dir):
-    """English statuses on each of 2,000 keyword tracks."""
-    found = tracks.on_tracks(english(spark, sf_dir), many_keywords(spark, sf_dir))
+    """F7 / F8 with the country filter: English statuses from the US on each of 2,000 keyword tracks."""
+    found = tracks.on_tracks(filters.us_english(statuses(spark, sf_dir)), many_keywords(spark, sf_dir))
     return counts.count_by(found, "keyword", "keyword", "n_statuses")

@@ -242,7 +242,7 @@ FROM (SELECT DISTINCT CAST(created_at AS DATE) AS d FROM en)
 JOIN en ON CAST(created_at AS DATE) >= d AND CAST(created_at AS DATE) < d + INTERVAL 7 DAY
 GROUP BY 1, 2""",
     "tracks_many": """
-SELECT keyword, count(*) AS n_statuses FROM en JOIN (
+SELECT keyword, count(*) AS n_statuses FROM us JOIN (
  SELECT DISTINCT keyword FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS keyword FROM documents)
  WHERE length(keyword) >= 4 ORDER BY md5(keyword) LIMIT 2000) ON contains(lower(text), keyword)
 GROUP BY keyword""",

@@ -62,6 +62,9 @@ def test_queries_run_in_a_second_session(spark, sf_small, con):
         assert ok, msg
 
 
-def test_entry_works_without_the_llm_subpackage(monkeypatch):
-    monkeypatch.setitem(sys.modules, "pulse.llm", None)
+@pytest.mark.parametrize("missing", ["pulse.llm", "pulse.llm.queries", "public_tokenizers"])
+def test_entry_works_without_the_llm_subpackage_or_what_it_needs(monkeypatch, missing):
+    for name in [m for m in sys.modules if m.startswith("pulse.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, missing, None)
     assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(SQL)
