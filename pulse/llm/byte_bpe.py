@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, SparkSession, functions as F
 
 MAX_VOCABULARY = 1_000_000
@@ -85,6 +86,9 @@ class Vocabulary:
             self.rank_of[base64.b64decode(token)] = int(rank)
         for token, rank in self.rank_of.items():
             self.token_of[rank] = token
+        self.token_bytes = np.frombuffer(b"".join(self.token_of), dtype=np.uint8)
+        self.token_size = np.array([len(t) for t in self.token_of], dtype=np.int64)
+        self.token_start = np.cumsum(self.token_size) - self.token_size
         rank_of = self.rank_of
         pairs, merged = [], []
         for token, rank in rank_of.items():
@@ -98,39 +102,48 @@ class Vocabulary:
         if (self.of_byte < 0).any():
             raise ValueError("the vocabulary lacks single bytes")
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of each piece (bytes, not empty)."""
-        out: list[np.ndarray | None] = [None] * len(pieces)
+    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, size): the ids of piece i (bytes, not empty) are ``ids[start[i] : start[i] + size[i]]``."""
+        whole = [self.rank_of.get(p, -1) for p in pieces]
+        flat = [np.array(whole, dtype=np.int32)]
+        start, size, at = np.arange(len(pieces)), np.ones(len(pieces), dtype=np.int64), len(pieces)
         buckets: dict[int, list[int]] = {}
-        for i, p in enumerate(pieces):
-            whole = self.rank_of.get(p)
-            if whole is not None:
-                out[i] = np.array([whole], dtype=np.int32)
-            elif len(p) > LONG_PIECE:
-                out[i] = self._merge_long(p)
+        for i, (p, rank) in enumerate(zip(pieces, whole)):
+            if rank >= 0:
+                continue
+            if len(p) > LONG_PIECE:
+                flat.append(self._merge_long(p))
+                start[i], size[i] = at, len(flat[-1])
+                at += len(flat[-1])
             else:
                 buckets.setdefault(_bucket(len(p)), []).append(i)
         for width, members in buckets.items():
             step = max(1, CELLS // width)
-            for at in range(0, len(members), step):
-                rows = members[at : at + step]
-                for i, ids in zip(rows, self._merge_rows([pieces[r] for r in rows], width)):
-                    out[i] = ids
-        return out  # type: ignore[return-value]
-
-    def _merge_rows(self, pieces: list[bytes], width: int) -> list[np.ndarray]:
+            for first in range(0, len(members), step):
+                rows = members[first : first + step]
+                ids, begin, n = self._merge_rows([pieces[r] for r in rows], width)
+                flat.append(ids)
+                start[rows], size[rows] = at + begin, n
+                at += len(ids)
+        return np.concatenate(flat), start, size
+
+    def _merge_rows(self, pieces: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``encode_pieces``, for pieces of at most ``width`` bytes in one matrix."""
         lengths = np.array([len(p) for p in pieces])
-        padded = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), dtype=np.uint8).reshape(-1, width)
+        padded = np.frombuffer(b"".join([p.ljust(width, b"\0") for p in pieces]), dtype=np.uint8).reshape(-1, width)
         ids = np.where(np.arange(width) < lengths[:, None], self.of_byte[padded], -1)
         ranks = self.pairs.ranks(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(pieces), width - 1)
-        out: list[np.ndarray] = [None] * len(pieces)  # type: ignore[list-item]
+        flat, start, size, done = [], np.zeros(len(pieces), dtype=np.int64), np.zeros(len(pieces), dtype=np.int64), 0
         rows = np.arange(len(pieces))
         while len(rows):
             at = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(rows), dtype=np.int64)
             best = ranks[np.arange(len(rows)), at] if ranks.shape[1] else np.full(len(rows), NONE)
             on = best < NONE
-            for r in np.flatnonzero(~on):
-                out[rows[r]] = ids[r][ids[r] >= 0].astype(np.int32)
+            there = ids[~on] >= 0
+            flat.append(ids[~on][there].astype(np.int32))
+            n = there.sum(axis=1)
+            start[rows[~on]], size[rows[~on]] = done + np.cumsum(n) - n, n
+            done += len(flat[-1])
             rows, ids, ranks, at, best = rows[on], ids[on], ranks[on], at[on], best[on]
             if not len(rows):
                 break
@@ -144,7 +157,7 @@ class Vocabulary:
                 p = at + shift
                 ok = (p >= 0) & (p < ranks.shape[1])
                 ranks[each[ok], p[ok]] = self.pairs.ranks(ids[each[ok], p[ok]], ids[each[ok], p[ok] + 1])
-        return out
+        return np.concatenate(flat), start, size
 
     def _merge_long(self, piece: bytes) -> np.ndarray:
         ids = self.of_byte[np.frombuffer(piece, dtype=np.uint8)]
@@ -172,6 +185,17 @@ class Vocabulary:
     def decode(self, ids) -> bytes:
         return b"".join([self.token_of[i] for i in ids])
 
+    def decode_all(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, ends): the bytes of all ids, and where those of each id end."""
+        size = self.token_size[ids]
+        ends = np.cumsum(size)
+        return self.token_bytes[_spans(self.token_start[ids], size, ends)], ends
+
+
+def _spans(start: np.ndarray, size: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The places start[0], start[0] + 1, ... of all spans one after the other; ``ends``: the sums of the sizes."""
+    return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
 
 def _bucket(length: int) -> int:
     """Widths 2, 3, 4, 6, 8, 12, 16, ...: at most half of a row is padding."""
@@ -208,28 +232,36 @@ class Encoder:
 
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
+        self.ids, self.start, self.size = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
     def encode(self, text: str | None) -> np.ndarray:
-        parts = [self._segment(s) for s in segments(text or "")]
-        return np.concatenate(parts) if len(parts) > 1 else parts[0] if parts else np.zeros(0, dtype=np.int32)
+        parts = [self._ids(self.split.findall(s))[0] for s in segments(text or "")]
+        return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32)
 
     def _learn(self, pieces: set[str]) -> None:
         new = [p for p in pieces if p not in self.index]
         if len(self.index) + len(new) > CACHED_PIECES:
             self._forget()
             new = list(pieces)
-        self.index.update(zip(new, range(len(self.ids), len(self.ids) + len(new))))
-        self.ids += self.vocabulary.encode_pieces([p.encode("utf-8", "surrogatepass") for p in new])
-
-    def _segment(self, text: str) -> np.ndarray:
-        pieces = self.split.findall(text)
+        if new:
+            self.index.update(zip(new, range(len(self.start), len(self.start) + len(new))))
+            ids, start, size = self.vocabulary.encode_pieces([p.encode("utf-8", "surrogatepass") for p in new])
+            start = start + len(self.ids)
+            self.ids, self.start, self.size = (np.concatenate(x) for x in ((self.ids, ids), (self.start, start), (self.size, size)))
+
+    def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends): the ids of all pieces, and where those of each piece end."""
         self._learn(set(pieces))
-        ids, index = self.ids, self.index
-        return np.concatenate([ids[index[p]] for p in pieces]) if pieces else np.zeros(0, dtype=np.int32)
+        index = np.fromiter(map(self.index.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        size = self.size[index]
+        ends = np.cumsum(size)
+        return self.ids[_spans(self.start[index], size, ends)], ends
+
+    def encode_flat(self, texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, bounds) of one group of texts after another; the distinct pieces of a group are merged together.
 
-    def encode_groups(self, texts) -> Iterator[list[np.ndarray]]:
-        """As ``encode`` for each, in lists; the distinct pieces of the texts of a list are merged together."""
+        The ids of the group's text i are ``ids[bounds[i] : bounds[i + 1]]``.
+        """
         group: list[str] = []
         size = 0
         for t in texts:
@@ -238,32 +270,26 @@ class Encoder:
                 yield self._group(group)
                 group, size = [], 0
             if len(t) > GROUP_CHARS:
-                yield [self.encode(t)]
+                ids = self.encode(t)
+                yield ids, np.array([0, len(ids)])
                 continue
             group.append(t)
             size += len(t)
-        yield self._group(group)
+        if group:
+            yield self._group(group)
 
     def encode_many(self, texts) -> list[np.ndarray]:
-        return [ids for group in self.encode_groups(texts) for ids in group]
+        return [ids[a:b] for ids, bounds in self.encode_flat(texts) for a, b in zip(bounds[:-1], bounds[1:])]
 
-    def _group(self, texts: list[str]) -> list[np.ndarray]:
+    def _group(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         split = [self.split.findall(t) for t in texts]
-        flat = [p for pieces in split for p in pieces]
-        self._learn(set(flat))
-        if not flat:
-            return [np.zeros(0, dtype=np.int32) for _ in texts]
-        index = np.fromiter(map(self.index.__getitem__, flat), dtype=np.int64, count=len(flat))
-        used, index = np.unique(index, return_inverse=True)
-        parts = [self.ids[i] for i in used.tolist()]
-        sizes = np.array([len(p) for p in parts])
-        starts = np.cumsum(sizes) - sizes
-        n = sizes[index]
-        ends = np.cumsum(n)
-        ids = np.concatenate(parts)[np.repeat(starts[index] - (ends - n), n) + np.arange(ends[-1])]
-        last = np.cumsum([len(pieces) for pieces in split])
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], last])]
-        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        ids, ends = self._ids([p for pieces in split for p in pieces])
+        last = np.cumsum([0, *map(len, split)])
+        return ids, np.concatenate([[0], ends])[last]
+
+
+def _lists(ids: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
 
 
 _encoders: dict[str, Encoder] = {}
@@ -297,12 +323,12 @@ class ByteBPE:
         """array<int>: the ids of each text."""
         get = self._of_worker()
 
-        @F.pandas_udf("array<int>")
-        def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("array<int>")
+        def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             encoder = get()
             for s in texts:
-                for ids in encoder.encode_groups(s):  # small output batches: little memory
-                    yield pd.Series(ids, dtype=object)
+                for ids, bounds in encoder.encode_flat(s.to_pylist()):  # small output batches: little memory
+                    yield _lists(ids, bounds)
 
         return of(text)
 
@@ -322,12 +348,14 @@ class ByteBPE:
         """struct<ids: array<int>, decoded: binary>: both of the above in one pass through the workers."""
         get = self._of_worker()
 
-        @F.pandas_udf("ids array<int>, decoded binary")
-        def of(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        @F.arrow_udf("ids array<int>, decoded binary")
+        def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             encoder = get()
             for s in texts:
-                for ids in encoder.encode_groups(s):
-                    decoded = [encoder.vocabulary.decode(x.tolist()) for x in ids]
-                    yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(decoded, dtype=object)})
+                for ids, bounds in encoder.encode_flat(s.to_pylist()):
+                    decoded, ends = encoder.vocabulary.decode_all(ids)
+                    at = np.concatenate([[0], ends])[bounds].astype(np.int32)
+                    decoded = pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(at), pa.py_buffer(decoded)])
+                    yield pa.StructArray.from_arrays([_lists(ids, bounds), decoded], ["ids", "decoded"])
 
         return of(text)
