@@ -130,17 +130,17 @@ def gram_counts(words: DataFrame) -> DataFrame:
     return partial.groupBy("gram").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
-def select_features(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def select_features(counts: DataFrame, max_features: int = MAX_FEATURES, min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams of the model (sorted hashes) and their log-count ratios."""
-    kept = counts.where((F.col("n1") + F.col("n0")) >= MIN_COUNT)
+    kept = counts.where((F.col("n1") + F.col("n0")) >= min_count)
     total = counts.agg(F.sum("n1").alias("t1"), F.sum("n0").alias("t0"), F.count(F.lit(1)).alias("v")).first()
     if not total["t1"] or not total["t0"]:
         return np.zeros(0, dtype=np.int64), np.zeros(0)
     d1, d0 = total["t1"] + ALPHA * total["v"], total["t0"] + ALPHA * total["v"]
     ratio = F.log((F.col("n1") + ALPHA) / d1) - F.log((F.col("n0") + ALPHA) / d0)
     evidence = F.abs(F.col("n1") - (F.col("n1") + F.col("n0")) * F.lit(d1 / (d1 + d0))) / F.sqrt(F.col("n1") + F.col("n0"))
-    top = kept.select("gram", ratio.alias("r"), evidence.alias("e")).orderBy(F.desc("e"), "gram").limit(MAX_FEATURES)
-    rows = sorted((r["gram"], r["r"]) for r in top.collect())  # MAX_FEATURES at most
+    top = kept.select("gram", ratio.alias("r"), evidence.alias("e")).orderBy(F.desc("e"), "gram").limit(max_features)
+    rows = sorted((r["gram"], r["r"]) for r in top.collect())  # max_features at most
     return np.array([g for g, _ in rows], dtype=np.int64), np.array([r for _, r in rows])
 
 
@@ -259,8 +259,14 @@ def _with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(labels) if few else labels, "id")
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Toxicity:
-    """Fits on the documents (id, text) that have a label."""
+def train(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_features: int = MAX_FEATURES, min_count: int = MIN_COUNT
+) -> Toxicity:
+    """Fits on the documents (id, text) that have a label.
+
+    The model has the ``max_features`` n-grams of the strongest evidence among
+    those that ``min_count`` labelled documents or more have.
+    """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     marks = (
@@ -268,7 +274,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .groupBy(F.col(id_col).alias("id"))
         .agg(F.max(label_col).alias("toxic"))
     )
-    grams, ratios = select_features(write_out(gram_counts(word_counts(_with_labels(texts, marks))), "gram-counts"))
+    grams, ratios = select_features(write_out(gram_counts(word_counts(_with_labels(texts, marks))), "gram-counts"), max_features, min_count)
 
     lookup = spark.sparkContext.broadcast(grams)
 
@@ -279,14 +285,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             for there in features.groups(s):
                 yield pd.Series([np.flatnonzero(row).astype(np.int32).tobytes() for row in there], dtype=object)
 
-    sample = marks.where("toxic = 0").orderBy(F.xxhash64("id"), "id").limit(MAX_FIT_ROWS).union(
-        marks.where("toxic = 1").orderBy(F.xxhash64("id"), "id").limit(MAX_FIT_ROWS)
-    )
-    rows = texts.join(F.broadcast(sample), "id").select("id", "toxic", numbers("text").alias("f")).collect()
+    # Labels of ids that no document has must not use up the sample: only those of documents are drawn from.
+    labelled = write_out(_with_labels(texts.select("id"), marks).groupBy("id", "toxic").count(), "labelled")
+    first = lambda df, t, *by: df.where(F.col("toxic") == t).orderBy(F.xxhash64("id"), "id", *by).limit(MAX_FIT_ROWS)
+    sample = first(labelled, 0).union(first(labelled, 1)).select("id", "toxic")
+    drawn_rows = texts.join(F.broadcast(sample), "id").select("id", "toxic", F.xxhash64("text").alias("h"), numbers("text").alias("f"))
+    drawn_rows = write_out(drawn_rows, "fit-rows")
+    rows = first(drawn_rows, 0, "h").collect() + first(drawn_rows, 1, "h").collect()  # an id may have many rows
     rows.sort(key=lambda r: (r["id"], bytes(r["f"])))
     vectors = [np.frombuffer(bytes(r["f"]), dtype=np.int32) for r in rows]
     toxic = np.array([r["toxic"] for r in rows], dtype=int)
-    every = {r["toxic"]: r["count"] for r in _with_labels(texts.select("id"), marks).groupBy("toxic").count().collect()}
+    every = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.sum("count").alias("n")).collect()}
     drawn = np.bincount(toxic, minlength=2)
     stands = np.array([every.get(t, 0) / max(1, drawn[t]) for t in (0, 1)])[toxic]
     weights, bias = fit(vectors, toxic.astype(float), ratios, stands=stands) if rows else (np.zeros(len(ratios)), -1.0)

@@ -73,6 +73,18 @@ def test_a_bounded_sample_keeps_the_rate_of_the_labels(spark, monkeypatch):
         assert score == pytest.approx(20 / 420, abs=0.01)
 
 
+def test_labels_without_a_document_and_repeated_ids_do_not_use_up_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(tx, "MAX_FIT_ROWS", 30)
+    docs = spark.createDataFrame([(i, f"vile awful words {i % 7}" if i % 4 == 0 else f"kind friendly talk {i % 7}") for i in range(400)], "doc_id long, text string")
+    labels = spark.range(400).selectExpr("id AS doc_id", "CAST(id % 4 = 0 AS int) AS toxic")
+    more = spark.range(1000, 60_000).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS toxic")
+    again = spark.createDataFrame([(1, "kind friendly talk")] * 5_000, "doc_id long, text string")
+    score = lambda model: {r.doc_id: r.s for r in docs.select("doc_id", model.score(F.col("text")).alias("s")).collect()}
+    for model in (tx.train(docs, labels.union(more)), tx.train(docs.union(again), labels)):
+        got = score(model)
+        assert min(s for i, s in got.items() if i % 4 == 0) > 0.5 > max(s for i, s in got.items() if i % 4)
+
+
 def test_only_the_text_decides(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = queries.toxicity_model(docs, spark.read.parquet(f"{SF}/labels.parquet"))
