@@ -39,6 +39,7 @@ def rule_table(rules: DataFrame) -> DataFrame:
         F.col("verdict").alias("rule_verdict"),
         text.alias("rule"),
         F.length("host").alias("rule_host_len"),
+        F.size(F.split("host", r"\.")).alias("rule_labels"),
         F.length("path").alias("rule_path_len"),
         F.sha2(F.concat_ws("\x00", "host", "path"), 256).alias("rule_digest"),
     ).withColumn("prefix", F.substring("rule_digest", 1, PREFIX_HEX))
@@ -46,9 +47,11 @@ def rule_table(rules: DataFrame) -> DataFrame:
 
 def expressions(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(host, path) rows expanded to the digests of their host suffixes and path prefixes."""
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
+    # Only as many labels as some rule has: few suffixes, however many labels a host has.
+    counts = sorted(r[0] for r in rules.select("rule_labels").distinct().collect())
+    dots = F.length("host") - F.length(F.replace("host", F.lit(".")))
+    suffixes = F.array_compact(
+        F.array(*[F.when(dots >= n - 1, F.substring_index("host", ".", -n)) for n in counts]).cast("array<string>")
     )
     # Distinct lengths only: few, however many rules there are.
     lengths = sorted(r[0] for r in rules.select("rule_path_len").distinct().collect())
