@@ -27,6 +27,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -135,12 +136,15 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _urn(page: str) -> str:
-    return f"<urn:page:{page}>"
+def _urn(page: str | None) -> str:
+    """Any id, percent-encoded; a null id has no part after the name."""
+    return "<urn:page>" if page is None else f"<urn:page:{quote(page, safe='', errors='surrogatepass')}>"
 
 
-def _page(urn: str) -> str:
-    return urn.removeprefix("<urn:page:").removesuffix(">")
+def _page(urn: str) -> str | None:
+    if urn == "<urn:page>":
+        return None
+    return unquote(urn.removeprefix("<urn:page:").removesuffix(">"), errors="surrogatepass")
 
 
 def _clean(value: str) -> str:
@@ -148,7 +152,7 @@ def _clean(value: str) -> str:
     return "".join(c if c >= " " and c != "\x7f" else f"%{ord(c):02X}" for c in value)
 
 
-def record(page: str, url: str | None, payload: bytes, original: str | None = None) -> bytes:
+def record(page: str | None, url: str | None, payload: bytes, original: str | None = None) -> bytes:
     """A response record, or a revisit of the page ``original``; the HTTP header states the payload's length."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if original is not None else http + payload
@@ -205,7 +209,7 @@ def plan_records(pages: DataFrame, id_col: str, url_col: str, html_col: str, min
     newest = rows.groupBy("sha").agg(F.max("page").alias("newest"))
     revisit = (F.octet_length("payload") >= min_bytes) & (F.col("page") < F.col("newest"))
     return rows.join(newest, "sha", "left").select(
-        F.coalesce(F.col("page").cast("string"), F.lit("")).alias("page"),
+        F.col("page").cast("string").alias("page"),
         "url",
         "payload",
         F.when(revisit, F.col("newest").cast("string")).alias("original"),
@@ -239,7 +243,7 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
                     zf.begin(DATA)
                 raw = gzip.compress(record(page, url, bytes(payload), original), 3, mtime=0)
                 entry = {"page": page, "offset": zf.add(raw), "length": len(raw)}
-                index.append(f"{page} {DATE} {json.dumps(entry)}\n".encode())
+                index.append(f"{_urn(page)} {DATE} {json.dumps(entry)}\n".encode())
                 if zf.at > ARCHIVE_BYTES:
                     close()
                     zf = None
@@ -289,11 +293,11 @@ def round_trip(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id", ur
     other empty ones); a null url leaves out the target URI, and control
     characters in an url are percent-encoded; rows that repeat the largest id
     and its payload are all responses; null ids are responses and read back as
-    null.  Other columns are not archived.
+    null, and text ids may hold any characters or be empty.  Other columns are not archived.
     """
     folder = fresh_path(pages.sparkSession, "llm-archives")
     kind = dict(pages.dtypes)[id_col]
     archives = write_out(write_archives(plan_records(pages, id_col, url_col, html_col, min_bytes), folder), "archive-list")
-    id_of = lambda c: F.when(F.col(c) != "", F.col(c)).cast(kind)
+    id_of = lambda c: F.col(c).cast(kind)
     back = read_archives(archives.repartition(max(1, archives.count())), folder)
     return back.withColumns({"page": id_of("page"), "refers_to": id_of("refers_to")})

@@ -103,3 +103,12 @@ def test_damage_is_noticed():
     with pytest.raises(ValueError):
         cut = data[:40] + data[60:]
         warc_zip.members(io.BytesIO(cut), len(cut))
+
+
+def test_text_ids_of_any_characters(spark):
+    ids = ["a b", "a\nb", "a\r\nWARC-Type: x", "", None, "é%20 {", "x"]
+    pages = spark.createDataFrame([(i, "http://x", f"<p>{n % 4}</p>") for n, i in enumerate(ids)], "page_id string, url string, html string")
+    got = {r.page: (r.record_type, r.refers_to, r.payload_bytes) for r in warc_zip.round_trip(pages).collect()}
+    assert set(got) == set(ids) and got[None] == ("response", None, 8)
+    assert got["a b"] == ("response", None, 8)  # the same payload as the null id, which is no larger
+    assert got["a\nb"] == ("revisit", "é%20 {", 8) and got["a\r\nWARC-Type: x"] == ("revisit", "x", 8) and got[""] == ("response", None, 8)
