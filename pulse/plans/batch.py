@@ -11,9 +11,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulse.operators import counts, filters, heavy, keyed, sentiment, shape, sketches, tracks
+from pulse.operators import counts, filters, heavy, keyed, report, sentiment, shape, sketches, tracks
+from pulse.session import fresh_path
+from pulse.sources import variant
 from pulse.sources.lexicon import FIXTURE_LEXICON, first_wins, fixture_lexicon
 from pulse.sources.statuses import deliveries, flat_statuses, status_records
+from pulse.streaming.replay import drifting_lines
 
 # --- fixed values: parameters of the registered test queries (FIXTURES.md) --
 TEST_TRACK_A = ("attion", "thble", "eriner")
@@ -292,3 +295,22 @@ def tracks_many(spark, sf_dir):
     """F7 / F8 with the country filter: English statuses from the US on each of 2,000 keyword tracks."""
     found = tracks.on_tracks(filters.us_english(statuses(spark, sf_dir)), many_keywords(spark, sf_dir))
     return counts.count_by(found, "keyword", "keyword", "n_statuses")
+
+
+# ---- filters' report, raw lines --------------------------------------------------------
+
+def filter_report(spark, sf_dir):
+    """What the three filters of the hashtag job take in, keep and drop."""
+    return report.filter_report(statuses(spark, sf_dir), report.us_english_steps())
+
+
+def _raw_lines(spark, sf_dir):
+    """Stand-in for a raw feed: the statuses as written JSON lines, read back as text."""
+    path = fresh_path(spark, "raw-lines")
+    drifting_lines(statuses(spark, sf_dir)).write.text(path)
+    return spark.read.text(path)
+
+
+def raw_status_rows(spark, sf_dir):
+    """SRC1 + P8: status rows from raw lines with unknown, missing and retyped fields."""
+    return shape.status_rows(filters.by_lang(variant.from_variant(_raw_lines(spark, sf_dir))))

@@ -246,6 +246,12 @@ SELECT keyword, count(*) AS n_statuses FROM us JOIN (
  SELECT DISTINCT keyword FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS keyword FROM documents)
  WHERE length(keyword) >= 4 ORDER BY md5(keyword) LIMIT 2000) ON contains(lower(text), keyword)
 GROUP BY keyword""",
+    "filter_report": """
+SELECT 'lang' AS step, (SELECT count(*) FROM statuses) AS rows_in, (SELECT count(*) FROM en) AS kept,
+ (SELECT count(*) FROM statuses) - (SELECT count(*) FROM en) AS dropped
+UNION ALL SELECT 'place', count(*), count(place_id), count(*) - count(place_id) FROM en
+UNION ALL SELECT 'country', count(place_id), (SELECT count(*) FROM us), count(place_id) - (SELECT count(*) FROM us) FROM en""",
+    "raw_status_rows": f"SELECT {_STATUS_ROW} FROM en",
 }
 
 

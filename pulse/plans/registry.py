@@ -55,6 +55,8 @@ BATCH_QUERIES: dict[str, Query] = {
         "heavy_hashtags",
         "distinct_users_by_span",
         "tracks_many",
+        "filter_report",
+        "raw_status_rows",
     )
 }
 

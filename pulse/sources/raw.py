@@ -16,13 +16,13 @@ from pulse.schema import STATUS, USER
 RAW_DATE = "MMM dd HH:mm:ss Z yyyy"  # after the day of the week and a space
 _POINT = "struct<coordinates:array<double>>"
 _PLACE = "struct<id:string,country:string,country_code:string,full_name:string,name:string,place_type:string,url:string>"
-_NAMES = {"profile_image_url": "profile_image_url_https"}  # where they differ from the record's
+RAW_NAMES = {"profile_image_url": "profile_image_url_https"}  # where they differ from the record's
 # -----------------------------------------------------------------------------
 
 
 def _user_type() -> str:
     kinds = {"created_at": "string"}
-    return "struct<" + ",".join(f"{_NAMES.get(f.name, f.name)}:{kinds.get(f.name, f.dataType.simpleString())}" for f in USER.fields) + ">"
+    return "struct<" + ",".join(f"{RAW_NAMES.get(f.name, f.name)}:{kinds.get(f.name, f.dataType.simpleString())}" for f in USER.fields) + ">"
 
 
 def raw_schema() -> T.StructType:
@@ -52,7 +52,7 @@ def from_raw(raw: DataFrame) -> DataFrame:
     """Rows of ``raw_schema`` as status records; the session's zone must be UTC."""
     user = F.struct(
         *[
-            (_date(F.col("user.created_at")) if f.name == "created_at" else F.col(f"user.{_NAMES.get(f.name, f.name)}"))
+            (_date(F.col("user.created_at")) if f.name == "created_at" else F.col(f"user.{RAW_NAMES.get(f.name, f.name)}"))
             .cast(f.dataType)
             .alias(f.name)
             for f in USER.fields

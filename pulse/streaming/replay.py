@@ -16,13 +16,14 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from pulse.schema import STATUS
 from pulse.session import app_id, exists, fresh_path
 from pulse.settings import DEFAULT_COUNTRY_CODE, DEFAULT_LANG
-from pulse.sources.raw import from_raw, raw_schema
+from pulse.sources.raw import RAW_DATE, RAW_NAMES, from_raw, raw_schema
 from pulse.sources.statuses import status_records
+from pulse.sources.variant import LINE, from_variant
 
 DEFAULT_SLICES = 4
 SLICE_COL = "_slice"
@@ -112,6 +113,11 @@ def closed_runs(base: str, slices: int = DEFAULT_SLICES) -> list[str]:
     return [*slice_runs(base, slices), f"{base}/{SLICE_COL}{{{names}}}/*.parquet"]
 
 
+def all_closed(base: str) -> str:
+    """Glob over every replay file and the closing status."""
+    return f"{base}/{SLICE_COL}*/*.parquet"
+
+
 #: Where a row came from: rows of a batch sort by it in order of arrival.
 ARRIVAL = ("_file_time", "_file", "_block")
 
@@ -122,24 +128,28 @@ def status_stream(
     """SRC1: a streaming DataFrame of status records from a folder of files.
 
     ``fmt`` is ``parquet`` (columnar, pushdown), ``json`` (one status record per
-    line) or ``raw`` (one raw status per line, see ``sources.raw``); the
+    line), ``raw`` (one raw status per line, see ``sources.raw``) or ``variant``
+    (the same, with fields that drift, see ``sources.variant``); the
     declared schema means no inference pass.
     A line that is no status fails the stream; ``mode="PERMISSIVE"`` reads it
     as a status without values (see ``bad_lines``).
     ``files_per_trigger=None`` takes every new file in one micro-batch.
     """
-    reader = spark.readStream.schema(raw_schema() if fmt == "raw" else STATUS)
+    schema = raw_schema() if fmt == "raw" else f"{LINE} string" if fmt == "variant" else STATUS
+    reader = spark.readStream.schema(schema)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if fmt != "parquet":
         reader = reader.option("mode", mode)
-    rows = reader.format("json" if fmt == "raw" else fmt).load(path)
+    rows = reader.format({"raw": "json", "variant": "text"}.get(fmt, fmt)).load(path)
     rows = rows.select(
         "*",
         F.col("_metadata.file_modification_time").alias("_file_time"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
     )
+    if fmt == "variant":
+        return from_variant(rows, mode)
     return from_raw(rows) if fmt == "raw" else rows
 
 
@@ -156,6 +166,37 @@ def bad_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.where(F.trim("line") != "").where(parsed["_bad"].isNotNull())
 
 
+RAW_DATE_OUT = "EEE " + RAW_DATE.replace("Z", "'+0000'")  # records hold UTC wall clocks
+
+
+def drifting_lines(statuses: DataFrame) -> DataFrame:
+    """Status records as raw lines of a feed whose fields drift, for replays.
+
+    By id, numbers come as numbers, as text or as decimals, truth values as
+    text, an unknown field comes and goes, and null fields are left out.
+    """
+    third = F.col("id") % 3
+    raw_date = lambda c: F.date_format(c, RAW_DATE_OUT)
+    user = [raw_date("user.created_at").alias(n) if n == "created_at" else F.col(f"user.{n}").alias(RAW_NAMES.get(n, n)) for n in STATUS["user"].dataType.names]
+    made = {
+        "created_at": raw_date("created_at"),
+        "entities": F.struct(F.transform("hashtags", lambda t: F.struct(t.alias("text"))).alias("hashtags")),
+        "extended_entities": F.struct(F.transform("media", lambda m: F.struct(m.alias("expanded_url"))).alias("media")),
+        "geo": F.when(F.col("geo").isNotNull(), F.struct(F.array("geo.latitude", "geo.longitude").alias("coordinates"))),
+        "user": F.struct(*user),
+    }
+    same = [f.name for f in STATUS.fields if f.name not in (*made, "hashtags", "media")]
+
+    def form(retyped: dict[str, str], *extra) -> Column:
+        columns = {c: F.col(c) for c in same} | made
+        return F.to_json(F.struct(*[(x.cast(retyped[c]) if c in retyped else x).alias(c) for c, x in columns.items()], *extra))
+
+    numbers = ("id", "favorite_count", "retweet_count", "in_reply_to_user_id")
+    as_text = form({c: "string" for c in (*numbers, "truncated", "favorited")})
+    as_decimal = form({c: "decimal(22,1)" for c in numbers[1:]}, F.struct("lang").alias("an_unknown_field"))
+    return statuses.select(F.when(third == 0, form({})).when(third == 1, as_text).otherwise(as_decimal).alias(LINE))
+
+
 def with_event_time(statuses: DataFrame, delay: str | None = None) -> DataFrame:
     """``created_at`` as TIMESTAMP (watermarks reject TIMESTAMP_NTZ), plus a watermark."""
     out = statuses.withColumn("created_at", F.col("created_at").cast("timestamp"))

@@ -13,8 +13,8 @@ from pulse.operators import shape
 from pulse.operators.keyed import RowLog
 from pulse.plans import batch
 from pulse.session import fresh_path
-from pulse.streaming import jobs, stateful
-from pulse.streaming.replay import closed_runs, reversed_runs, slice_runs, stage_closing, stage_deliveries, stage_replay
+from pulse.streaming import closed, jobs, report, stateful
+from pulse.streaming.replay import all_closed, closed_runs, reversed_runs, slice_runs, stage_closing, stage_deliveries, stage_replay
 
 # --- fixed values: parameters of the registered test queries -----------------
 CLOSE_AFTER = "365 days"  # the closing status after the last one
@@ -64,6 +64,18 @@ def stream_hashtag_counts_by_interval(spark, sf_dir):
     return jobs.hashtag_counts_by_interval(spark, _stream(spark, sf_dir), batch.TEST_INTERVAL)
 
 
+def stream_closed_hashtag_counts(spark, sf_dir):
+    """Closed intervals and what came late, from a replay that runs backwards in time: most statuses are late."""
+    base = stage_replay(spark, sf_dir)
+    stage_closing(spark, base, CLOSE_AFTER)
+    return closed.hashtag_counts(spark, [*reversed_runs(base), all_closed(base)], batch.TEST_INTERVAL).exact()
+
+
+def stream_batch_report(spark, sf_dir):
+    """What the three filters of the hashtag job took in, kept and dropped, over all batches."""
+    return report.totals(report.us_hashtags(spark, _stream(spark, sf_dir))[1])
+
+
 def stream_hashtag_counts(spark, sf_dir):
     """Counters take every status: the replay runs backwards in time."""
     return jobs.hashtag_counts(spark, reversed_runs(stage_replay(spark, sf_dir)), batch.TEST_INTERVAL)
@@ -137,6 +149,8 @@ def stream_fanout(spark, sf_dir):
 #: Each stream query with the batch query whose oracle it shares.
 STREAM_ORACLE = {
     "stream_hashtag_counts_by_interval": "hashtag_counts_by_interval",
+    "stream_closed_hashtag_counts": "hashtag_counts_by_interval",
+    "stream_batch_report": "filter_report",
     "stream_top_hashtags_by_interval": "top_hashtags_by_interval",
     "stream_running_user_counts": "running_user_counts",
     "stream_unique_user_counts": "user_counts",
