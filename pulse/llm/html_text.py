@@ -8,16 +8,22 @@
    articles, are concatenated, a separator after each page.  Sorted suffixes put
    equal substrings side by side; those of ``MIN_REPEAT`` tokens or more that
    occur on ``MIN_PAGES`` distinct pages and a ``MIN_SHARE`` of the host's pages
-   are repeats.  A host with more
-   tokens than ``CHUNK_TOKENS`` is dealt to several arrays; each array reports
+   are repeats.  A host's pages fall into ``BUCKETS`` by key, and successive
+   buckets of about ``CHUNK_TOKENS`` make an array; each array reports
    its prefixes of ``MIN_REPEAT`` tokens, equal ones together, and prefixes of
    different arrays meet by an equi-join, so the result does not depend on how a
    host was cut.  (A token lies in a repeated substring
    of at least that length if and only if it lies in a repeated prefix.)
-3. *Keep.*  An open block that repeated substrings cover is removed; of a partly
-   covered one, covered runs of ``LONG_RUN`` tokens or more are.  A page that
-   nothing would be left of keeps its open blocks.  Marked articles stay whole,
-   also where two pages of a host carry the same article.
+3. *Keep.*  An open block that repeated substrings cover from end to end is
+   removed; one with words of its own stays whole, so a quotation that many pages
+   have is not cut out of a sentence.  A page that nothing would be left of keeps
+   its open blocks.  Blocks of a marked article stay, also where two pages of a
+   host carry the same article; only what is marked as boilerplate inside goes.
+
+An element is marked by its name, by being hidden, or by a class, id or role
+name: the whole name, or all words of a hyphenated one, must be words for
+boilerplate or for boxes (``cookie-notice``, ``ad-box``; not ``notice-board``,
+``related-work``).
 
 On pages that mark their article, marks decide and the suffix array only
 confirms them; on other pages it decides what is left.
@@ -25,26 +31,29 @@ confirms them; on other pages it decides what is left.
 Defined cases: a null or empty html gives an empty text; unclosed and crossed
 tags close as browsers do, roughly: an end tag closes the innermost open
 element of its name, if any; rows that repeat a page (id, url and html) are one
-page to the suffix array; a null url has the empty host.
+page to the suffix array; a null url has the empty host; very long pages take
+time in proportion to their length, however deep or crossed their elements;
+only the id and url columns are returned, so other columns may have any name.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pulse.llm.common import write_out
 from pulse.llm.url_filter import host_of
 
 MIN_REPEAT = 6  # tokens
 MIN_PAGES, MIN_SHARE = 3, 0.1  # of a host: phrases that fewer pages have are no boilerplate
-LONG_RUN = 30  # tokens that are cut out of a block
 CHUNK_TOKENS = 500_000
+BUCKETS = 4096  # of a host's pages; more than a host needs arrays, or the arrays get longer
 
 # Element names of the HTML standard.
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp")
@@ -66,6 +75,12 @@ MARKS = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget widgets related recommended share sharing social "
     "footer header masthead copyright pagination pager search toolbar skip complementary contentinfo hidden".split()
 )
+#: Words that say nothing of what a box holds, beside a mark in a hyphenated name.
+BOXES = frozenset(
+    "area bar block bottom box col column container content global group holder inner item layer left link links list "
+    "main outer page panel primary right secondary section site slot strip sub top unit wrap wrapper".split()
+)
+MARKED_OR_BOX = MARKS | BOXES
 NEVER_MARKED = frozenset("html body article main".split())
 #: The page's own header inside its article holds the title and stays.
 KEPT_IN_ARTICLE = frozenset(["header"])
@@ -76,17 +91,27 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_WORD = re.compile(r"[a-z0-9]+")
+_PART = re.compile(r"[a-z]+")
+_END = {name: re.compile(f"</{name}", re.I | re.A) for name in RAW}
 _SPACE = re.compile(r"\s+")
 
 
+def _named(names: str) -> bool:
+    """Whether one of the names, or all parts of it, are words for boilerplate or for boxes, and one is a mark."""
+    for name in names.split():
+        parts = _PART.findall(name)
+        if not MARKS.isdisjoint(parts) and MARKED_OR_BOX.issuperset(parts):
+            return True
+    return False
+
+
 def _marked(attributes: str) -> bool:
     """Whether class, id or role name boilerplate, or the element is hidden."""
     if "=" not in attributes and "hidden" not in attributes:
         return False
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
-        if name in ("class", "id", "role") and not MARKS.isdisjoint(_WORD.findall(value)):
+        if name in ("class", "id", "role") and _named(value):
             return True
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
@@ -100,6 +125,7 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
     out: list[tuple[str, bool, bool]] = []
     parts: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # element, article, boilerplate: of what it contains
+    opened: Counter[str] = Counter()  # the elements in the stack, so that an end tag of none need not search it
     article = dropped = False
 
     def flush() -> None:
@@ -110,7 +136,7 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
                 out.append((text, article, dropped))
 
     page = page or ""
-    low, at = None, 0
+    at = 0
     while True:
         m = _TOKEN.search(page, at)
         if m is None:
@@ -122,24 +148,24 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
             continue
         name = m[2].lower()
         if m[1]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if depth is None:
+            if not opened[name]:
                 if name in BLOCKS:
                     flush()
                 continue
+            depth = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name)
             before = stack[depth - 1][1:] if depth else (False, False)
             if name in BLOCKS or before != (article, dropped):
                 flush()
+            opened.subtract(e[0] for e in stack[depth:])  # what was searched goes: each element is once
             del stack[depth:]
             article, dropped = before
             continue
         if name in BLOCKS:
             flush()
         if name in RAW and not m[3].endswith("/"):
-            low = page.lower() if low is None else low
-            end = low.find(f"</{name}", at)
+            end = _END[name].search(page, at)
             # An element that never ends hides the rest of the page.
-            at = len(page) if end < 0 else (page.find(">", end) + 1 or len(page))
+            at = len(page) if end is None else (page.find(">", end.start()) + 1 or len(page))
             continue
         if name in VOID or m[3].endswith("/"):
             continue
@@ -154,7 +180,9 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
         if name == "p":  # a paragraph ends where the next begins
             if stack and stack[-1][0] == "p":
                 stack.pop()
+                opened["p"] -= 1
         stack.append((name, in_article, drop))
+        opened[name] += 1
         article, dropped = in_article, drop
     flush()
     return out
@@ -246,10 +274,13 @@ def parse(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFra
 def repeats(parsed: DataFrame, length: int, least: int = 2, share: float = 0.0) -> DataFrame:
     """(key, starts): places in a page's stream where substrings begin that ``least`` pages and a ``share`` of the host's have."""
     streams = parsed.select("host", "key", "stream").where(F.size("stream") >= length).dropDuplicates(["host", "key"])
-    sizes = streams.groupBy("host").agg(F.sum(F.size("stream")).alias("total"), F.count(F.lit(1)).alias("of"))
-    # A host's pages are dealt to as many arrays as its tokens need.
-    chunk = F.pmod(F.xxhash64("key"), F.greatest(F.lit(1), F.ceil(F.col("total") / CHUNK_TOKENS)))
-    dealt = streams.join(sizes, "host").withColumn("chunk", chunk).select("host", "chunk", "key", "stream", "of")
+    streams = streams.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)))
+    # A host has at most BUCKETS rows here, whatever its pages; streams meet them by host and bucket.
+    sizes = streams.groupBy("host", "bucket").agg(F.sum(F.size("stream")).alias("tokens"), F.count(F.lit(1)).alias("n"))
+    host = Window.partitionBy("host")
+    before = F.coalesce(F.sum("tokens").over(host.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    arrays = sizes.select("host", "bucket", F.floor(before / CHUNK_TOKENS).alias("chunk"), F.sum("n").over(host).alias("of"))
+    dealt = streams.join(arrays, ["host", "bucket"]).select("host", "chunk", "key", "stream", "of")
 
     def array(group: pd.DataFrame) -> pd.DataFrame:
         found = repeated_prefixes(list(group["stream"]), group["key"].tolist(), length)
@@ -271,20 +302,8 @@ def repeats(parsed: DataFrame, length: int, least: int = 2, share: float = 0.0)
     return prefixes.join(shared, ["host", "prefix"]).groupBy("host", "key").agg(F.collect_list("start").alias("starts"))
 
 
-def _long_runs(gone: list[bool], length: int) -> list[bool]:
-    """The runs of true of ``length`` or more."""
-    out, run = [], 0
-    for g in [*gone, False]:
-        if g:
-            run += 1
-            continue
-        out += [run >= length] * run + [False]
-        run = 0
-    return out[:-1]
-
-
 def unique_runs(blocks_, starts, length: int) -> str:
-    """The text of the kept blocks and of the uncovered runs of the open ones."""
+    """The text of the kept blocks and of the open ones that have uncovered words."""
     covered: set[int] = set()
     for s in () if starts is None else starts:
         covered.update(range(int(s), int(s) + length))
@@ -294,13 +313,8 @@ def unique_runs(blocks_, starts, length: int) -> str:
         if b["keep"]:
             out.append(b["text"])
             continue
-        if b["open"]:
-            gone = [k in covered for k in range(at, at + len(words))]
-            if not all(gone):  # phrases that other pages have too are the block's own
-                gone = _long_runs(gone, LONG_RUN)
-            left = " ".join(w for w, g in zip(words, gone) if not g)
-            if left:
-                out.append(left)
+        if b["open"] and not all(k in covered for k in range(at, at + len(words))):
+            out.append(b["text"])  # phrases that other pages have too are the block's own
         at += len(words)  # blocks outside the article make up the stream
     return " ".join(out or [b["text"] for b in blocks_ if b["open"]])  # a body that other pages have too is still a body
 

@@ -3,7 +3,7 @@
 import html
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -42,6 +42,9 @@ def text(page):
         ("<article>open <p>ended", "open ended"),
         ("<article><div role=complementary>r<div>s</div></div>t <script>never ends", "t"),
         ("<main><p style='display: none'>x</p><p>1 < 2 & 3</p></main>", "1 < 2 & 3"),
+        ("<article><p class='notice-board'>a</p><div class='search-history'>b</div><section id=related-work>c</section></article>", "a b c"),
+        ("<article><div class='comment-list'>x</div><div id='site_footer'>y</div><p class='ad1 big'>z</p><p class='menu-'>m</p>t</article>", "t"),
+        ("<article>İİ<script>x</script>b</article>", "İİb"),
         ("", ""),
         (None, ""),
         ("plain", ""),
@@ -111,3 +114,42 @@ def test_unmarked_pages_of_a_large_host_keep_phrases_and_equal_bodies(spark):
     df = spark.createDataFrame(pages, "page_id long, url string, html string, host int")
     got = {r.page_id: r.text for r in html_text.extract(df).collect()}
     assert got == body | {k: equal for k in range(200, 204)}
+
+
+def test_a_quotation_that_many_pages_have_stays_in_its_sentence(spark):
+    quote = " ".join(f"q{k}" for k in range(40))
+    pages = [(k, "http://a.org/", f"<p>intro {k} quotes {quote} and goes on with text {k}</p>") for k in range(30)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"intro {k} quotes {quote} and goes on with text {k}" for k in range(30)}
+
+
+def test_very_long_pages_take_time_in_proportion():
+    import time
+
+    start = time.time()
+    n = 100_000
+    assert text("<article>" + "<b>" * n + "x" + "</i>" * n + "</b>" * n + "y</article>") == "xy"
+    assert text("<article>" + "<div><b></div>" * n + "z") == "z"
+    assert text("<article>" + "<script>a</script>" * n + "z") == "z"
+    assert time.time() - start < 20
+
+
+def test_unmarked_corpus_precision_and_recall(spark):
+    """No marks at all: menus, notices and footers of a host are shared in parts, bodies have common phrases."""
+    rng = random.Random(3)
+    phrases = [" ".join(f"c{k}{j}" for j in range(8)) for k in range(15)]
+    pages, want = [], {}
+    for k in range(240):
+        host = "big.org" if k < 160 else f"h{k % 4}.org"
+        menu = " ".join(f"{host}m{j}" for j in range(10))
+        notices = [" ".join(f"{host}n{v}{j}" for j in range(12)) for v in range(3)]  # a third of the pages each
+        body = [" ".join([*(f"w{rng.randrange(3000)}" for _ in range(25)), rng.choice(phrases), f"u{k}"]) for _ in range(6)]
+        if k % 10 == 0:
+            body = [f"short body {k}"]
+        want[k] = " ".join(body).split()
+        marked_up = f"<div>{menu}</div><div>{notices[k % 3]}</div>" + "".join(f"<p>{b}</p>" for b in body) + f"<div>{menu[::-1]} end of page</div>"
+        pages.append((k, f"http://{host}/{k}", f"<html><body>{marked_up}</body></html>"))
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text.split() for r in html_text.extract(df).collect()}
+    right = sum(sum((Counter(got[k]) & Counter(want[k])).values()) for k in want)
+    assert right / sum(map(len, got.values())) >= 0.95 and right / sum(map(len, want.values())) >= 0.95
