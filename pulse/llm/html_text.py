@@ -8,8 +8,8 @@
    articles, are concatenated, a separator after each page.  Sorted suffixes put
    equal substrings side by side; those of ``MIN_REPEAT`` tokens or more that
    occur on ``MIN_PAGES`` distinct pages and a ``MIN_SHARE`` of the host's pages
-   are repeats.  A host's pages fall into ``BUCKETS`` by key, and successive
-   buckets of about ``CHUNK_TOKENS`` make an array; each array reports
+   are repeats.  A host's pages are dealt by key to as many arrays of about
+   ``CHUNK_TOKENS`` as its tokens need; each array reports
    its prefixes of ``MIN_REPEAT`` tokens, equal ones together, and prefixes of
    different arrays meet by an equi-join, so the result does not depend on how a
    host was cut.  (A token lies in a repeated substring
@@ -52,8 +52,8 @@ from pulse.llm.url_filter import host_of
 
 MIN_REPEAT = 6  # tokens
 MIN_PAGES, MIN_SHARE = 3, 0.1  # of a host: phrases that fewer pages have are no boilerplate
-CHUNK_TOKENS = 500_000
-BUCKETS = 4096  # of a host's pages; more than a host needs arrays, or the arrays get longer
+CHUNK_TOKENS = 32_768
+BUCKETS = 4096  # of a host's pages, which learn their host's size by host and bucket
 
 # Element names of the HTML standard.
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp")
@@ -278,9 +278,9 @@ def repeats(parsed: DataFrame, length: int, least: int = 2, share: float = 0.0)
     # A host has at most BUCKETS rows here, whatever its pages; streams meet them by host and bucket.
     sizes = streams.groupBy("host", "bucket").agg(F.sum(F.size("stream")).alias("tokens"), F.count(F.lit(1)).alias("n"))
     host = Window.partitionBy("host")
-    before = F.coalesce(F.sum("tokens").over(host.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    arrays = sizes.select("host", "bucket", F.floor(before / CHUNK_TOKENS).alias("chunk"), F.sum("n").over(host).alias("of"))
-    dealt = streams.join(arrays, ["host", "bucket"]).select("host", "chunk", "key", "stream", "of")
+    sizes = sizes.select("host", "bucket", F.sum("tokens").over(host).alias("total"), F.sum("n").over(host).alias("of"))
+    chunk = F.pmod(F.xxhash64("key", "host"), F.ceil(F.col("total") / CHUNK_TOKENS))
+    dealt = streams.join(sizes, ["host", "bucket"]).select("host", chunk.alias("chunk"), "key", "stream", "of")
 
     def array(group: pd.DataFrame) -> pd.DataFrame:
         found = repeated_prefixes(list(group["stream"]), group["key"].tolist(), length)
