@@ -54,7 +54,7 @@ BEGIN, END = b" ", b""  # never words: a word is neither empty nor blank
 WORD_END = re.compile(r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")  # words end at ASCII white space alone
 DISCOUNT = 0.75
 BLOCK = 1 << 16  # entries coded together
-GROUP_TOKENS = 1_500_000  # tokens that a task looks up at once
+GROUP_TOKENS = 4_000_000  # tokens that a task looks up at once: fewer groups decode the model less often
 HELD_WORDS = 400_000  # distinct words that a counting task holds before it ships them
 SHARD_CHARS = 48 << 20  # characters of training text a level 1 shard
 SHARD_BIGRAMS = 2_000_000  # bigram tokens expected a level 2 shard
