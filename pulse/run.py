@@ -39,7 +39,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--track-a", default=",".join(TRACK_A_KEYWORDS))
     ap.add_argument("--track-b", default=",".join(TRACK_B_KEYWORDS))
     ap.add_argument("--preview", type=int, default=PREVIEW_ROWS)
-    ap.add_argument("--format", default="parquet", choices=["parquet", "json", "raw"], help="status file format")
+    ap.add_argument("--format", default="parquet", choices=["parquet", "json", "raw", "variant"], help="status file format")
     ap.add_argument("--files-per-trigger", type=int, default=None, help="files a micro-batch takes (default: all new ones)")
     ap.add_argument("--state-partitions", type=int, default=None)
     ap.add_argument("--bad-lines", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"])
