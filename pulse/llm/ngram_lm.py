@@ -29,7 +29,7 @@ driver sees one line a shard.
 Defined cases: null texts are empty (one end token); rows that repeat a text
 are counted each time when learning; without training texts every token has
 probability 1 by the base formula (N = V = 0) and the model; null ids are never
-held out.
+held out; a vocabulary of more than 3 billion words is refused (its pairs would not fit 63 bits).
 """
 
 from __future__ import annotations
@@ -463,6 +463,14 @@ def _bigram_logs(v: np.ndarray, w: np.ndarray, numbers: Numbers, successors: Suc
     return np.log10(p)[back]
 
 
+def pair_base(distinct: int) -> int:
+    """What a pair's key multiplies its context with; a vocabulary whose keys would not fit 63 bits is refused."""
+    base = distinct + 1
+    if base * base >= 1 << 63:
+        raise ValueError(f"{distinct} distinct words are too many for pairs in 63 bits")
+    return base
+
+
 def train(texts: DataFrame, text_col: str = "text") -> BigramModel:
     """Learns from every row of ``texts``."""
     spark = texts.sparkSession
@@ -472,7 +480,7 @@ def train(texts: DataFrame, text_col: str = "text") -> BigramModel:
     words = _merge(_count_words(texts, bits), "vocabulary", write_vocabulary)
     level1 = ([w[:4] for w in words], bits)
     shared = spark.sparkContext.broadcast(level1)
-    base = sum(w[2] for w in words) + 1
+    base = pair_base(sum(w[2] for w in words))
 
     def write(path: str, keys: np.ndarray, counts: np.ndarray) -> None:
         vocabulary = Vocabulary(*shared.value)

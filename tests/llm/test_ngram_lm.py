@@ -195,3 +195,9 @@ def test_edges(spark):
     assert {(r.s.n_tokens, r.s.base_score, r.s.score) for r in some.select(model.score(F.col("text")).alias("s")).collect()} == {(3, 0.0, 0.0), (1, 0.0, 0.0)}
     trained = ngram_lm.train(some)
     assert empty.select(trained.score(F.col("text")).alias("s")).count() == 0
+
+
+def test_too_many_distinct_words_are_refused():
+    assert ngram_lm.pair_base(3_000_000_000) == 3_000_000_001
+    with pytest.raises(ValueError):
+        ngram_lm.pair_base(3_100_000_000)
