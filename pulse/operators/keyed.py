@@ -43,6 +43,31 @@ def latest_by_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str |
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+REPEATED_BITS = 27  # of the bitmap of repeated keys, 16 MB at most
+
+
+def latest_of_repeats(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """``latest_by_key`` of wide rows most of whose keys come once: those rows are not shuffled.
+
+    Keys with several rows are found by a narrow count and marked, by hash, in
+    a bitmap of a fixed size that is broadcast.  Rows whose key is not marked
+    are the only ones of their key; the others, and the few whose key shares a
+    mark, are compared.  ``df`` is computed for each of the three steps.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    place = F.pmod(F.xxhash64(*keys), F.lit(1 << REPEATED_BITS))
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(place.alias("_place"))
+    bits = repeated.groupBy(F.bitmap_bucket_number("_place").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits")
+    )
+    at = {"_bucket": F.bitmap_bucket_number(place), "_at": F.bitmap_bit_position(place).cast("int")}
+    byte = "cast(conv(hex(substring(_bits, _at div 8 + 1, 1)), 16, 10) as int)"
+    marked = F.expr(f"coalesce(shiftright({byte}, _at % 8) & 1, 0) = 1")
+    rows = df.withColumns(at).join(F.broadcast(bits), "_bucket", "left").withColumn("_marked", marked)
+    single, several = (rows.where(c).select(*df.columns) for c in (~F.col("_marked"), F.col("_marked")))
+    return single.unionByName(latest_by_key(several, keys, order))
+
+
 def counter_totals(increments: DataFrame, key: str | Sequence[str], amount: str, total_name: str | None = None) -> DataFrame:
     """K2 read: the sum of all increments per key."""
     keys = [key] if isinstance(key, str) else list(key)

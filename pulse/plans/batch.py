@@ -246,7 +246,7 @@ def created_at_text(spark, sf_dir):
 def upsert_statuses(spark, sf_dir):
     """K1: the status table after all deliveries; a later delivery wins."""
     rows = shape.status_rows(deliveries(english(spark, sf_dir)), carry=(F.col("delivery_no"),))
-    return keyed.latest_by_key(rows, "id", ["delivery_no"]).drop("delivery_no")
+    return keyed.latest_of_repeats(rows, "id", ["delivery_no"]).drop("delivery_no")
 
 
 def _order():

@@ -1,5 +1,7 @@
 """Row logs: idempotent batches, merge-on-read, counters, compaction; lexicon reader."""
 
+import pytest
+
 from pulse.operators import keyed
 from pulse.session import fresh_path
 from pulse.sources.lexicon import first_wins, read_lexicon
@@ -115,3 +117,18 @@ def test_day_partitioned_log_prunes_on_read(spark):
         pruned.explain("formatted")
     assert "PartitionFilters: [isnotnull(day" in buf.getvalue()
     assert [r["k"] for r in pruned.collect()] == ["b"]
+
+
+@pytest.mark.parametrize("bits", [27, 15, 3])
+def test_latest_of_repeats_is_latest_by_key_and_shuffles_no_single_rows(spark, monkeypatch, bits):
+    from pulse.operators import keyed
+
+    monkeypatch.setattr(keyed, "REPEATED_BITS", bits)
+    data = [(i % 700, i, f"text {i}") for i in range(1000)] + [(None, 1, "a"), (None, 2, "b"), (-(2**60), 5, None)]
+    df = spark.createDataFrame(data, "id long, n long, text string").repartition(5)
+    got = keyed.latest_of_repeats(df, "id", ["n"])
+    key = lambda r: repr(tuple(r))
+    assert got.columns == df.columns
+    assert sorted(got.collect(), key=key) == sorted(keyed.latest_by_key(df, "id", ["n"]).collect(), key=key)
+    once = keyed.latest_of_repeats(df.where("id >= 0 and n < 700"), "id", ["n"])
+    assert once.count() == 700
