@@ -307,7 +307,7 @@ def filter_report(spark, sf_dir):
 def _raw_lines(spark, sf_dir):
     """Stand-in for a raw feed: the statuses as written JSON lines, read back as text."""
     path = fresh_path(spark, "raw-lines")
-    drifting_lines(statuses(spark, sf_dir)).write.text(path)
+    drifting_lines(statuses(spark, sf_dir)).write.text(path, compression="gzip")
     return spark.read.text(path)
 
 

@@ -96,3 +96,9 @@ def test_sentiment_of_stored_statuses_is_one_scan_without_a_shuffle(spark, sf_sm
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()  # as it ran
     assert plan.count("FileScan parquet") == 1 and "Exchange" not in plan
+
+
+def test_raw_lines_are_written_compressed(spark, sf_small):
+    lines = batch._raw_lines(spark, sf_small)
+    assert lines.count() == batch.statuses(spark, sf_small).count()
+    assert all(f.endswith(".gz") for f in lines.inputFiles())
