@@ -57,9 +57,15 @@ def status_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _build_status_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read_table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", "value"
-    )
+    return statuses_of(spark, sf_dir, read_table(spark, sf_dir, "events"))
+
+
+def statuses_of(spark: SparkSession, sf_dir: str, events: DataFrame, how: str = "inner", carry: tuple = ()) -> DataFrame:
+    """The status records of ``events`` rows, which may be a stream, with further columns of theirs.
+
+    ``how="left"`` keeps the events without a document.
+    """
+    events = events.select("event_id", "ts", "user_id", "event_type", "value", *carry)
     documents = read_table(spark, sf_dir, "documents")
     # Uncorrelated scalar subquery: evaluated once, no cross join.
     n_docs = documents.select(F.count(F.lit(1))).scalar()
@@ -73,7 +79,7 @@ def _build_status_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events.withColumn("_doc", F.col("event_id") % n_docs).withColumn(
         "_nation", (F.col("event_id") % N_NATIONS).cast("int")
     )
-    j = e.join(docs, e["_doc"] == docs["doc_id"], "inner").join(
+    j = e.join(docs, e["_doc"] == docs["doc_id"], how).join(
         places, e["_nation"] == places["n_nationkey"], "left"
     )
 
@@ -176,6 +182,8 @@ def _build_status_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         geo.alias("geo"),
         place.alias("place"),
         user.alias("user"),
+        *([F.col("doc_id").alias("_found")] if how == "left" else []),
+        *carry,
     )
 
 

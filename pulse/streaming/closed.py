@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pulse.operators import counts, filters, shape
 from pulse.operators.keyed import BATCH_COL, RowLog
 from pulse.session import fresh_path
-from pulse.streaming.jobs import AVAILABLE_NOW, Source, _batches, _drive
+from pulse.streaming.jobs import AVAILABLE_NOW, TAG_FIELDS, Source, _batches, _drive
 
 KEY = ("window_start", "window_end", "tags")
 COUNTS = "window_start timestamp_ntz, window_end timestamp_ntz, tags string, freq long"
@@ -116,5 +116,5 @@ def hashtag_counts(
         finally:
             per_batch.unpersist()
 
-    _drive(spark, "closed_hashtags", source, _batches(handle), trigger, run_seconds, tables.path, tables.logs())
+    _drive(spark, "closed_hashtags", source, _batches(handle, fields=TAG_FIELDS), trigger, run_seconds, tables.path, tables.logs())
     return tables

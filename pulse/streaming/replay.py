@@ -3,7 +3,10 @@
 The reference reads a live network stream; here a stream is a folder of
 parquet files read with ``readStream`` (SRC1).  To replay the driver's tables
 as a stream, the derived statuses are written once, in one parallel job, into
-the shared work folder, split by event time into ``slices`` sub-folders.
+the shared work folder, split by event time into ``slices`` sub-folders.  The
+registered queries replay the ``events`` rows instead (``stage_events``), without
+texts; their stream makes statuses of them as the batch plans do, by a join with
+the documents inside each micro-batch.
 
 Streams whose result does not depend on arrival order read every slice in
 one run.  A watermarked stream runs once per slice on one checkpoint, each
@@ -22,13 +25,17 @@ from pulse.schema import STATUS
 from pulse.session import app_id, exists, fresh_path
 from pulse.settings import DEFAULT_COUNTRY_CODE, DEFAULT_LANG
 from pulse.sources.raw import RAW_DATE, RAW_NAMES, from_raw, raw_schema
-from pulse.sources.statuses import status_records
+from pulse.sources.statuses import status_records, statuses_of
+from pulse.sources.tables import SCHEMAS, read_table
 from pulse.sources.variant import LINE, from_variant
 
 DEFAULT_SLICES = 4
 SLICE_COL = "_slice"
 
-_staged: dict[tuple[str, str, int], str] = {}
+#: Staged events: a repeated delivery adds ``_again`` to the counters, ``_status`` is a status as it stands.
+STAGED = f"{SCHEMAS['events']}, _again int, _status {STATUS.simpleString()}"
+
+_staged: dict[tuple, str] = {}
 
 
 def stage_replay(spark: SparkSession, sf_dir: str, slices: int = DEFAULT_SLICES) -> str:
@@ -47,12 +54,30 @@ def stage_replay(spark: SparkSession, sf_dir: str, slices: int = DEFAULT_SLICES)
     return target
 
 
-def _sliced(statuses: DataFrame, slices: int) -> DataFrame:
-    """Adds the slice index of the event-time range, whose bounds are scalar subqueries over the statuses."""
-    t = F.unix_micros(F.col("created_at").cast("timestamp"))
-    times = statuses.select(t.alias("t"))
+def _sliced(statuses: DataFrame, slices: int, rows: DataFrame | None = None) -> DataFrame:
+    """Adds the slice index of the event-time range, whose bounds are scalar subqueries over the statuses (to ``rows``: events)."""
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    times = statuses.select(micros("created_at").alias("t"))
     lo, hi = times.select(F.min("t")).scalar(), times.select(F.max("t")).scalar()
-    return statuses.withColumn(SLICE_COL, F.least(F.floor((t - lo) * slices / (hi - lo + 1)), F.lit(slices - 1)).cast("int"))
+    t = micros("created_at" if rows is None else "ts")
+    return (statuses if rows is None else rows).withColumn(SLICE_COL, F.least(F.floor((t - lo) * slices / (hi - lo + 1)), F.lit(slices - 1)).cast("int"))
+
+
+def stage_events(spark: SparkSession, sf_dir: str, slices: int = DEFAULT_SLICES, again: bool = False) -> str:
+    """The ``events`` rows in the slices of their statuses; ``again``: with the deliveries of ``stage_deliveries``.
+
+    Staged once per session and input; ``status_stream`` reads them with the format ``events``.
+    """
+    key = (app_id(spark), sf_dir, slices, again)
+    if key in _staged:
+        return _staged[key]
+    target = fresh_path(spark, f"events-{hashlib.sha1(sf_dir.encode()).hexdigest()[:8]}")
+    rows = _sliced(status_records(spark, sf_dir), slices, read_table(spark, sf_dir, "events").drop("props"))
+    if again:
+        rows = _delivered(rows, "event_id", slices)
+    rows.write.partitionBy(SLICE_COL).parquet(target)
+    _staged[key] = target
+    return target
 
 
 def all_slices(base: str) -> str:
@@ -86,16 +111,18 @@ def slice_runs(base: str, slices: int = DEFAULT_SLICES) -> list[str]:
 CLOSING = "_closing"
 
 
-def stage_closing(spark: SparkSession, base: str, after: str) -> None:
+def stage_closing(spark: SparkSession, base: str, after: str, sf_dir: str | None = None) -> None:
     """Adds a status without an author or hashtags, in English from the US, ``after`` the last one of a staged replay.
 
     A stream closes an interval when a later status comes, as on a live feed;
-    at the end of a replay this one closes the last intervals.
+    at the end of a replay this one closes the last intervals.  ``sf_dir``: the
+    replay holds the events of these tables.
     """
     target = f"{base}/{SLICE_COL}{CLOSING}"
     if exists(spark, target):
         return
-    last = spark.read.schema(STATUS).parquet(all_slices(base)).agg(F.max("created_at").alias("t"))
+    statuses = spark.read.schema(STATUS).parquet(all_slices(base)) if sf_dir is None else status_records(spark, sf_dir)
+    last = statuses.agg(F.max("created_at").alias("t"))
     values = {
         "id": F.lit(-1),
         "created_at": F.col("t") + F.expr(f"INTERVAL {after}"),
@@ -104,7 +131,10 @@ def stage_closing(spark: SparkSession, base: str, after: str) -> None:
         "hashtags": F.array(),
     }
     columns = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in STATUS.fields]
-    last.select(*columns).coalesce(1).write.parquet(target)
+    row = last.select(*columns)
+    if sf_dir is not None:
+        row = row.select(F.struct(*STATUS.names).alias("_status"))
+    row.coalesce(1).write.parquet(target)
 
 
 def closed_runs(base: str, slices: int = DEFAULT_SLICES) -> list[str]:
@@ -118,41 +148,57 @@ def all_closed(base: str) -> str:
     return f"{base}/{SLICE_COL}*/*.parquet"
 
 
-#: Where a row came from: rows of a batch sort by it in order of arrival.
+#: Where a row came from: rows of a batch sort by it in order of arrival (``_block``: the row of a Parquet file).
 ARRIVAL = ("_file_time", "_file", "_block")
 
 
 def status_stream(
-    spark: SparkSession, path: str, files_per_trigger: int | None = None, fmt: str = "parquet", mode: str = "FAILFAST"
+    spark: SparkSession, path: str, files_per_trigger: int | None = None, fmt: str = "parquet", mode: str = "FAILFAST", tables: str | None = None
 ) -> DataFrame:
     """SRC1: a streaming DataFrame of status records from a folder of files.
 
     ``fmt`` is ``parquet`` (columnar, pushdown), ``json`` (one status record per
-    line), ``raw`` (one raw status per line, see ``sources.raw``) or ``variant``
-    (the same, with fields that drift, see ``sources.variant``); the
+    line), ``raw`` (one raw status per line, see ``sources.raw``), ``variant``
+    (the same, with fields that drift, see ``sources.variant``) or ``events``
+    (events of the folder ``tables``, see ``stage_events``); the
     declared schema means no inference pass.
     A line that is no status fails the stream; ``mode="PERMISSIVE"`` reads it
     as a status without values (see ``bad_lines``).
     ``files_per_trigger=None`` takes every new file in one micro-batch.
     """
-    schema = raw_schema() if fmt == "raw" else f"{LINE} string" if fmt == "variant" else STATUS
+    columnar = fmt in ("parquet", "events")
+    schema = {"raw": raw_schema(), "variant": f"{LINE} string", "events": STAGED}.get(fmt, STATUS)
     reader = spark.readStream.schema(schema)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    if fmt != "parquet":
+    if not columnar:
         reader = reader.option("mode", mode)
-    rows = reader.format({"raw": "json", "variant": "text"}.get(fmt, fmt)).load(path)
+    rows = reader.format({"raw": "json", "variant": "text", "events": "parquet"}.get(fmt, fmt)).load(path)
     rows = rows.select(
         "*",
         F.col("_metadata.file_modification_time").alias("_file_time"),
         F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
+        F.col("_metadata.row_index" if columnar else "_metadata.file_block_start").alias("_block"),
     )
     if fmt == "variant":
         return from_variant(rows, mode)
+    if fmt == "events":
+        return _from_events(spark, rows, tables)
     return from_raw(rows) if fmt == "raw" else rows
 
 
+def _from_events(spark: SparkSession, rows: DataFrame, tables: str) -> DataFrame:
+    """Staged events as statuses: those with a document, and the ones that are statuses as they stand."""
+    made = statuses_of(spark, tables, rows, how="left", carry=("_again", "_status", *ARRIVAL))
+    ready, again = F.col("_status").isNotNull(), F.coalesce("_again", F.lit(0))
+
+    def field(name: str) -> Column:
+        own = F.col(name) + again if name in COUNTERS else F.col(name)
+        return F.when(ready, F.col(f"_status.{name}")).otherwise(own).alias(name)
+
+    return made.where(ready | F.col("_found").isNotNull()).select(*map(field, STATUS.names), *ARRIVAL)
+
+
 def arrival(batch: DataFrame) -> DataFrame:
     """A micro-batch with ``_line``: its rows' order inside a block."""
     return batch.withColumn("_line", F.monotonically_increasing_id())
@@ -203,6 +249,9 @@ def with_event_time(statuses: DataFrame, delay: str | None = None) -> DataFrame:
     return out.withWatermark("created_at", delay) if delay else out
 
 
+COUNTERS = ("favorite_count", "retweet_count")
+
+
 def stage_deliveries(spark: SparkSession, sf_dir: str, slices: int = DEFAULT_SLICES) -> str:
     """As ``stage_replay``, with every third status delivered twice.
 
@@ -214,19 +263,20 @@ def stage_deliveries(spark: SparkSession, sf_dir: str, slices: int = DEFAULT_SLI
     if key in _staged:
         return _staged[key]
     target = fresh_path(spark, f"deliveries-{hashlib.sha1(sf_dir.encode()).hexdigest()[:8]}")
-    rows = _sliced(status_records(spark, sf_dir), slices)
-    sends = F.when(F.col("id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = _delivered(_sliced(status_records(spark, sf_dir), slices), "id", slices)
+    rows.withColumns({c: F.col(c) + F.col("_again") for c in COUNTERS}).drop("_again").write.partitionBy(SLICE_COL).parquet(target)
+    _staged[key] = target
+    return target
+
+
+def _delivered(rows: DataFrame, key: str, slices: int) -> DataFrame:
+    """Sliced rows as they are delivered; ``_again`` is 1 in a second delivery."""
+    sends = F.when(F.col(key) % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     again = rows.withColumn("_again", F.explode(sends))
-    later = F.when(F.col("id") % 2 == 1, F.col("_again")).otherwise(0)
-    (
+    later = F.when(F.col(key) % 2 == 1, F.col("_again")).otherwise(0)
+    return (
         again.withColumn(SLICE_COL, F.least(F.col(SLICE_COL) + later, F.lit(slices - 1)))
-        .withColumns({c: F.col(c) + F.col("_again") for c in ("favorite_count", "retweet_count")})
         # One file a slice and task, deliveries of an id in order inside it.
-        .repartition("id")
-        .sortWithinPartitions(SLICE_COL, "id", "_again")
-        .drop("_again")
-        .write.partitionBy(SLICE_COL)
-        .parquet(target)
+        .repartition(key)
+        .sortWithinPartitions(SLICE_COL, key, "_again")
     )
-    _staged[key] = target
-    return target

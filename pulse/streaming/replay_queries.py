@@ -7,6 +7,8 @@ counterpart.  Keyed tables replay a feed that delivers every third status twice.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from pulse.operators import shape
@@ -14,7 +16,8 @@ from pulse.operators.keyed import RowLog
 from pulse.plans import batch
 from pulse.session import fresh_path
 from pulse.streaming import closed, jobs, report, stateful
-from pulse.streaming.replay import all_closed, closed_runs, reversed_runs, slice_runs, stage_closing, stage_deliveries, stage_replay
+from pulse.streaming.jobs import StatusSource
+from pulse.streaming.replay import all_closed, closed_runs, reversed_runs, slice_runs, stage_closing, stage_events
 
 # --- fixed values: parameters of the registered test queries -----------------
 CLOSE_AFTER = "365 days"  # the closing status after the last one
@@ -23,30 +26,34 @@ REPEATED_WITHIN = "14 days"  # in which a status may be delivered again
 # ---------------------------------------------------------------------------
 
 
-def _stream(spark: SparkSession, sf_dir: str) -> list[str]:
+def _events(sf_dir: str, runs: list[str]) -> StatusSource:
+    return StatusSource(runs, "events", tables=sf_dir)
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> StatusSource:
     """Every replay file, a slice a micro-batch."""
-    return slice_runs(stage_replay(spark, sf_dir))
+    return _events(sf_dir, slice_runs(stage_events(spark, sf_dir)))
 
 
-def _redelivered(spark: SparkSession, sf_dir: str) -> list[str]:
-    return slice_runs(stage_deliveries(spark, sf_dir))
+def _redelivered(spark: SparkSession, sf_dir: str) -> StatusSource:
+    return _events(sf_dir, slice_runs(stage_events(spark, sf_dir, again=True)))
 
 
-def _closed(spark: SparkSession, base: str) -> list[str]:
+def _closed(spark: SparkSession, sf_dir: str, again: bool = False) -> StatusSource:
     """Every slice in order, then a status that closes the last intervals."""
-    stage_closing(spark, base, CLOSE_AFTER)
-    return closed_runs(base)
+    base = stage_events(spark, sf_dir, again=again)
+    stage_closing(spark, base, CLOSE_AFTER, sf_dir)
+    return _events(sf_dir, closed_runs(base))
 
 
 def stream_top_hashtags_by_interval(spark, sf_dir):
     """Chained aggregates: the first tags of each interval, given out when it closes."""
-    runs = _closed(spark, stage_replay(spark, sf_dir))
-    return stateful.top_hashtags_by_interval(spark, runs, batch.TEST_INTERVAL, batch.TOP_TAGS_PER_INTERVAL)
+    return stateful.top_hashtags_by_interval(spark, _closed(spark, sf_dir), batch.TEST_INTERVAL, batch.TOP_TAGS_PER_INTERVAL)
 
 
 def stream_running_user_counts(spark, sf_dir):
     """A total an author, carried from interval to interval in keyed state."""
-    return stateful.running_user_counts(spark, _closed(spark, stage_replay(spark, sf_dir)), batch.TEST_INTERVAL)
+    return stateful.running_user_counts(spark, _closed(spark, sf_dir), batch.TEST_INTERVAL)
 
 
 def stream_unique_user_counts(spark, sf_dir):
@@ -56,7 +63,7 @@ def stream_unique_user_counts(spark, sf_dir):
 
 def stream_status_user_place(spark, sf_dir):
     """J2 as joins of streams."""
-    return stateful.status_user_place(spark, _closed(spark, stage_deliveries(spark, sf_dir)), JOIN_WITHIN).where("id >= 0")
+    return stateful.status_user_place(spark, _closed(spark, sf_dir, again=True), JOIN_WITHIN).where("id >= 0")
 
 
 def stream_hashtag_counts_by_interval(spark, sf_dir):
@@ -66,9 +73,9 @@ def stream_hashtag_counts_by_interval(spark, sf_dir):
 
 def stream_closed_hashtag_counts(spark, sf_dir):
     """Closed intervals and what came late, from a replay that runs backwards in time: most statuses are late."""
-    base = stage_replay(spark, sf_dir)
-    stage_closing(spark, base, CLOSE_AFTER)
-    return closed.hashtag_counts(spark, [*reversed_runs(base), all_closed(base)], batch.TEST_INTERVAL).exact()
+    base = stage_events(spark, sf_dir)
+    stage_closing(spark, base, CLOSE_AFTER, sf_dir)
+    return closed.hashtag_counts(spark, _events(sf_dir, [*reversed_runs(base), all_closed(base)]), batch.TEST_INTERVAL).exact()
 
 
 def stream_batch_report(spark, sf_dir):
@@ -78,7 +85,7 @@ def stream_batch_report(spark, sf_dir):
 
 def stream_hashtag_counts(spark, sf_dir):
     """Counters take every status: the replay runs backwards in time."""
-    return jobs.hashtag_counts(spark, reversed_runs(stage_replay(spark, sf_dir)), batch.TEST_INTERVAL)
+    return jobs.hashtag_counts(spark, _events(sf_dir, reversed_runs(stage_events(spark, sf_dir))), batch.TEST_INTERVAL)
 
 
 def stream_user_counts(spark, sf_dir):
@@ -91,10 +98,10 @@ def compacted_user_counts(spark, sf_dir):
 
 
 def _with_late_batch(spark, sf_dir, compact) -> DataFrame:
-    runs, out = _stream(spark, sf_dir), fresh_path(spark, "log-compacted")
-    log = jobs.user_log(spark, runs[:-1], out=out)
+    feed, out = _stream(spark, sf_dir), fresh_path(spark, "log-compacted")
+    log = jobs.user_log(spark, replace(feed, paths=feed.paths[:-1]), out=out)
     compact(log)
-    return jobs.user_log(spark, runs[-1:], out=out).totals("user", "count")
+    return jobs.user_log(spark, replace(feed, paths=feed.paths[-1:]), out=out).totals("user", "count")
 
 
 def stream_distinct_user_total(spark, sf_dir):
@@ -123,10 +130,10 @@ def stream_upsert_users(spark, sf_dir):
 
 def compacted_users(spark, sf_dir):
     """A user log of which all but the last batch was compacted."""
-    runs, out = _redelivered(spark, sf_dir), fresh_path(spark, "log-compacted")
-    jobs.upsert_users(spark, runs[:-1], out=out)
+    feed, out = _redelivered(spark, sf_dir), fresh_path(spark, "log-compacted")
+    jobs.upsert_users(spark, replace(feed, paths=feed.paths[:-1]), out=out)
     RowLog(spark, f"{out}/user_hifi").compact("id", jobs.STATUS_ORDER)
-    return shape.as_text(jobs.upsert_users(spark, runs[-1:], out=out))
+    return shape.as_text(jobs.upsert_users(spark, replace(feed, paths=feed.paths[-1:]), out=out))
 
 
 def stream_upsert_statuses(spark, sf_dir):

@@ -18,7 +18,7 @@ from pulse.operators import report, shape
 from pulse.operators.keyed import RowLog
 from pulse.operators.report import Step
 from pulse.session import fresh_path
-from pulse.streaming.jobs import AVAILABLE_NOW, Source, _batches, _drive
+from pulse.streaming.jobs import AVAILABLE_NOW, TAG_FIELDS, Source, _batches, _drive
 
 
 def filtered(
@@ -29,6 +29,7 @@ def filtered(
     out: str | None = None,
     trigger: dict = AVAILABLE_NOW,
     run_seconds: float | None = None,
+    fields: Sequence[str] | None = None,
 ) -> tuple[RowLog, RowLog]:
     """The rows that ``make`` (no shuffle) derives from the statuses that pass all steps, and the report by batch and step.
 
@@ -49,14 +50,14 @@ def filtered(
         values = tuple(int(counted[f"n{i}"]) for i in range(len(steps) + 1))
         told.write_batch(report.lines(session.createDataFrame([values], schema), steps), bid)
 
-    _drive(spark, "filter_report", source, _batches(handle), trigger, run_seconds, root, [rows, told])
+    _drive(spark, "filter_report", source, _batches(handle, fields=fields), trigger, run_seconds, root, [rows, told])
     return rows, told
 
 
 def us_hashtags(spark: SparkSession, source: Source, out=None, trigger=AVAILABLE_NOW, run_seconds=None) -> tuple[RowLog, RowLog]:
     """The hashtags of US English statuses, with the report of the three filters."""
     make = lambda rows: shape.hashtags(rows, keep=("id", "created_at"))
-    return filtered(spark, source, report.us_english_steps(), make, out, trigger, run_seconds)
+    return filtered(spark, source, report.us_english_steps(), make, out, trigger, run_seconds, TAG_FIELDS)
 
 
 def totals(told: RowLog) -> DataFrame:

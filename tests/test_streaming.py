@@ -197,3 +197,34 @@ def test_raw_statuses(spark, tmp_path):
     assert one["created_at"] == dt.datetime(2024, 1, 1, 10, 20, 30) and one["in_reply_to_user_id"] == -1 and status[3]["user_id"] is None
     assert {r["tags"]: r["freq"] for r in jobs.hashtag_counts(spark, source).collect()} == {"ncaa": 1, "b": 1}
     assert [tuple(r) for r in jobs.retweeter_counts(spark, source).collect()] == [("x", 1)]
+
+
+def test_staged_events_are_the_statuses_without_their_texts(spark, sf_small):
+    """What a replay stages does not grow with the texts; the stream gives whole statuses, in order of delivery."""
+    from pulse.sources.statuses import flat_statuses, status_records
+    from pulse.streaming import jobs
+    from pulse.streaming.replay import SLICE_COL, all_slices, slice_runs, stage_deliveries, stage_events
+
+    base = stage_events(spark, sf_small)
+    assert set(spark.read.parquet(base).columns) == {"event_id", "ts", "user_id", "event_type", "value", SLICE_COL}
+
+    def streamed(runs, fmt):
+        log = keyed.RowLog(spark, fresh_path(spark, "t-events"))
+        source = jobs.StatusSource(runs, fmt, tables=sf_small)
+        jobs._drive(spark, "t", source, jobs._batches(lambda b, i: log.write_batch(flat_statuses(b), i)), jobs.AVAILABLE_NOW, None, log.path, [log])
+        return log.read()
+
+    assert rows(streamed(all_slices(base), "events").drop("batch_id")) == rows(flat_statuses(status_records(spark, sf_small)))
+    again = slice_runs(stage_events(spark, sf_small, again=True))
+    assert rows(streamed(again, "events")) == rows(streamed(slice_runs(stage_deliveries(spark, sf_small)), "parquet"))
+
+
+def test_a_batch_is_computed_with_the_fields_that_its_job_uses(spark, sf_small):
+    from pulse.streaming import jobs
+    from pulse.streaming.replay import slice_runs, stage_events
+
+    seen = []
+    source = jobs.StatusSource(slice_runs(stage_events(spark, sf_small))[:1], "events", tables=sf_small)
+    make = lambda rows: seen.append(rows.columns) or rows.select("id", *jobs.ORDER)
+    jobs._upserts(spark, source, "t-fields", {"t": make}, "en", None, jobs.AVAILABLE_NOW, None, fields=("id", "lang"))
+    assert seen == [["id", "lang", "_file_time", "_file", "_block", "_line"]]
