@@ -44,6 +44,10 @@ def latest_by_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str |
 
 
 REPEATED_BITS = 27  # of the bitmap of repeated keys, 16 MB at most
+PLACE = ("_log_file", "_log_row")  # of a row in a log
+PLACE_BYTES = 64 << 20  # of the marks of the latest rows of a log, one bit a row, that are broadcast
+#: Texts that come again (a status and its second delivery, a retweet) are stored once a row group, while these fit.
+WIDE_OPTIONS = {"compression": "zstd", "parquet.dictionary.page.size": str(64 << 20)}
 
 
 def latest_of_repeats(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -55,17 +59,31 @@ def latest_of_repeats(df: DataFrame, key: str | Sequence[str], order: Sequence[s
     mark, are compared.  ``df`` is computed for each of the three steps.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    rows = _marked(df, keys)
+    single, several = (rows.where(c).select(*df.columns) for c in (~F.col("_marked"), F.col("_marked")))
+    return single.unionByName(latest_by_key(several, keys, order))
+
+
+def _marked(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds ``_marked``: false for a key that comes once, but for the few that share a mark with others."""
     place = F.pmod(F.xxhash64(*keys), F.lit(1 << REPEATED_BITS))
     repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(place.alias("_place"))
-    bits = repeated.groupBy(F.bitmap_bucket_number("_place").alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits")
-    )
+    return _in_bitmaps(df, place, _bitmaps(repeated), "_marked")
+
+
+def _bitmaps(places: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The numbers ``_place`` (of each ``by``) as bitmaps of 4 KB, one a ``_bucket`` of them."""
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits")
+    return places.groupBy(*by, F.bitmap_bucket_number("_place").alias("_bucket")).agg(bits)
+
+
+def _in_bitmaps(df: DataFrame, place: Column, bitmaps: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """Adds ``name``: whether the bitmaps, which are broadcast, have ``place`` (a null ``by`` has none)."""
     at = {"_bucket": F.bitmap_bucket_number(place), "_at": F.bitmap_bit_position(place).cast("int")}
     byte = "cast(conv(hex(substring(_bits, _at div 8 + 1, 1)), 16, 10) as int)"
-    marked = F.expr(f"coalesce(shiftright({byte}, _at % 8) & 1, 0) = 1")
-    rows = df.withColumns(at).join(F.broadcast(bits), "_bucket", "left").withColumn("_marked", marked)
-    single, several = (rows.where(c).select(*df.columns) for c in (~F.col("_marked"), F.col("_marked")))
-    return single.unionByName(latest_by_key(several, keys, order))
+    found = F.expr(f"coalesce(shiftright({byte}, _at % 8) & 1, 0) = 1")
+    joined = df.withColumns(at).join(F.broadcast(bitmaps), [*by, "_bucket"], "left").withColumn(name, found)
+    return joined.select(*df.columns, name)
 
 
 def counter_totals(increments: DataFrame, key: str | Sequence[str], amount: str, total_name: str | None = None) -> DataFrame:
@@ -95,13 +113,14 @@ class RowLog:
     Compaction writes the log's current rows into one folder (``_compacted``,
     hidden from plain readers) and marks the last batch it holds; readers take
     that folder and the later batches.  A writer may go on meanwhile, and
-    nothing is deleted.
+    nothing is deleted.  ``wide``: of rows with texts.
     """
 
-    def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = ()):
+    def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = (), wide: bool = False):
         self.spark = spark
         self.path = path.rstrip("/")
         self.partition_by = list(partition_by)
+        self.wide = wide
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         """Write one batch; ``partition_by`` columns (e.g. a day) become folders
@@ -113,7 +132,8 @@ class RowLog:
             publish(self.spark, staged, target)
 
     def _writer(self, df: DataFrame) -> DataFrameWriter:
-        return df.write.partitionBy(*self.partition_by) if self.partition_by else df.write
+        writer = df.write.options(**WIDE_OPTIONS) if self.wide else df.write
+        return writer.partitionBy(*self.partition_by) if self.partition_by else writer
 
     def batches(self) -> list[int]:
         """Ids of the published batches."""
@@ -129,13 +149,38 @@ class RowLog:
         upto = self.compacted()
         return len([b for b in self.batches() if upto is None or b > upto]) + (upto is not None)
 
-    def read(self) -> DataFrame:
-        rows = self.spark.read.parquet(self.path)
+    def read(self, places: bool = False) -> DataFrame:
+        """``places``: with the file and row of each row, ``PLACE``."""
+
+        def folder(path: str) -> DataFrame:
+            rows = self.spark.read.parquet(path)
+            place = F.col("_metadata.file_path").alias(PLACE[0]), F.col("_metadata.row_index").alias(PLACE[1])
+            return rows.select("*", *place) if places else rows
+
+        rows = folder(self.path)
         upto = self.compacted()
         if upto is None:
             return rows
-        base = self.spark.read.parquet(f"{self.path}/_compacted/upto={upto}")
-        return rows.where(F.col(BATCH_COL) > upto).unionByName(base)
+        return rows.where(F.col(BATCH_COL) > upto).unionByName(folder(f"{self.path}/_compacted/upto={upto}"))
+
+    def latest(self, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
+        """``latest_by_key`` of wide rows: no row is shuffled with its texts.
+
+        The latest rows of keys that may come again are found by key and order alone and
+        marked by file and row; the scan leaves out the rows that they replace.  The marks
+        are broadcast, which holds for logs whose marks take ``PLACE_BYTES`` (500 million
+        rows); of a larger log the rows with such a key are shuffled.
+        """
+        keys = [key] if isinstance(key, str) else list(key)
+        plain = self.read()
+        if plain.count() // 8 + len(plain.inputFiles()) * 4096 > PLACE_BYTES:
+            return latest_of_repeats(plain, keys, order)
+        rows = self.read(places=True)
+        narrow = rows.select(*dict.fromkeys([*keys, *order, *PLACE]))
+        several = _marked(narrow, keys).where("_marked").drop("_marked")
+        kept = latest_by_key(several, keys, order).select(PLACE[0], F.col(PLACE[1]).alias("_place"))
+        marked = _in_bitmaps(_marked(rows, keys), F.col(PLACE[1]), _bitmaps(kept, PLACE[:1]), "_kept", PLACE[:1])
+        return marked.where("not _marked or _kept").select(*plain.columns)
 
     def current(self, key: str | Sequence[str], order: Sequence[str | Column] = ()) -> DataFrame:
         """Latest row per key: of the latest batch, then by ``order``."""

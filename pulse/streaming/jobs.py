@@ -262,28 +262,33 @@ def _upserts(
     orders: dict[str, Sequence[str]] = {},  # noqa: B006  never changed
     fields: Sequence[str] | None = None,
     wide: Iterable[str] = (),
+    shared: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
     """K1: each table's rows, appended with their order; the latest row of each id on read.
 
     The latest is that of the latest batch, then by arrival, unless ``orders``
     says otherwise.  Rows that several tables share are read and filtered once
-    a batch.  ``wide``: tables with texts, most of whose ids come once.
+    a batch.  ``wide``: tables with texts, most of whose ids come once; they are
+    written from the batch itself if ``shared`` names the fields that the other
+    tables use, so that texts are not held.
     """
     key = "id"
     root = out or fresh_path(spark, f"log-{name}")
-    logs = {t: RowLog(spark, f"{root}/{t}") for t in tables}
+    logs = {t: RowLog(spark, f"{root}/{t}", wide=t in wide) for t in tables}
+    alone = set(wide) if shared is not None else set()  # written from the batch
 
     def handle(batch: DataFrame, bid: int) -> None:
         rows = arrival(batch if lang is None else filters.by_lang(batch, lang))
-        shared = len(tables) > 1
-        if shared:
-            rows = rows.persist()
+        held = rows if shared is None else rows.select(*shared, *ORDER)
+        several = len(tables.keys() - alone) > 1
+        if several:
+            held = held.persist()
         try:
             for t, make in tables.items():
-                logs[t].write_batch(make(rows), bid)
+                logs[t].write_batch(make(rows if t in alone else held), bid)
         finally:
-            if shared:
-                rows.unpersist()
+            if several:
+                held.unpersist()
 
     _drive(spark, name, source, _batches(handle, fields=fields), trigger, run_seconds, root, logs.values())
     for t, table in logs.items():
@@ -293,8 +298,8 @@ def _upserts(
 
 
 def latest(table: RowLog, order: Sequence[str], wide: bool = False) -> DataFrame:
-    of = keyed.latest_of_repeats if wide else keyed.latest_by_key
-    return of(table.read(), "id", order).drop(*order, keyed.BATCH_COL)
+    rows = table.latest("id", order) if wide else keyed.latest_by_key(table.read(), "id", order)
+    return rows.drop(*order, keyed.BATCH_COL)
 
 
 def _ordered() -> tuple:
@@ -365,7 +370,8 @@ def fanout(spark, source: Source, lang=DEFAULT_LANG, out=None, trigger=AVAILABLE
         "status_hifi": lambda rows: shape.status_rows(rows, text_form=False, carry=_ordered()),
     }
     orders = {"place_hifi": STATUS_ORDER, "user_hifi": STATUS_ORDER}
-    return _upserts(spark, source, "fanout", tables, lang, out, trigger, run_seconds, orders, wide=("status_hifi",))
+    shared = ("id", "created_at", "place", "user")
+    return _upserts(spark, source, "fanout", tables, lang, out, trigger, run_seconds, orders, wide=("status_hifi",), shared=shared)
 
 
 def upsert_users(spark, source: Source, lang=DEFAULT_LANG, out=None, trigger=AVAILABLE_NOW, run_seconds=None) -> DataFrame:

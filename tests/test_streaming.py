@@ -228,3 +228,16 @@ def test_a_batch_is_computed_with_the_fields_that_its_job_uses(spark, sf_small):
     make = lambda rows: seen.append(rows.columns) or rows.select("id", *jobs.ORDER)
     jobs._upserts(spark, source, "t-fields", {"t": make}, "en", None, jobs.AVAILABLE_NOW, None, fields=("id", "lang"))
     assert seen == [["id", "lang", "_file_time", "_file", "_block", "_line"]]
+
+
+def test_fanout_holds_no_texts(spark, sf_small, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from pulse.streaming import jobs
+    from pulse.streaming.replay import slice_runs
+
+    held, persist = [], DataFrame.persist
+    monkeypatch.setattr(DataFrame, "persist", lambda df, *a: held.append(df.columns) or persist(df, *a))
+    tables = jobs.fanout(spark, slice_runs(stage_replay(spark, sf_small))[0])
+    assert held and not any("text" in columns or "retweeted_status" in columns for columns in held)
+    assert tables["status_hifi"].where("text is not null").count() > 0
