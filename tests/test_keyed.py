@@ -132,3 +132,36 @@ def test_latest_of_repeats_is_latest_by_key_and_shuffles_no_single_rows(spark, m
     assert sorted(got.collect(), key=key) == sorted(keyed.latest_by_key(df, "id", ["n"]).collect(), key=key)
     once = keyed.latest_of_repeats(df.where("id >= 0 and n < 700"), "id", ["n"])
     assert once.count() == 700
+
+
+@pytest.mark.parametrize("limit", [keyed.PLACE_BYTES, 0])
+def test_latest_of_a_log_is_latest_by_key_and_shuffles_no_texts(spark, monkeypatch, limit):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(keyed, "PLACE_BYTES", limit)  # 0: the log is too large for marks
+    log = keyed.RowLog(spark, fresh_path(spark, "t-latest"), wide=True)
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 50 > 0, F.col("id") % 30_000).alias("id"), F.col("id").alias("n"), F.concat(F.lit("text "), "id").alias("text")
+    )  # ids that come once, twice and 800 times (null)
+    order = (keyed.BATCH_COL, "n")
+    for b, part in enumerate((rows.where("n < 30000"), rows.where("n >= 20000"), rows.where("n % 7 = 0").withColumn("n", F.lit(-1)))):
+        log.write_batch(part.repartition(3), b)  # repeats inside and across batches
+        if b == 1:
+            log.compact("id", order)
+    got, want = log.latest("id", order), keyed.latest_by_key(log.read(), "id", order)
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    if limit:
+        plan = got._jdf.queryExecution().sparkPlan().toString()
+        shuffled = [line for line in plan.splitlines() if "Window" in line or "SortMergeJoin" in line]
+        assert shuffled and not any("text" in line for line in shuffled)
+
+
+def test_texts_that_come_again_are_stored_once_a_file(spark):
+    from pyspark.sql import functions as F
+
+    log = keyed.RowLog(spark, fresh_path(spark, "t-wide"), wide=True)
+    text = F.concat(*(F.sha2(F.concat(F.floor(F.col("id") / 2) % 100, F.lit(f" {i}")).cast("string"), 512) for i in range(200)))
+    log.write_batch(spark.range(0, 1000, 1, 1).select("id", text.alias("text")), 0)  # 25 MB of texts, 2.5 MB of different ones
+    path = spark._jvm.org.apache.hadoop.fs.Path(log.path)
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    assert size < 3_000_000 and log.read().agg(F.min(F.length("text"))).first()[0] == 200 * 128
